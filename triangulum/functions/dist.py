@@ -1,0 +1,161 @@
+"""Distribution functions for simulation tasks (NumPy, vectorised, no SciPy)."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+
+# Coefficients of the published rational approximations.
+# Normal quantile: Wichura, Algorithm AS 241 (PPND16), Applied Statistics 37 (1988).
+_CENTRE_NUM = (
+    3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3,
+    1.3731693765509461125e4, 4.5921953931549871457e4, 6.7265770927008700853e4,
+    3.3430575583588128105e4, 2.5090809287301226727e3,
+)
+_CENTRE_DEN = (
+    1.0, 4.2313330701600911252e1, 6.8718700749205790830e2, 5.3941960214247511077e3,
+    2.1213794301586595867e4, 3.9307895800092710610e4, 2.8729085735721942674e4,
+    5.2264952788528545610e3,
+)
+_MIDDLE_NUM = (
+    1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0,
+    3.64784832476320460504e0, 1.27045825245236838258e0, 2.41780725177450611770e-1,
+    2.27238449892691845833e-2, 7.74545014278341407640e-4,
+)
+_MIDDLE_DEN = (
+    1.0, 2.05319162663775882187e0, 1.67638483018380384940e0, 6.89767334985100004550e-1,
+    1.48103976427480074590e-1, 1.51986665636164571966e-2, 5.47593808499534494600e-4,
+    1.05075007164441684324e-9,
+)
+_TAIL_NUM = (
+    6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133580e0,
+    2.96560571828504891230e-1, 2.65321895265761230930e-2, 1.24266094738807843860e-3,
+    2.71155556874348757815e-5, 2.01033439929228813265e-7,
+)
+_TAIL_DEN = (
+    1.0, 5.99832206555887937690e-1, 1.36929880922735805310e-1, 1.48753612908506148525e-2,
+    7.86869131145613259100e-4, 1.84631831751005468180e-5, 1.42151175831644588870e-7,
+    2.04426310338993978564e-15,
+)
+# Normal distribution function: Hart (1968) no. 5666 as given by West (2005).
+_HART_NUM = (
+    220.206867912376, 221.213596169931, 112.079291497871, 33.912866078383,
+    6.37396220353165, 0.700383064443688, 3.52624965998911e-2,
+)
+_HART_DEN = (
+    440.413735824752, 793.826512519948, 637.333633378831, 296.564248779674,
+    86.7807322029461, 16.064177579207, 1.75566716318264, 8.83883476483184e-2,
+)
+
+
+def _ratio(x: np.ndarray, num: tuple, den: tuple) -> np.ndarray:
+    top, bottom = np.full_like(x, num[-1]), np.full_like(x, den[-1])
+    for a in num[-2::-1]:
+        top = top * x + a
+    for b in den[-2::-1]:
+        bottom = bottom * x + b
+    return top / bottom
+
+
+def norm_ppf(p: np.ndarray) -> np.ndarray:
+    p = np.asarray(p, dtype=float)
+    q = p - 0.5
+    out = q * _ratio(0.180625 - q * q, _CENTRE_NUM, _CENTRE_DEN)
+    outer = np.abs(q) > 0.425
+    if outer.any():
+        qo = q[outer]
+        r = np.sqrt(-np.log(np.where(qo < 0, p[outer], 1.0 - p[outer])))
+        tail = np.where(
+            r <= 5.0,
+            _ratio(r - 1.6, _MIDDLE_NUM, _MIDDLE_DEN),
+            _ratio(r - 5.0, _TAIL_NUM, _TAIL_DEN),
+        )
+        out[outer] = np.where(qo < 0, -tail, tail)
+    return out
+
+
+def norm_cdf(x: np.ndarray) -> np.ndarray:
+    x = np.asarray(x, dtype=float)
+    a = np.minimum(np.abs(x), 37.0)
+    e = np.exp(-0.5 * a * a)
+    near = e * _ratio(a, _HART_NUM, _HART_DEN)
+    far = e / (math.sqrt(2 * math.pi) * (a + 1 / (a + 2 / (a + 3 / (a + 4 / (a + 0.65))))))
+    upper = np.where(a < 7.07106781186547, near, far)
+    return np.where(x > 0, 1.0 - upper, upper)
+
+
+def t_cdf(t: np.ndarray, df: int) -> np.ndarray:
+    """Student t with integer df: the finite trigonometric series (A&S 26.7.3-4)."""
+    t = np.asarray(t, dtype=float)
+    even = df % 2 == 0
+    cos2 = df / (df + t * t)
+    sin = t / np.sqrt(df + t * t)
+    term = np.ones_like(t) if even else np.sqrt(cos2)
+    total = term.copy() if df > 1 else np.zeros_like(t)
+    for power in range(2 if even else 3, df - 1, 2):
+        term = term * cos2 * ((power - 1) / power)
+        total += term
+    if even:
+        prob = sin * total
+    else:
+        prob = (np.arctan(t / math.sqrt(df)) + sin * total) * (2 / math.pi)
+    return 0.5 * (1.0 + prob)
+
+
+NEGBIN_TABLE_LIMIT = 4_000_000
+
+
+def negbin_table(mean: float, size: float) -> np.ndarray | None:
+    """CDF table of a negative binomial by its pmf recurrence.
+
+    None when the table would pass ``NEGBIN_TABLE_LIMIT`` entries; the quantile
+    then comes from the expansion in ``negbin_ppf``.
+    """
+    sd = math.sqrt(mean + mean * mean / size)
+    length = int(mean + 12 * sd + 60)
+    if length > NEGBIN_TABLE_LIMIT:
+        return None
+    p = size / (size + mean)
+    j = np.arange(length, dtype=float)
+    logs = np.log(size + j) - np.log(j + 1.0) + math.log1p(-p)
+    logpmf = size * math.log(p) + np.concatenate(([0.0], np.cumsum(logs[:-1])))
+    return np.cumsum(np.exp(logpmf))
+
+
+def negbin_ppf(u: np.ndarray, mean: float, size: float, table: np.ndarray | None) -> np.ndarray:
+    """Smallest n with CDF(n) >= u; Cornish-Fisher when the mean is too big for a table."""
+    if table is not None:
+        return np.minimum(np.searchsorted(table, u, side="left"), len(table) - 1).astype(float)
+    p = size / (size + mean)
+    sd = math.sqrt(mean) / math.sqrt(p)
+    skew = (2 - p) / math.sqrt(size * (1 - p))
+    kurt = 6 / size + p * p / ((1 - p) * size)
+    z = norm_ppf(u)
+    w = (
+        z
+        + skew * (z * z - 1) / 6
+        + kurt * (z**3 - 3 * z) / 24
+        - skew * skew * (2 * z**3 - 5 * z) / 36
+    )
+    return np.maximum(np.ceil(mean + sd * w - 0.5), 0.0)
+
+
+def nearest_correlation(matrix: np.ndarray, floor: float = 1e-8, bound: float = 0.99) -> np.ndarray:
+    """Raise eigenvalues to ``floor``, clip off-diagonals, restore the unit diagonal."""
+    values, vectors = np.linalg.eigh(matrix)
+    fixed = (vectors * np.maximum(values, floor)) @ vectors.T
+    fixed = np.clip(fixed, -bound, bound)
+    np.fill_diagonal(fixed, 1.0)
+    return fixed
+
+
+def cholesky(matrix: np.ndarray) -> np.ndarray:
+    """Lower factor; an indefinite matrix is repaired first."""
+    try:
+        return np.linalg.cholesky(matrix)
+    except np.linalg.LinAlgError:
+        values, vectors = np.linalg.eigh(matrix)
+        fixed = (vectors * np.maximum(values, 1e-8)) @ vectors.T
+        scale = np.sqrt(np.diag(fixed))
+        return np.linalg.cholesky(fixed / np.outer(scale, scale) + 1e-10 * np.eye(len(matrix)))
