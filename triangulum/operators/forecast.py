@@ -115,11 +115,13 @@ def seasonal_naive(panel: DataFrame, horizon: int = 12) -> DataFrame:
             "method": F.lit("seasonal_naive"),
         }
         values.update(cols)
-        return df.select("segment_id", "month", *[values[f.name].alias(f.name) if f.name in values else cols[f.name] for f in FORECAST_SCHEMA.fields[2:]])
+        return df.select(
+            "segment_id", "month", *[values[f.name].alias(f.name) for f in FORECAST_SCHEMA.fields[2:]]
+        )
 
     actual = shaped(
         diffs.select("segment_id", "month", "y").join(stats, "segment_id"),
-        record_type=F.lit("actual").alias("record_type"),
+        record_type=F.lit("actual"),
         claims_count=F.col("y"),
     )
     # the h-th month repeats the row 12 (24, ...) rows before it
@@ -129,7 +131,7 @@ def seasonal_naive(panel: DataFrame, horizon: int = 12) -> DataFrame:
     last = diffs.select("segment_id", "_rn", F.col("y").alias("_f"))
     forecast = shaped(
         ahead.join(last, ["segment_id", "_rn"], "left").join(stats, "segment_id"),
-        record_type=F.lit("forecast").alias("record_type"),
+        record_type=F.lit("forecast"),
         forecast_mean=F.col("_f"),
         forecast_lo95=F.col("_f") - 1.96 * F.col("_sd"),
         forecast_hi95=F.col("_f") + 1.96 * F.col("_sd"),

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import first_of_month, growth_pct, map_lookup, pct_change, safe_ratio, segment_key
+from ..functions.scalars import first_of_month, fixed, growth_pct, map_lookup, pct_change, safe_ratio, segment_key
 
 # The indicators the macro flow accepts.
 INDICATORS = ("unemployment_rate", "hpi_index", "housing_starts")
@@ -17,6 +17,8 @@ def claims_monthly(claims: DataFrame) -> DataFrame:
     """Claim events to one row per (segment, month).
 
     One shuffle of partially aggregated rows; a hot segment is combined map-side.
+    Money sums are rounded to cents, so the table does not depend on the order in
+    which doubles were added.
     """
     return (
         claims.groupBy(
@@ -27,11 +29,21 @@ def claims_monthly(claims: DataFrame) -> DataFrame:
         )
         .agg(
             F.count("*").alias("claims_count"),
-            F.sum("claim_amount").alias("total_incurred"),
-            F.avg("claim_amount").alias("avg_severity"),
-            F.sum("monthly_prem_exposure").alias("earned_premium"),
+            fixed(F.sum("claim_amount"), 2).alias("total_incurred"),
+            F.count("claim_amount").alias("_n"),
+            fixed(F.sum("monthly_prem_exposure"), 2).alias("earned_premium"),
+        )
+        .select(
+            "segment_id",
+            "product_line",
+            "region",
+            "month",
+            "claims_count",
+            "total_incurred",
+            safe_ratio("total_incurred", "_n").alias("avg_severity"),
+            "earned_premium",
+            safe_ratio("total_incurred", "earned_premium", 0.0).alias("loss_ratio"),
         )
-        .withColumn("loss_ratio", safe_ratio("total_incurred", "earned_premium", 0.0))
     )
 
 
@@ -43,8 +55,10 @@ def triangle(
     by: Sequence[str] = ("segment_id", "product_line", "region"),
     measures: Sequence[str] = MEASURES,
 ) -> DataFrame:
-    """Sum the measures per (by, accident_month, dev_lag)."""
-    return reserves.groupBy(*by, "accident_month", "dev_lag").agg(*[F.sum(m).alias(m) for m in measures])
+    """Sum the measures per (by, accident_month, dev_lag), to cents."""
+    return reserves.groupBy(*by, "accident_month", "dev_lag").agg(
+        *[fixed(F.sum(m), 2).alias(m) for m in measures]
+    )
 
 
 def with_incrementals(

@@ -157,8 +157,8 @@ def reserve_draws(
 def total_draws(blocks: DataFrame, per_task: int = PER_TASK) -> DataFrame:
     """Sum over the groups per (scenario, task, rep), in millions.
 
-    Rows are placed by (scenario, task) first, which also serves the per-task
-    metrics, so the two aggregations share one shuffle.
+    All groups of a (scenario, task) sit in one map task (see ``task_rows``), so the
+    map-side combine already adds them up before the shuffle.
     """
     return (
         explode_draws(blocks.select("scenario", "task", "draws"), "ibnr", per_task)

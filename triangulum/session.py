@@ -43,13 +43,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/triangulum/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write once to reliable checkpoint storage and cut the lineage there.
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write a result once to the shared folder and read it back.
 
-    Used for Python-computed results that several consumers read, so a lost
-    executor re-reads files instead of refitting.
+    For aggregated tables and Python-computed results that several branches read:
+    the lineage ends there, a lost executor re-reads files instead of recomputing,
+    and the planner knows the size.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

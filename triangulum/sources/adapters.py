@@ -102,11 +102,12 @@ def reserve_development(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     def running(m: str) -> Column:
-        return F.aggregate(
+        total = F.aggregate(
             F.sequence(F.lit(1), F.col("dev_lag")),
             F.lit(0.0),
             lambda acc, k: acc + F.coalesce(F.element_at(F.col(m), k), F.lit(0.0)),
         )
+        return fixed(total, 2)
 
     dense = by_accident.withColumn("dev_lag", F.explode(F.sequence(F.lit(1), lags)))
     return dense.select(
@@ -120,7 +121,7 @@ def reserve_development(spark: SparkSession, sf_dir: str) -> DataFrame:
         running("_inc").alias("cumulative_incurred"),
     ).withColumns(
         {
-            "case_reserve": F.col("cumulative_incurred") - F.col("cumulative_paid"),
+            "case_reserve": fixed(F.col("cumulative_incurred") - F.col("cumulative_paid"), 2),
             "op": F.when(F.col("dev_lag") == 1, "INSERT").otherwise("UPDATE"),
         }
     )
