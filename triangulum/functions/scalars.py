@@ -15,11 +15,13 @@ def _col(c: Column | str) -> Column:
 def fixed(c: Column | str, digits: int) -> Column:
     """Round half away from zero on the binary value: round(x * 10^d) / 10^d.
 
-    Unlike ``F.round(x, d)``, which rounds the printed decimal, this gives the
-    same answer in every engine with IEEE doubles.
+    Unlike ``F.round(x, d)``, which rounds the printed decimal through BigDecimal,
+    this stays in primitive arithmetic and gives the same answer in every engine
+    with IEEE doubles.  From 2^52 on a scaled double has no fraction left.
     """
-    scale = float(10**digits)
-    return F.round(_col(c) * F.lit(scale)) / F.lit(scale)
+    y = _col(c) * F.lit(float(10**digits))
+    whole = F.signum(y) * F.floor(F.abs(y) + F.lit(0.5))
+    return F.when(F.abs(y) < F.lit(float(1 << 52)), whole).otherwise(y) / F.lit(float(10**digits))
 
 
 def segment_key(*parts: Column | str, sep: str = "__") -> Column:

@@ -26,8 +26,20 @@ REGION_OF_PROVINCE = {
 }
 
 
+# The columns read, so opening a table needs no look at its files.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _order_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,27 +101,25 @@ def reserve_development(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .filter(F.col("dev_lag") <= MAX_LAG)
     )
-    cells = shipped.groupBy("product_line", "region", "accident", "dev_lag").agg(
-        F.sum("incurred").alias("incurred"), F.sum("paid").alias("paid")
-    )
     valuation = table(spark, sf_dir, "orders").agg(F.max(F.to_date("o_orderdate"))).scalar()
     lags = F.least(F.lit(MAX_LAG), _quarter(valuation) - _quarter(F.col("accident")) + 1)
-    # One row per (segment, accident): its cells as a map, then every lag with a
-    # running sum.  A map holds at most MAX_LAG entries.
-    by_accident = cells.groupBy("product_line", "region", "accident").agg(
-        F.map_from_entries(F.collect_list(F.struct("dev_lag", "incurred"))).alias("_inc"),
-        F.map_from_entries(F.collect_list(F.struct("dev_lag", "paid"))).alias("_paid"),
+    # One sum per lag, so every accident quarter is dense after a single shuffle.
+    measures = ("paid", "incurred")
+    wide = shipped.groupBy("product_line", "region", "accident").agg(
+        *[
+            F.sum(F.when(F.col("dev_lag") == k, F.col(m)).otherwise(F.lit(0.0))).alias(f"_{m}_{k}")
+            for m in measures
+            for k in range(1, MAX_LAG + 1)
+        ]
+    )
+    running = {m: F.lit(0.0) for m in measures}
+    cells = []
+    for k in range(1, MAX_LAG + 1):
+        running = {m: c + F.col(f"_{m}_{k}") for m, c in running.items()}
+        cells.append(F.struct(F.lit(k).alias("dev_lag"), *[c.alias(m) for m, c in running.items()]))
+    dense = wide.select(
+        "product_line", "region", "accident", F.inline(F.slice(F.array(*cells), F.lit(1), lags))
     )
-
-    def running(m: str) -> Column:
-        total = F.aggregate(
-            F.sequence(F.lit(1), F.col("dev_lag")),
-            F.lit(0.0),
-            lambda acc, k: acc + F.coalesce(F.element_at(F.col(m), k), F.lit(0.0)),
-        )
-        return fixed(total, 2)
-
-    dense = by_accident.withColumn("dev_lag", F.explode(F.sequence(F.lit(1), lags)))
     return dense.select(
         segment_key("product_line", "region").alias("segment_id"),
         "product_line",
@@ -117,8 +127,8 @@ def reserve_development(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("accident").cast("string").alias("accident_month"),
         F.add_months("accident", F.col("dev_lag") * 3).cast("string").alias("development_month"),
         "dev_lag",
-        running("_paid").alias("cumulative_paid"),
-        running("_inc").alias("cumulative_incurred"),
+        fixed("paid", 2).alias("cumulative_paid"),
+        fixed("incurred", 2).alias("cumulative_incurred"),
     ).withColumns(
         {
             "case_reserve": fixed(F.col("cumulative_incurred") - F.col("cumulative_paid"), 2),
