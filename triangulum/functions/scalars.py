@@ -12,16 +12,29 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def fixed_sql(expr: str, digits: int) -> str:
+    """SQL text of ``fixed``."""
+    scale = f"{10**digits}D"
+    y = f"(({expr}) * {scale})"
+    return (
+        f"if(abs{y} < {1 << 52}D, signum{y} * floor(abs{y} + 0.5D), {y}) / {scale}"
+    )
+
+
 def fixed(c: Column | str, digits: int) -> Column:
     """Round half away from zero on the binary value: round(x * 10^d) / 10^d.
 
     Unlike ``F.round(x, d)``, which rounds the printed decimal through BigDecimal,
     this stays in primitive arithmetic and gives the same answer in every engine
-    with IEEE doubles.  From 2^52 on a scaled double has no fraction left.
+    with IEEE doubles.  From 2^52 on a scaled double has no fraction left.  A string
+    is read as a SQL expression.
     """
-    y = _col(c) * F.lit(float(10**digits))
-    whole = F.signum(y) * F.floor(F.abs(y) + F.lit(0.5))
-    return F.when(F.abs(y) < F.lit(float(1 << 52)), whole).otherwise(y) / F.lit(float(10**digits))
+    if isinstance(c, str):
+        return F.expr(fixed_sql(c, digits))
+    scale = float(10**digits)
+    y = c * scale
+    size = F.abs(y)
+    return F.when(size < float(1 << 52), F.signum(y) * F.floor(size + 0.5)).otherwise(y) / scale
 
 
 def segment_key(*parts: Column | str, sep: str = "__") -> Column:

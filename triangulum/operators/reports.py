@@ -64,8 +64,8 @@ def outstanding_reserves(tri: DataFrame) -> DataFrame:
     """Case reserve and incurred over the latest row of every (segment, accident period)."""
     latest = latest_diagonal(tri, ["segment_id", "accident_month"])
     return latest.groupBy("product_line").agg(
-        F.sum("case_reserve").alias("outstanding_reserves"),
-        F.sum("cumulative_incurred").alias("total_incurred"),
+        fixed(F.sum("case_reserve"), 2).alias("outstanding_reserves"),
+        fixed(F.sum("cumulative_incurred"), 2).alias("total_incurred"),
     )
 
 
@@ -77,7 +77,9 @@ def annual_premium(monthly: DataFrame) -> DataFrame:
         .groupBy("product_line", "month")
         .agg(F.sum("earned_premium").alias("_p"))
     )
-    return per_month.groupBy("product_line").agg((F.avg("_p") * 12).alias("annual_earned_premium"))
+    return per_month.groupBy("product_line").agg(
+        fixed(F.avg("_p") * 12, 2).alias("annual_earned_premium")
+    )
 
 
 def trailing_mean(monthly: DataFrame, value: str, key: str | Column = "product_line", last: int = 12) -> DataFrame:

@@ -320,8 +320,7 @@ def scorer_draws(requests: DataFrame, seed: int = 42, chunk: int = 10_000) -> Da
     last = F.least(first + (chunk - 1), F.col("n_replications_used") - 1)
     reps = chunks.withColumn("rep", F.explode(F.sequence(first, last)))
     lower = np.linalg.cholesky(np.array(SCORER_CORRELATION))
-    key = F.lit(seed).cast("bigint")
-    reps = reps.withColumns({f"_z{j}": normal(key, F.col("rep"), j + 1) for j in range(len(SCORER_LINES))})
+    reps = reps.withColumns({f"_z{j}": normal(str(seed), "rep", j + 1) for j in range(len(SCORER_LINES))})
     total = F.lit(0.0)
     for i, line in enumerate(SCORER_LINES):
         z = F.lit(0.0)

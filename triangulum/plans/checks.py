@@ -199,11 +199,12 @@ CTES: dict[str, str] = {
         JOIN (SELECT product_line, avg(residual) AS m, stddev_pop(residual) AS s, count(*) AS n
               FROM resid GROUP BY 1) c USING (product_line)""",
     "latest_seg": _latest("reserves", "segment_id, accident_month"),
-    "outstanding": """
-        SELECT product_line, sum(case_reserve) AS outstanding_reserves, sum(cumulative_incurred) AS total_incurred
+    "outstanding": f"""
+        SELECT product_line, {rnd('sum(case_reserve)', 2)} AS outstanding_reserves,
+               {rnd('sum(cumulative_incurred)', 2)} AS total_incurred
         FROM latest_seg GROUP BY 1""",
-    "premium": """
-        SELECT product_line, avg(p) * 12 AS annual_earned_premium
+    "premium": f"""
+        SELECT product_line, {rnd('avg(p) * 12', 2)} AS annual_earned_premium
         FROM (SELECT product_line, month, sum(earned_premium) AS p FROM panel
               WHERE month >= (SELECT max(month) - INTERVAL 11 MONTH FROM panel) GROUP BY 1, 2) GROUP BY 1""",
     "rolling": """

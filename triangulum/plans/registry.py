@@ -46,22 +46,21 @@ SIM_REPLICATIONS = 4_000
 SIM_TASK = 2_000
 
 
+CASTS = {"i": "BIGINT", "d": "DATE", "t": "TIMESTAMP_NTZ"}
+
+
 def tidy(df: DataFrame, spec: str) -> DataFrame:
     """Project to the spec's columns, types and rounding."""
     out = []
     for item in spec.split():
         name, _, kind = item.partition(":")
-        c = F.col(name)
-        if kind == "i":
-            c = c.cast("bigint")
-        elif kind == "d":
-            c = c.cast("date")
-        elif kind == "t":
-            c = c.cast("timestamp_ntz")
+        if kind in CASTS:
+            out.append(f"CAST({name} AS {CASTS[kind]}) AS {name}")
         elif kind:
-            c = sc.fixed(c.cast("double"), int(kind)) + F.lit(0.0)
-        out.append(c.alias(name))
-    return df.select(*out)
+            out.append(f"{sc.fixed_sql(f'CAST({name} AS DOUBLE)', int(kind))} + 0.0D AS {name}")
+        else:
+            out.append(name)
+    return df.selectExpr(*out)
 
 
 # --- shared inputs -----------------------------------------------------------------

@@ -104,21 +104,18 @@ def reserve_development(spark: SparkSession, sf_dir: str) -> DataFrame:
     valuation = table(spark, sf_dir, "orders").agg(F.max(F.to_date("o_orderdate"))).scalar()
     lags = F.least(F.lit(MAX_LAG), _quarter(valuation) - _quarter(F.col("accident")) + 1)
     # One sum per lag, so every accident quarter is dense after a single shuffle.
-    measures = ("paid", "incurred")
+    measures, every_lag = ("paid", "incurred"), range(1, MAX_LAG + 1)
     wide = shipped.groupBy("product_line", "region", "accident").agg(
-        *[
-            F.sum(F.when(F.col("dev_lag") == k, F.col(m)).otherwise(F.lit(0.0))).alias(f"_{m}_{k}")
-            for m in measures
-            for k in range(1, MAX_LAG + 1)
-        ]
+        *[F.expr(f"sum(if(dev_lag = {k}, {m}, 0D)) AS {m}_{k}") for m in measures for k in every_lag]
     )
-    running = {m: F.lit(0.0) for m in measures}
-    cells = []
-    for k in range(1, MAX_LAG + 1):
-        running = {m: c + F.col(f"_{m}_{k}") for m, c in running.items()}
-        cells.append(F.struct(F.lit(k).alias("dev_lag"), *[c.alias(m) for m, c in running.items()]))
-    dense = wide.select(
-        "product_line", "region", "accident", F.inline(F.slice(F.array(*cells), F.lit(1), lags))
+    running = [
+        f"named_struct('dev_lag', {k}, "
+        + ", ".join(f"'{m}', " + " + ".join(f"{m}_{j}" for j in range(1, k + 1)) for m in measures)
+        + ")"
+        for k in every_lag
+    ]
+    dense = wide.withColumn("_lags", lags).selectExpr(
+        "product_line", "region", "accident", f"inline(slice(array({', '.join(running)}), 1, _lags))"
     )
     return dense.select(
         segment_key("product_line", "region").alias("segment_id"),
