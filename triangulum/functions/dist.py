@@ -66,11 +66,10 @@ def norm_ppf(p: np.ndarray) -> np.ndarray:
     if outer.any():
         qo = q[outer]
         r = np.sqrt(-np.log(np.where(qo < 0, p[outer], 1.0 - p[outer])))
-        tail = np.where(
-            r <= 5.0,
-            _ratio(r - 1.6, _MIDDLE_NUM, _MIDDLE_DEN),
-            _ratio(r - 5.0, _TAIL_NUM, _TAIL_DEN),
-        )
+        tail = _ratio(r - 1.6, _MIDDLE_NUM, _MIDDLE_DEN)
+        far = r > 5.0
+        if far.any():
+            tail[far] = _ratio(r[far] - 5.0, _TAIL_NUM, _TAIL_DEN)
         out[outer] = np.where(qo < 0, -tail, tail)
     return out
 

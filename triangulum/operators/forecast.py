@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import fixed
 from .features import fill_regressors, future_months
+from .quantiles import correlation
 
 SEASON = 12
 HOLDOUT = 12
@@ -78,15 +79,11 @@ def seasonal_naive(panel: DataFrame, horizon: int = 12) -> DataFrame:
         .withColumn("_rn", F.row_number().over(Window.partitionBy("segment_id").orderBy(F.col("month").desc())))
     )
     ape = F.abs(F.col("_d")) / F.greatest(F.col("y"), F.lit(1.0)) * 100
-    both = F.col("_l2").isNotNull()
-    corr = F.when(
-        (F.stddev_pop(F.when(both, F.col("_d2"))) > 0) & (F.stddev_pop("_l2") > 0), F.corr("_d2", "_l2")
-    )
     stats = diffs.groupBy("segment_id").agg(
         F.stddev_pop("_d").alias("_sd"),
         F.avg(F.when(F.col("_rn") <= HOLDOUT, ape)).alias("_mape"),
         F.count("_l2").alias("_m"),
-        corr.alias("_r"),
+        correlation("_d2", "_l2").alias("_r"),
     )
     stats = stats.select(
         "segment_id",

@@ -104,6 +104,16 @@ def cvar(df: DataFrame, by: Sequence[str], value: str, prob: float = 0.99) -> Da
     )
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson correlation over complete pairs; NULL when one side does not vary.
+
+    The built-in ``corr`` divides by zero there and fails under ANSI mode.
+    """
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    va, vb = (F.var_pop(F.when(both, F.col(c))) for c in (a, b))
+    return F.when((va > 0) & (vb > 0), F.covar_pop(a, b) / F.sqrt(va * vb))
+
+
 def sorted_quantile(values: Column, prob: float) -> Column:
     """Linear-interpolated quantile of a sorted array column."""
     position = F.lit(float(prob)) * (F.size(values) - 1)
@@ -113,7 +123,13 @@ def sorted_quantile(values: Column, prob: float) -> Column:
     return lo + (position - low) * (hi - lo)
 
 
-def tail_mean(values: Column, threshold: Column) -> Column:
-    """Mean of the array elements at or above ``threshold``."""
-    tail = F.filter(values, lambda x: x >= threshold)
+def tail_mean(values: Column, prob: float) -> Column:
+    """Mean of the elements at or above the ``prob`` quantile of a sorted array.
+
+    The tail starts at the quantile's first occurrence, or right after the rank it was
+    interpolated from; only the tail is folded.
+    """
+    low = F.floor(F.lit(float(prob)) * (F.size(values) - 1)).cast("int")
+    found = F.array_position(values, sorted_quantile(values, prob)).cast("int")
+    tail = F.slice(values, F.when(found > 0, found).otherwise(low + 2), F.size(values))
     return F.aggregate(tail, F.lit(0.0), lambda a, x: a + x) / F.size(tail)

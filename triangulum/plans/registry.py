@@ -513,7 +513,8 @@ def q_collective(s: SparkSession, d: str) -> DataFrame:
 def q_surplus_evolution(s: SparkSession, d: str) -> DataFrame:
     metrics = materialize(_copula_tasks(s, d, ["baseline"]))
     params = portfolio.surplus_parameters(_calibrated(s, d), metrics)
-    return sim.surplus_bands(sim.surplus_paths(params, 20_000, per_task=5_000), 5_000)
+    blocks = materialize(sim.surplus_paths(params, 20_000, per_task=5_000), "surplus")
+    return sim.surplus_bands(blocks, 5_000)
 
 
 Query = Callable[[SparkSession, str], DataFrame]

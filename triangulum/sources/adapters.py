@@ -53,8 +53,13 @@ def _order_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select("c_custkey", F.col("c_mktsegment").alias("product_line"), F.col("r_name").alias("region"))
     )
-    return orders.join(buyers, F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderkey", F.to_date("o_orderdate").alias("order_date"), "product_line", "region"
+    # Joined to line items next, fact to fact: both sides are shuffled and sorted.  Left
+    # to its size guess the planner may broadcast the line items, and the join then runs
+    # in as few tasks as the orders have files.
+    return (
+        orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        .select("o_orderkey", F.to_date("o_orderdate").alias("order_date"), "product_line", "region")
+        .hint("merge")
     )
 
 
