@@ -85,8 +85,8 @@ def test_neighbours_with_null_values_and_string_order(spark):
     rows = [("h", f"{i:03d}", None if i % 4 == 0 else i) for i in range(60)] + [("x", "000", 1)]
     df = spark.createDataFrame(rows, "k string, o string, v int")
     cols = {"before": (F.col("v"), -1), "after": (F.col("v"), 1)}
-    plain = skew.with_neighbours(df, ["k"], "o", cols, None).collect()
-    sliced = skew.with_neighbours(df, ["k"], "o", cols, 7).collect()
+    plain = skew.with_neighbours(df, ["k"], "o", cols).collect()
+    sliced = skew.with_neighbours(df, ["k"], "o", cols, skew.find_hot(df, ["k"], 7), 7).collect()
     assert sorted(map(str, plain)) == sorted(map(str, sliced))
 
 

@@ -395,18 +395,30 @@ def rolling_features_pandas(monthly: DataFrame, bridge: bool = False) -> DataFra
     )
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("month")
-        x = pdf["claims_count"].astype(float)
+        pdf = pdf.iloc[np.argsort(pdf["month"].to_numpy(), kind="stable")]
+        x = pdf["claims_count"].to_numpy(dtype=float)
+        upto = np.arange(1, len(x) + 1)
+        sums = np.concatenate(([0.0], np.cumsum(x)))
 
-        def change(k: int) -> pd.Series:
-            before = x.shift(k)
-            return ((x - before) / before * 100).where(before.notna() & (before != 0), 0.0)
+        def mean(k: int) -> np.ndarray:
+            start = np.maximum(upto - k, 0)
+            return (sums[upto] - sums[start]) / (upto - start)
 
+        def before(k: int) -> np.ndarray:
+            return np.concatenate((np.full(min(k, len(x)), np.nan), x[: max(len(x) - k, 0)]))
+
+        def change(k: int) -> np.ndarray:
+            b = before(k)
+            usable = ~np.isnan(b) & (b != 0)
+            return np.where(usable, (x - b) / np.where(usable, b, 1.0) * 100, 0.0)
+
+        centre, n = mean(3), np.minimum(upto, 3)
+        spread = sum(np.nan_to_num((v - centre) ** 2) for v in (x, before(1), before(2)))
         return pdf.assign(
-            rolling_3m_mean=x.rolling(3, min_periods=1).mean(),
-            rolling_6m_mean=x.rolling(6, min_periods=1).mean(),
-            rolling_12m_mean=x.rolling(12, min_periods=1).mean(),
-            rolling_3m_std=x.rolling(3, min_periods=2).std(),
+            rolling_3m_mean=centre,
+            rolling_6m_mean=mean(6),
+            rolling_12m_mean=mean(12),
+            rolling_3m_std=np.where(n > 1, np.sqrt(spread / np.maximum(n - 1, 1)), np.nan),
             mom_change_pct=change(1),
             yoy_change_pct=change(12),
         )
@@ -422,7 +434,8 @@ def ols_trend_pandas(monthly: DataFrame) -> DataFrame:
     schema = "segment_id string, slope double, intercept double, r_squared double, annualized_growth_pct double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values("month")["claims_count"].to_numpy(dtype=float)
+        order = np.argsort(pdf["month"].to_numpy(), kind="stable")
+        y = pdf["claims_count"].to_numpy(dtype=float)[order]
         t = np.arange(len(y), dtype=float)
         slope = intercept = r2 = None
         if len(y) > 1:

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 MAX_ROWS_PER_TASK = 5_000_000
 SAMPLES_PER_SLICE = 64
 BROADCAST_ROWS = 200_000
@@ -26,6 +28,19 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_rows)
 
 
+def find_hot(df: DataFrame, keys: Sequence[str], max_rows: int | None) -> DataFrame | None:
+    """The hot keys as a written table, or None when there are none.
+
+    Counts the key columns only (map-side combined), so ``df`` should be the plain
+    input: an upper bound of what later steps keep is good enough.  None for
+    ``max_rows`` says the caller knows every key is small, and skips the count.
+    """
+    if max_rows is None:
+        return None
+    hot = materialize(hot_keys(df, keys, max_rows), "hot")
+    return None if hot.isEmpty() else hot
+
+
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast ``df`` only after counting that it is small; else leave the join to Spark."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
@@ -79,15 +94,15 @@ def with_neighbours(
     keys: Sequence[str],
     order: str,
     columns: dict[str, tuple[Column, int]],
-    max_rows: int | None = MAX_ROWS_PER_TASK,
+    hot: DataFrame | None = None,
+    max_rows: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``{name: (value, step)}``: the value one row back (step -1) or ahead (+1).
 
-    (keys, order) must be unique.  Ordinary data gets one plain window; None for
-    ``max_rows`` says the caller knows every key is small.
+    (keys, order) must be unique.  ``hot`` comes from ``find_hot``; without hot keys
+    one plain window does it.
     """
-    hot = hot_keys(df, keys, max_rows) if max_rows is not None else None
-    if hot is None or hot.isEmpty():
+    if hot is None:
         w = Window.partitionBy(*keys).orderBy(order)
         return df.withColumns({n: F.lag(v, -s).over(w) for n, (v, s) in columns.items()})
 

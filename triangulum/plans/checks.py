@@ -610,8 +610,8 @@ def _delta() -> str:
 _NOTES = """(SELECT event_id, 'S' || CAST(user_id % 25 AS VARCHAR) AS segment_id, event_type AS note,
              'analyst_' || CAST(user_id AS VARCHAR) AS analyst, ts AS created_at FROM events)"""
 _STATS_RAW = """(SELECT 'P' || CAST(user_id % 13 AS VARCHAR) AS geo, CAST(CAST(ts AS DATE) AS VARCHAR) AS ref_date,
-             CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN NULL ELSE value END AS value,
-             CASE WHEN event_id % 3 = 0 THEN 'Index' ELSE 'Percent' END AS uom, event_type FROM events)"""
+             CASE WHEN value < 2 OR value > 40 THEN NULL ELSE value END AS value,
+             CASE WHEN value > 25 THEN 'Index' ELSE 'Percent' END AS uom, event_type FROM events)"""
 _GEOS = values_list(f"P{i}" for i in range(10))
 
 BODIES: dict[str, str] = {

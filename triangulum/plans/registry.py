@@ -42,8 +42,8 @@ RESERVE_FACTORS = {"AUTOMOBILE": 0.05, "MACHINERY": 0.10, "HOUSEHOLD": 0.10, "BU
 PREMIUM_FACTORS = {"AUTOMOBILE": 0.12, "MACHINERY": 0.18, "HOUSEHOLD": 0.15}
 LAST_FULL_MONTH = "2001-07-01"
 DIAGONAL_LAGS = tuple(range(1, adapters.MAX_LAG + 1))
-SIM_REPLICATIONS = 4_000
-SIM_TASK = 2_000
+SIM_REPLICATIONS = 20_000
+SIM_TASK = 5_000
 
 
 CASTS = {"i": "BIGINT", "d": "DATE", "t": "TIMESTAMP_NTZ"}
@@ -270,12 +270,12 @@ def q_statistics(s: SparkSession, d: str) -> DataFrame:
 def _raw_statistics(s: SparkSession, d: str) -> DataFrame:
     """Events as a raw statistics table: text values, some suppressed."""
     e = adapters.table(s, d, "events")
-    value = F.when(F.col("event_id") % 7 == 0, "x").when(F.col("event_id") % 11 == 0, "F")
+    value = F.when(F.col("value") < 2, "x").when(F.col("value") > 40, "F")
     return e.select(
         F.concat(F.lit("P"), (F.col("user_id") % 13).cast("string")).alias("GEO"),
         F.date_format("ts", "yyyy-MM-dd").alias("REF_DATE"),
         F.coalesce(value, F.col("value").cast("string")).alias("VALUE"),
-        F.when(F.col("event_id") % 3 == 0, "Index").otherwise("Percent").alias("UOM"),
+        F.when(F.col("value") > 25, "Index").otherwise("Percent").alias("UOM"),
         F.col("event_type").alias("Type"),
     )
 

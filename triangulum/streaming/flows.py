@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.quality import expect, expect_or_drop
 from ..operators.scd2 import END, START, close_versions, last_event, mark_versions
+from ..operators.skew import MAX_ROWS_PER_TASK, find_hot
 
 
 def stream_scan(
@@ -99,12 +100,16 @@ class HistoryTable:
             return
         manifest = self._manifest(before=batch_id)
         known = {b: manifest[b] for b in touched if b in manifest}
-        events = incoming
+        events, everything = incoming, batch
         if known:
             stored = self._read(known).drop("is_version", START, END)
+            everything = stored.unionByName(batch)
             events = last_event(stored.unionByName(incoming), self.keys, self.sequence_by, self.tie_break)
-        marked = mark_versions(events, self.keys, self.sequence_by, self.track_columns)
-        versions = close_versions(marked, self.keys, self.sequence_by).withColumn("is_version", F.lit(True))
+        hot = find_hot(everything, self.keys, MAX_ROWS_PER_TASK)
+        marked = mark_versions(events, self.keys, self.sequence_by, self.track_columns, hot)
+        versions = close_versions(marked, self.keys, self.sequence_by, hot=hot).withColumn(
+            "is_version", F.lit(True)
+        )
         rest = marked.filter(~F.col("is_version"))
         rows = versions.unionByName(rest, allowMissingColumns=True)
         # rebalance: one bucket per task, but a large bucket is split into several files
