@@ -392,6 +392,12 @@ def q_combined_risk(s: SparkSession, d: str) -> DataFrame:
     return reports.combined_reserve_risk(risk, _scores(s, d).filter("scenario = 'baseline'"), "reserve_risk_capital_M")
 
 
+def q_mct_capital(s: SparkSession, d: str) -> DataFrame:
+    premium = materialize(reports.annual_premium(_full_months(s, d)), "premium")
+    reserves = reports.outstanding_reserves(gold.triangle(_reserves(s, d)))
+    return reports.mct_capital(reports.mct_lines(reserves, premium, RESERVE_FACTORS, PREMIUM_FACTORS), premium)
+
+
 def q_scenario_ibnr(s: SparkSession, d: str) -> DataFrame:
     """Deterministic IBNR of each line under each scenario's factors."""
     model = _model(s, d)
@@ -751,13 +757,7 @@ QUERIES: dict[str, tuple[str, Query]] = {
     "mct_capital": (
         "reserve_charge:2 premium_charge:2 undiversified:2 capital_required:2 capital_available:2 "
         "diversification_credit:2 mct_ratio_pct:6",
-        lambda s, d: reports.mct_capital(
-            reports.mct_lines(
-                reports.outstanding_reserves(gold.triangle(_reserves(s, d))),
-                reports.annual_premium(_full_months(s, d)), RESERVE_FACTORS, PREMIUM_FACTORS,
-            ),
-            reports.annual_premium(_full_months(s, d)),
-        ),
+        q_mct_capital,
     ),
     # chain ladder
     "triangle_pivot": (
