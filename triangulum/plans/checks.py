@@ -558,6 +558,13 @@ def _moments() -> str:
                {rnd('avg(sev_sigma)', 4)} FROM m"""
 
 
+_LOG_CORR = """
+        SELECT corr(p, a) AS corr_prop_auto, corr(p, l) AS corr_prop_liab, corr(a, l) AS corr_auto_liab
+        FROM (SELECT ln(greatest(p, 1.0)) AS p, ln(greatest(a, 1.0)) AS a, ln(greatest((p + a) * 0.5, 1.0)) AS l
+              FROM (SELECT month, sum(inc) FILTER (seg = 'Property') AS p, sum(inc) FILTER (seg = 'Auto') AS a
+                    FROM seg_month GROUP BY 1))"""
+
+
 def _preset_grid() -> str:
     rows = ", ".join(
         f"('{n}', '{sev}', '{rule}', least({ldf}::DOUBLE * {m}::DOUBLE, {reports.MAX_LDF}::DOUBLE),"
@@ -848,11 +855,12 @@ BODIES: dict[str, str] = {
     "cv_by_line": "SELECT * FROM line_cv",
     "growth_by_month": _growth(),
     "segment_means": _segment_means(),
-    "log_corr_matrix": """
-        SELECT corr(p, a) AS corr_prop_auto, corr(p, l) AS corr_prop_liab, corr(a, l) AS corr_auto_liab
-        FROM (SELECT ln(greatest(p, 1.0)) AS p, ln(greatest(a, 1.0)) AS a, ln(greatest((p + a) * 0.5, 1.0)) AS l
-              FROM (SELECT month, sum(inc) FILTER (seg = 'Property') AS p, sum(inc) FILTER (seg = 'Auto') AS a
-                    FROM seg_month GROUP BY 1))""",
+    "log_corr_matrix": _LOG_CORR,
+    # the fitted matrix is positive definite here, so only the clip of the repair acts
+    "calibrated_portfolio": f"""
+        SELECT m.*, c.*, {', '.join(f'least(greatest(k.{x}, -0.99), 0.99) AS {x}'
+                                    for x in ('corr_prop_auto', 'corr_prop_liab', 'corr_auto_liab'))}
+        FROM ({_segment_means()}) m, ({_segment_cvs()}) c, ({_LOG_CORR}) k""",
     "freq_sev_moments": _moments(),
     "segment_cvs": _segment_cvs(),
 }

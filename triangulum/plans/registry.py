@@ -479,6 +479,16 @@ def q_runoff(s: SparkSession, d: str) -> DataFrame:
     return reserving.runoff(tasks, reports.global_mean(_full_months(s, d)), 20_000, per_task=5_000)
 
 
+def q_calibrated(s: SparkSession, d: str) -> DataFrame:
+    names = ("property", "auto", "liability")
+    pairs = {"corr_prop_auto": 1, "corr_prop_liab": 2, "corr_auto_liab": 5}
+    return _calibrated(s, d).select(
+        *[F.get("means", F.lit(i)).alias(f"{n}_mean_M") for i, n in enumerate(names)],
+        *[F.get("cvs", F.lit(i)).alias(f"{n}_cv") for i, n in enumerate(names)],
+        *[F.get("corr", F.lit(i)).alias(n) for n, i in pairs.items()],
+    )
+
+
 def _copula_tasks(s: SparkSession, d: str, names) -> DataFrame:
     rows = portfolio.stress_rows(_calibrated(s, d), names)
     return sim.array_metrics(portfolio.t_copula_losses(rows, 20_000, per_task=5_000), PORTFOLIO_PROBS)
@@ -906,8 +916,12 @@ QUERIES: dict[str, tuple[str, Query]] = {
         "property_cv:6 auto_cv:6 liability_cv:6",
         lambda s, d: portfolio.segment_cvs(_line_cvs(s, d), CV_DEFAULTS, SEGMENT_OF),
     ),
+    "calibrated_portfolio": (
+        "property_mean_M:2 auto_mean_M:2 liability_mean_M:2 property_cv:6 auto_cv:6 liability_cv:6 "
+        "corr_prop_auto:6 corr_prop_liab:6 corr_auto_liab:6",
+        q_calibrated,
+    ),
     # simulations and fits: no SQL twin
-    "calibrated_portfolio": ("means cvs corr", _calibrated),
     "frequency_forecast": (
         FORECAST_SPEC, lambda s, d: forecast.frequency_forecast(_panel(s, d))
     ),
