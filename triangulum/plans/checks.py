@@ -9,7 +9,7 @@ import numpy as np
 
 from ..functions.randoms import COUNTER_MULT, FINAL_MULT, KEY_MULT, STREAM_STEP, WORD
 from ..operators import chain_ladder as cl
-from ..operators import portfolio, reports
+from ..operators import reports
 from ..operators import simulate as sim
 from ..sources import adapters, generators
 from . import registry as reg
