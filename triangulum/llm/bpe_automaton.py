@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import rows_of, text_of
 
-MEMO = 300_000
+MEMO, WORD_MEMO = 300_000, 200_000
 ARCS = 4_000_000
 
 
@@ -45,7 +45,7 @@ def byte_symbols() -> list[str]:
 class Automaton:
     """States and arcs are token ids; ``forbidden`` tells whether an arc leaves a state."""
 
-    def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], suffix: str = ""):
+    def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]]):
         self.token = vocabulary
         self.label = {i: t for t, i in vocabulary.items()}
         self.cut: dict[tuple[int, int], int] = {}
@@ -57,8 +57,8 @@ class Automaton:
                 raise ValueError(f"two merges make {left + right!r}")
             self.made[w] = rank, u, v
             self.cut[u, v] = rank
-        self.suffix = suffix
-        self.longest = max(map(len, vocabulary))
+        # Every end of a label, with the label's token or -1 where it is none itself.
+        self.ends = {label[i:]: -1 for label in vocabulary for i in range(1, len(label))} | vocabulary
         self.arcs: dict[tuple[int, int], bool] = {}
 
     def forbidden(self, state: int, arc: int) -> bool:
@@ -89,22 +89,27 @@ class Automaton:
             else:
                 now, _, state = born_state
 
-    def path(self, symbols: list[str]) -> list[int]:
-        """Token ids of one word given as base symbols."""
-        n = len(symbols)
-        if n == 1:
-            return [self.token[symbols[0]]]
-        # Every symbol but the last, which may carry the suffix, is one character.
-        word, token, forbidden = "".join(symbols), self.token.get, self.forbidden
-        last, back, longest = [-1] * (n + 1), [0] * (n + 1), self.longest
+    def path(self, word: str, n: int) -> list[int]:
+        """Token ids of a word of n base symbols: n characters, then the suffix of the last one."""
+        ends, arcs = self.ends.get, self.arcs
+        last, back = [-1] * (n + 1), [0] * (n + 1)
         for end in range(1, n + 1):
             stop = end if end < n else len(word)
-            for start in range(max(0, stop - longest), end):
-                arc = token(word[start:stop])
-                # The one arc into this prefix that the state before it lets through.
-                if arc is not None and (start == 0 or not forbidden(last[start], arc)):
-                    last[end], back[end] = arc, start
+            for start in range(end - 1, -1, -1):
+                arc = ends(word[start:stop])
+                if arc is None:
                     break
+                if arc < 0:
+                    continue
+                # The one arc into this prefix that the state before it lets through.
+                if start:
+                    shut = arcs.get((last[start], arc))
+                    if shut is None:
+                        shut = self.forbidden(last[start], arc)
+                    if shut:
+                        continue
+                last[end], back[end] = arc, start
+                break
         found, end = [], n
         while end:
             found.append(last[end])
@@ -121,7 +126,7 @@ class WordTokenizer:
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"] or ""
         merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
-        self.automaton = Automaton(model["vocab"], merges, self.suffix)
+        self.automaton = Automaton(model["vocab"], merges)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
         self.symbols = byte_symbols()
@@ -130,6 +135,7 @@ class WordTokenizer:
         self.added = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.memo: dict[str, tuple[int, bytes, str]] = {}
         self.older: dict[str, tuple[int, bytes, str]] = {}
+        self.met: dict[str, list[int]] = {}
 
     @staticmethod
     def normalise(piece: str) -> str:
@@ -137,19 +143,33 @@ class WordTokenizer:
         return unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
 
     def word(self, word: str) -> list[int]:
-        symbols = [self.symbols[b] for b in word.encode()]
-        symbols[-1] += self.suffix
-        return self.automaton.path(symbols)
+        # Letters and signs of ASCII are their own symbols.
+        symbols = word if word.isascii() and word.isprintable() else "".join([self.symbols[b] for b in word.encode()])
+        return self.automaton.path(symbols + self.suffix, len(symbols))
+
+    def split(self, piece: str) -> list[str]:
+        """The words of a piece, lower case; a letter run with or without one mark after it needs no pattern."""
+        piece = piece.lower() if piece.isascii() else self.normalise(piece)
+        if piece.isalpha():
+            return [piece]
+        if piece[-1:] in (".", ",") and piece[:-1].isalpha():
+            return [piece[:-1], piece[-1]]
+        return self.words.findall(piece)
 
     def ids(self, piece: str) -> list[int]:
         """Ids of a piece of text without white space."""
         out: list[int] = []
-        for part in self.added.split(piece) if self.special else [piece]:
+        for part in self.added.split(piece) if any(x in piece for x in self.special) else [piece]:
             if part in self.special:
                 out.append(self.special[part])
-            else:
-                for word in self.words.findall(self.normalise(part)):
-                    out += self.word(word)
+                continue
+            for word in self.split(part):
+                known = self.met.get(word)
+                if known is None:
+                    if len(self.met) >= WORD_MEMO:
+                        self.met.clear()
+                    known = self.met[word] = self.word(word)
+                out += known
         return out
 
     def encode(self, text: str) -> tuple[int, bytes, str]:
