@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from .common import materialize, text_of
 
 LABELLED_ROWS, VOCABULARY, MIN_DOCS = 12_000, 20_000, 5
-STEPS, TOLERANCE = 40, 1e-4
-EPSILON = 1e-6
+STEPS, TOLERANCE = 60, 1e-4
+EPSILON = 0.01
 
 # Target shares of the registered query.
 DOMAINS = ("clean", "toxic", "junk")
@@ -91,7 +91,7 @@ def fit_rates(rows: DataFrame, targets: list[float], most: float | None = None)
 
     Projected gradient with the step length of two successive gradients; of all steps the
     rates with the smallest weighted squares are taken.  A domain whose target is 0 is
-    weighed as if its target were a millionth of all.  Rows without tokens keep rate 1.
+    weighed as if its target were a hundredth of all.  Rows without tokens keep rate 1.
     """
     size = len(targets)
     floor = max(sum(targets), 1.0) * EPSILON
