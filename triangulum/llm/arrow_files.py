@@ -8,7 +8,6 @@ place follows from its number, and a memory-mapped file is read without a copy.
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -16,18 +15,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, rows_of, scratch_path, text_of, with_row_number
+from .common import blocks_of, materialize, scratch_path, text_of, with_row_number
 
 SEQUENCE = 1024
 BATCH_SEQUENCES = 256
-MEMO = 300_000
-# Two white-space characters in a row, or white space at an end: cut nowhere.
-_UNEVEN = re.compile(r"\s\s|^\s|\s$")
+MEMO = 400_000
+# Signs that make one pre-token when they follow letters; apostrophes do not.
+SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "'<|>")
 
 
 def id_type(vocabulary: int) -> np.dtype:
@@ -38,10 +38,11 @@ def id_type(vocabulary: int) -> np.dtype:
 class Encoder:
     """The tokenizer's ids of whole texts, as little-endian bytes.
 
-    A byte-level tokenizer's pre-tokens never cross the place before a single space, so
-    a text is cut there and each distinct piece is encoded once, many pieces in one call.
-    The memo keeps the pieces met last.  Texts with uneven white space or with the
-    string of a special token go to the tokenizer whole.
+    A byte-level tokenizer's pre-tokens never cross a single space from a sign to a sign,
+    so a text is cut there.  Each distinct piece is encoded once: runs of letters, which
+    are one pre-token each, many in one call, the signs after them on their own.  The memo
+    keeps the pieces met last.  A text with a piece that is empty, that begins or ends
+    with white space or that holds a special token's string goes to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -52,50 +53,96 @@ class Encoder:
         self.tokenizer.no_padding()
         self.dtype = id_type(self.tokenizer.get_vocab_size(with_added_tokens=True))
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}  # a piece that must not be cut off has no ids here
         self.older: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def head(self, piece: str) -> bytes:
-        """Ids of a text's first piece, which has no space before it."""
+        """Ids of a text's first piece, which has no space before it; empty where no cut may follow."""
+        if not self.plain(piece):
+            return b""
         if piece not in self.heads:
             if len(self.heads) >= MEMO:
                 self.heads.clear()
             self.heads[piece] = self.whole(piece)
         return self.heads[piece]
 
+    def plain(self, piece: str) -> bool:
+        return piece != "" and piece.strip() == piece and not any(a in piece for a in self.added)
+
+    def _letters(self, runs: list[str]) -> None:
+        """Encode runs of letters, each after a space, in one call; each is one pre-token."""
+        if not runs:
+            return
+        encoded = self.tokenizer.encode(" " + " ".join(runs), add_special_tokens=False)
+        words = np.array(encoded.word_ids)
+        if int(words[-1]) + 1 != len(runs):
+            self.memo.update((x, self.whole(" " + x)) for x in runs)
+            return
+        raw = np.array(encoded.ids, self.dtype).tobytes()
+        at = (np.searchsorted(words, np.arange(len(runs) + 1)) * self.dtype.itemsize).tolist()
+        self.memo.update((x, raw[lo:hi]) for x, lo, hi in zip(runs, at, at[1:]))
+
     def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces, each after a space, in one call and cut the ids by their offsets."""
-        starts = np.cumsum([0, *(len(x) + 1 for x in pieces)])[:-1]
-        encoded = self.tokenizer.encode(" " + " ".join(pieces), add_special_tokens=False)
-        raw = np.asarray(encoded.ids, self.dtype).tobytes()
-        at = np.searchsorted(np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded)), starts)
-        at = [*(at * self.dtype.itemsize).tolist(), len(raw)]
-        self.memo.update((x, raw[lo:hi]) for x, lo, hi in zip(pieces, at, at[1:]))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        memo, older = self.memo, self.older
+        runs, marked = [], []
+        for piece in pieces:
+            run = piece.rstrip(SIGNS)
+            if not run.isalpha():
+                memo[piece] = self.whole(" " + piece) if self.plain(piece) else b""
+                continue
+            if len(run) < len(piece):
+                marked.append((piece, run))
+                if run in memo:
+                    continue
+                if run in older:
+                    memo[run] = older[run]
+                    continue
+            runs.append(run)
+        self._letters(list(dict.fromkeys(runs)))
+        for piece, run in marked:
+            signs = piece[len(run) :]
+            if signs not in self.signs:
+                if len(self.signs) >= MEMO:
+                    self.signs.clear()
+                self.signs[signs] = self.whole(signs)
+            memo[piece] = memo[run] + self.signs[signs]
+
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces that follow a space."""
         if len(self.memo) > MEMO:  # pieces not met since the last time go
             self.older, self.memo = self.memo, {}
-        cut: list[list[str] | None] = []
-        met: set[str] = set()
-        for text in texts:
-            if not text or _UNEVEN.search(text) or any(a in text for a in self.added):
-                cut.append(None)
-            else:
-                cut.append(text.split(" "))
-                met.update(cut[-1][1:])
         memo, older = self.memo, self.older
-        met.difference_update(memo)
-        memo.update((x, older[x]) for x in met if x in older)
-        if new := [x for x in met if x not in older]:
-            self._learn(new)
-        get = memo.__getitem__
-        return [
-            self.whole(t) if c is None else self.head(c[0]) + b"".join(map(get, c[1:])) for t, c in zip(texts, cut)
-        ]
+        new = [x for x in pieces if x not in memo]
+        memo.update((x, older[x]) for x in new if x in older)
+        self._learn([x for x in new if x not in memo])
+        return list(map(memo.__getitem__, pieces))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after the other, and the number of ids of each text."""
+        cut = pc.split_pattern(texts, " ")
+        starts = cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
+        words = cut.flatten().dictionary_encode()
+        which = words.indices.to_numpy().copy()
+        # A text's first piece has no space before it and gets an entry of its own.
+        ids = self._known(words.dictionary.to_pylist()) + [self.head(x.as_py()) for x in words.take(pa.array(starts))]
+        which[starts] = np.arange(len(ids) - len(texts), len(ids))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        table = pa.ListArray.from_arrays(edges, pa.array(np.frombuffer(b"".join(ids), self.dtype)))
+        flat = table.take(pa.array(which)).flatten().to_numpy()
+        counts = np.add.reduceat(sizes[which], starts)
+        uncut = np.flatnonzero(np.logical_or.reduceat(sizes[which] == 0, starts))
+        if not len(uncut):
+            return flat, counts
+        parts = np.split(flat, np.cumsum(counts)[:-1])
+        for k in uncut:
+            parts[k] = np.frombuffer(self.whole(texts[int(k)].as_py()), self.dtype)
+        return np.concatenate(parts), np.array([len(x) for x in parts])
 
 
 @lru_cache(maxsize=2)
@@ -177,22 +224,21 @@ def _write_part(folder: str, path: str, end_id: int, sequence: int, batch_rows:
         part, tokens = TaskContext.get().partitionId(), encoder(path)
         store, target = pafs.FileSystem.from_uri(part_uri(folder, part))
         draft, writer, at = f"{target}.{uuid.uuid4().hex}", None, 0
-        end = np.asarray([end_id], tokens.dtype)
-        for batch in rows_of(batches):
+        for batch in blocks_of(batches, "text"):
             if writer is None:
                 store.create_dir(target.rpartition("/")[0], recursive=True)
                 sink = store.open_output_stream(draft)
                 writer = SequenceWriter(sink, tokens.dtype, sequence, batch_rows)
-            counts, offsets = [], []
-            for ids in tokens.encode(batch.column("text").to_pylist()):
-                values = np.concatenate([np.frombuffer(ids, tokens.dtype), end])
-                writer.write(values)
-                offsets.append(at)
-                counts.append(len(values))
-                at += len(values)
+            flat, counts = tokens.encode(batch.column("text"))
+            # One end id after each document.
+            flat = np.insert(flat, np.cumsum(counts), end_id)
+            writer.write(flat)
+            counts = counts + 1
+            offsets = at + np.cumsum(counts) - counts
+            at += len(flat)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([part] * len(counts), pa.int32()), pa.array(offsets, pa.int64()),
-                 pa.array(counts, pa.int64())],
+                [batch.column("doc_id"), pa.array(np.full(len(counts), part, np.int32)), pa.array(offsets),
+                 pa.array(counts)],
                 names=["doc_id", "part", "first", "n_tokens"],
             )
         if writer is not None:

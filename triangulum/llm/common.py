@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
 
-__all__ = ["materialize", "read", "rows_of", "scratch_path", "text_of", "with_row_number"]
+__all__ = ["blocks_of", "materialize", "read", "rows_of", "scratch_path", "text_of", "with_row_number"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,3 +37,15 @@ def rows_of(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut where the strings of ``column`` reach ``most`` bytes; a longer one is a block of its own."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy().astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
