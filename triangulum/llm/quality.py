@@ -46,16 +46,17 @@ def measures(text: Column, words: Column) -> dict[str, Column]:
 
     length = F.length(text)
     count = F.size(words)
+    signs = F.regexp_replace(text, r"[\p{L}\p{M}\p{N}\s]+", "")
 
-    def chars(drop: str) -> Column:
-        return _share(length - F.length(F.translate(text, drop, "")), length)
+    def number(of: str) -> Column:
+        return F.length(signs) - F.length(F.translate(signs, of, ""))
 
     return {
-        "symbols": chars("*#$%&~^=<>{}@_\\"),
-        "bars": chars("|\t"),
-        "shouts": _share(length - F.length(F.translate(text, "!", "")), count),
+        "symbols": _share(number("*#$%&~^=<>{}@_\\"), length),
+        "bars": _share(number("|"), length),
+        "shouts": _share(number("!"), count),
         "capitals": _share(length - F.length(F.regexp_replace(text, r"\p{Lu}+", "")), length),
-        "stops": _share(length - F.length(F.translate(text, ".,;:?", "")), count),
+        "stops": _share(number(".,;:?"), count),
         "distinct": _share(F.size(F.array_distinct(words)) + PLAIN_WORDS, count),
         "function": F.size(F.array_intersect(words, F.array(*[F.lit(w) for w in sorted(set(FUNCTION_WORDS))]))),
         "words": count,
