@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, text_of
 
-LABELLED_ROWS, VOCABULARY, MIN_DOCS = 12_000, 20_000, 5
+LABELLED_ROWS, VOCABULARY, MIN_DOCS = 8_000, 20_000, 5
 STEPS, TOLERANCE = 60, 1e-4
 EPSILON = 0.01
 
@@ -38,17 +38,23 @@ def domains_of(labels: DataFrame) -> DataFrame:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[\s.,;:]+"), lambda w: w != "")
+    """Lower-case words; the first and the last may be empty."""
+    return F.split(F.lower(text), r"[\s.,;:]+")
 
 
-def posteriors(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...]) -> DataFrame:
-    """_doc, _tokens and _p: the whole row, its number of words, a posterior per domain.
+def _count(words: Column) -> Column:
+    blank = F.when(words[0] == "", 1).otherwise(0) + F.when(F.element_at(words, -1) == "", 1).otherwise(0)
+    return F.greatest(F.size(words) - blank, F.lit(0))
+
+
+def posteriors(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...], held: list[str]) -> DataFrame:
+    """_doc (a struct of the columns ``held``), _tokens and _p: the number of words, a posterior per domain.
 
     The classifier is a multinomial logistic regression on the words that occur in the
-    labelled documents; at most about 12,000 labelled rows, chosen by a hash of doc_id,
-    are used.  With one domain among them it is certain; with none all are equally likely.
+    labelled documents; about 8,000 labelled rows at most, chosen by a hash of doc_id, are
+    used and, being so few, broadcast to find their texts.  With one domain among them it is certain; with none all are equally likely.
     """
-    share = max(1, labelled.count() // LABELLED_ROWS)
+    share = max(1, -(-labelled.count() // LABELLED_ROWS))
     index = F.create_map(*[F.lit(x) for k, d in enumerate(domains) for x in (d, float(k))])
     known = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select(
         F.col("doc_id").cast("bigint").alias("_id"), index[F.col("domain")].alias("_label")
@@ -56,10 +62,11 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...]) -
     known = known.filter("_label IS NOT NULL").groupBy("_id").agg(F.min("_label").alias("_label"))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("_id"), text_of().alias("_text"))
     texts = texts.filter(F.pmod(F.xxhash64("_id"), F.lit(share)) == 0)
-    sample = texts.join(known, "_id").select("_label", _words(F.col("_text")).alias("_words"))
-    sample = materialize(sample, "labelled")
-    rows = docs.select(F.struct("*").alias("_doc"), _words(text_of()).alias("_words"))
-    tokens = F.size("_words").alias("_tokens")
+    sample = materialize(texts.join(F.broadcast(known), "_id").select("_label", "_text"), "labelled")
+    sample = sample.select("_label", _words(F.col("_text")).alias("_words"))
+    row = F.struct(*[F.col(f"`{c}`") for c in held]).alias("_doc")
+    rows = docs.select(row, _words(text_of()).alias("_words"))
+    tokens = _count(F.col("_words")).alias("_tokens")
     seen = [r["_label"] for r in sample.select("_label").distinct().collect()]
     if len(seen) < 2:
         even = [float(k == seen[0]) if seen else 1 / len(domains) for k in range(len(domains))]
@@ -68,7 +75,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...]) -
         inputCol="_words", outputCol="_vector", vocabSize=VOCABULARY, minDF=MIN_DOCS, binary=True
     ).fit(sample)
     model = LogisticRegression(
-        featuresCol="_vector", labelCol="_label", family="multinomial", maxIter=50, regParam=1e-3,
+        featuresCol="_vector", labelCol="_label", family="multinomial", maxIter=30, regParam=1e-3,
         rawPredictionCol="_raw", probabilityCol="_probability", predictionCol="_guess",
     ).fit(counter.transform(sample))
     scored = model.transform(counter.transform(rows))
@@ -78,61 +85,84 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...]) -
     return scored.select("_doc", tokens, padded.alias("_p"))
 
 
-def _totals(rows: DataFrame, rate: Column, before: Column, count: int):
+Step = tuple[float, list[float]]
+
+
+def rate_of(steps: list[Step], most: float | None = None, p: str = "_p", tokens: str = "_tokens") -> Column:
+    """The rate after the steps, from rate 1; a row without tokens keeps 1.
+
+    Rates of one posterior are equal, so a step's length and gradient say all about it.
+    """
+    rate = F.lit(1.0)
+    if steps:
+        slopes = F.array(*[F.array(*[F.lit(length * g) for g in gradient]) for length, gradient in steps])
+        rate = F.aggregate(slopes, rate, lambda r, g: _moved(r, F.col(p), g, len(steps[0][1]), most))
+    return F.when(F.col(tokens) > 0, rate).otherwise(F.lit(1.0))
+
+
+def _moved(rate: Column, p: Column, slope: Column, size: int, most: float | None) -> Column:
+    moved = F.greatest(F.lit(0.0), rate - sum((p[d] * slope[d] for d in range(1, size)), p[0] * slope[0]))
+    return moved if most is None else F.least(F.lit(float(most)), moved)
+
+
+def _totals(rows: DataFrame, rate: Column, before: Column, count: int) -> tuple[list[float], float]:
     """Per domain the expected tokens; the tokens times squared change of the rates."""
-    n = F.col("_tokens")
-    sums = [F.coalesce(F.sum(n * F.col("_p")[d] * rate), F.lit(0.0)) for d in range(count)]
-    row = rows.agg(*sums, F.coalesce(F.sum(n * (rate - before) * (rate - before)), F.lit(0.0))).first()
+    both = rows.select("_tokens", "_p", rate.alias("r"), before.alias("q"))
+    sums = [f"coalesce(sum(_tokens * _p[{d}] * r), 0D) AS s{d}" for d in range(count)]
+    row = both.selectExpr(*sums, "coalesce(sum(_tokens * (r - q) * (r - q)), 0D) AS c").first()
     return list(row)[:count], row[count]
 
 
-def fit_rates(rows: DataFrame, targets: list[float], most: float | None = None) -> DataFrame:
-    """Add _rate >= 0 (and <= ``most``) to rows with _tokens and _p, a written table.
+def fit_steps(rows: DataFrame, targets: list[float], most: float | None = None) -> list[Step]:
+    """Steps to the rates over rows with _tokens and _p; each step writes and reads these and the rate.
 
-    Projected gradient with the step length of two successive gradients; of all steps the
-    rates with the smallest weighted squares are taken.  A domain whose target is 0 is
-    weighed as if its target were a hundredth of all.  Rows without tokens keep rate 1.
+    Projected gradient with the step length of two successive gradients; of all steps
+    those up to the smallest weighted squares are returned.  A domain whose target is 0
+    is weighed as if its target were a hundredth of all.
     """
     size = len(targets)
     floor = max(sum(targets), 1.0) * EPSILON
     weights = [1 / max(t, floor) for t in targets]
-    rate = F.lit(1.0)
-    current = rows.select("*", rate.alias("_rate"))
+    steps: list[Step] = []
+    current = rows.select("_tokens", "_p", F.lit(1.0).alias("_rate"))
     totals, _ = _totals(current, F.col("_rate"), F.lit(1.0), size)
-    best = None
+    best: tuple[float, int] | None = None
     length = sum(max(t, floor) for t in targets) / max(sum(totals), 1.0) / size
     for step in range(STEPS + 1):
         gradient = [w * (a - t) for w, a, t in zip(weights, totals, targets)]
         loss = sum(w * (a - t) ** 2 for w, a, t in zip(weights, totals, targets))
         if best is None or loss < best[0]:
-            best = loss, current
+            best = loss, len(steps)
         if step == STEPS or all(abs(a - t) <= TOLERANCE * max(t, floor) for a, t in zip(totals, targets)):
             break
-        slope = sum((F.col("_p")[d] * F.lit(float(g)) for d, g in enumerate(gradient)), F.lit(0.0))
-        moved = F.greatest(F.lit(0.0), F.col("_rate") - F.lit(float(length)) * slope)
-        if most is not None:
-            moved = F.least(F.lit(float(most)), moved)
-        moved = F.when(F.col("_tokens") > 0, moved).otherwise(F.lit(1.0))
-        fresh = materialize(current.select(*rows.columns, F.col("_rate").alias("_before"), moved.alias("_rate")), "rates")
-        after, change = _totals(fresh, F.col("_rate"), F.col("_before"), size)
+        steps.append((float(length), gradient))
+        slope = F.array(*[F.lit(length * g) for g in gradient])
+        moved = F.when(F.col("_tokens") > 0, _moved(F.col("_rate"), F.col("_p"), slope, size, most)).otherwise(F.lit(1.0))
+        current = current.select("_tokens", "_p", F.col("_rate").alias("_before"), moved.alias("_rate"))
+        current = materialize(current, "rates")
+        after, change = _totals(current, F.col("_rate"), F.col("_before"), size)
         # <s, s> / <s, y> of the step s and the change y of the gradient, both summed over documents.
         curve = sum(w * (b - a) ** 2 for w, a, b in zip(weights, totals, after))
         if change == 0 or curve == 0:
             break
-        length, totals, current = change / curve, after, fresh.drop("_before")
-        current = current.select(*rows.columns, "_rate")
-    return best[1]
+        length, totals = change / curve, after
+    return steps[: best[1]]
+
+
+def fit_rates(rows: DataFrame, targets: list[float], most: float | None = None) -> DataFrame:
+    """Add _rate >= 0 (and <= ``most``) to rows with _tokens and _p, a written table."""
+    return rows.withColumn("_rate", rate_of(fit_steps(rows, targets, most), most))
 
 
 def mixed(
     docs: DataFrame, labelled: DataFrame, shares: dict[str, float], tokens: float | None = None, most: float | None = None
 ) -> DataFrame:
-    """_doc, _tokens, _p and _rate of every row; ``tokens`` is the total to reach, the present one if None.
+    """_doc (with doc_id), _tokens, _p and _rate of every row; ``tokens`` is the total to reach, the present one if None.
 
     A target total that no rates can reach is approached in least squares.
     """
     domains = tuple(shares)
-    rows = materialize(posteriors(docs, labelled, domains), "posteriors")
+    rows = materialize(posteriors(docs, labelled, domains, ["doc_id"]), "posteriors")
     total = tokens if tokens is not None else rows.agg(F.coalesce(F.sum("_tokens"), F.lit(0))).first()[0]
     whole = sum(shares.values())
     return fit_rates(rows, [total * shares[d] / whole for d in domains], most)
@@ -165,7 +195,7 @@ def resample(
     ``most`` no document is repeated.  A row without tokens stays.
     """
     domains = tuple(shares)
-    rows = materialize(posteriors(docs, labelled, domains), "posteriors")
+    rows = materialize(posteriors(docs, labelled, domains, docs.columns), "posteriors")
     place = domains.index(keep)
     present = rows.agg(F.coalesce(F.sum(F.col("_tokens") * F.col("_p")[place]), F.lit(0.0))).first()[0]
     targets = [present * (1 + headroom) * shares[d] / shares[keep] for d in domains]
