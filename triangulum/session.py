@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The folder of a local session that names none; made on first use.
+_own: list[str] = []
+
 
 def local_session(cpus: int | str = 8, app: str = "triangulum") -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
@@ -33,9 +36,9 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="triangulum-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not _own:
+        _own.append(tempfile.mkdtemp(prefix="triangulum-"))
+    return _own[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
