@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import rows_of, text_of
 
-MEMO, WORD_MEMO = 300_000, 200_000
+MEMO = 300_000
 ARCS = 4_000_000
 
 
@@ -120,7 +120,8 @@ class Automaton:
 class WordTokenizer:
     """Normalisation, pre-split and automaton of a word-level BPE file with byte symbols."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO):
+        self.limit = memo
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -166,7 +167,7 @@ class WordTokenizer:
             for word in self.split(part):
                 known = self.met.get(word)
                 if known is None:
-                    if len(self.met) >= WORD_MEMO:
+                    if len(self.met) >= 2 * self.limit // 3:
                         self.met.clear()
                     known = self.met[word] = self.word(word)
                 out += known
@@ -181,7 +182,7 @@ class WordTokenizer:
         for piece in pieces:
             known = memo.get(piece)
             if known is None:
-                if len(memo) >= MEMO:  # pieces not met since the last time go
+                if len(memo) >= self.limit:  # pieces not met since the last time go
                     self.older, memo = memo, {}
                     self.memo = memo
                 known = self.older.get(piece)
@@ -203,17 +204,17 @@ class WordTokenizer:
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+@lru_cache(maxsize=1)
+def tokenizer(path: str, memo: int = MEMO) -> WordTokenizer:
+    return WordTokenizer(path, memo)
 
 
 RESULT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
-def _encode(path: str):
+def _encode(path: str, memo: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = tokenizer(path)
+        words = tokenizer(path, memo)
         for batch in rows_of(batches):
             counts, ids, decoded = [], [], []
             for text in batch.column("text").to_pylist():
@@ -253,12 +254,12 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     return rows.mapInArrow(encode_ids(path), "doc_id bigint, ids array<int>, decoded string")
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
+def digests(docs: DataFrame, path: str, memo: int = MEMO) -> DataFrame:
     """doc_id, number of ids, and SHA-256 of ids and decoded text of every whole text.
 
     One pass without a shuffle; repeated rows give repeated results, an empty table none,
-    and columns other than doc_id and text are not looked at.  A worker keeps the pieces
-    it met last, between 300,000 and 600,000 of them.
+    and columns other than doc_id and text are not looked at.  A worker keeps the
+    ``memo`` to twice ``memo`` pieces it met last, which changes speed and memory alone.
     """
     rows = docs.select(F.col("doc_id").cast("bigint"), text_of().alias("text"))
-    return rows.mapInArrow(_encode(path), RESULT)
+    return rows.mapInArrow(_encode(path, memo), RESULT)
