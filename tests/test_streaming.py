@@ -43,9 +43,9 @@ def test_any_batch_split_gives_the_batch_history(spark, order):
         random.Random(9).shuffle(mixed)
         parts = [mixed[i::3] for i in range(3)]
     table = HistoryTable(spark, scratch_path(spark, "hist"), KEYS, "ingested_at", ["value"], buckets=4)
-    for i, part in enumerate(parts):
-        table.merge(frame(spark, part), i)
-    table.merge(frame(spark, parts[-1]), len(parts) - 1)  # a batch id run twice changes nothing
+    for part in parts:
+        table.merge(frame(spark, part))
+    table.merge(frame(spark, parts[-1]))  # a batch run twice changes nothing
     want = scd2.scd2_batch(frame(spark, rows), KEYS, "ingested_at", ["value"])
     assert as_rows(table.history()) == as_rows(want)
     assert table.current().count() == want.filter("end_at IS NULL").count()
@@ -83,6 +83,38 @@ def test_stream_through_bronze_and_history(spark):
     assert as_rows(table.history()) == as_rows(want)
 
 
+def test_restart_with_a_new_checkpoint_keeps_everything(spark):
+    base = scratch_path(spark, "restart")
+    rows = [r for r in events(60, seed=3)]
+    table = HistoryTable(spark, f"{base}/hist", KEYS, "ingested_at", ["value"], buckets=4)
+    for turn, part in enumerate((rows[:40], rows[40:])):
+        frame(spark, part).write.parquet(f"{base}/in{turn}")
+        schema = frame(spark, part).schema
+        scd2_stream(stream_scan(spark, f"{base}/in{turn}", schema), table, f"{base}/cp{turn}")
+    want = as_rows(scd2.scd2_batch(frame(spark, rows), KEYS, "ingested_at", ["value"]))
+    assert as_rows(table.history()) == want
+    table.compact()
+    table.vacuum()
+    assert as_rows(table.history()) == want
+    assert list(table._versions("data")) == list(table._versions("manifest"))
+
+
+def test_a_merge_rewrites_only_the_keys_of_its_batch(spark):
+    table = HistoryTable(spark, scratch_path(spark, "few"), KEYS, "ingested_at", ["value"], buckets=4)
+    columns = ["province", "'2024-01' AS ref_date", "'hpi_index' AS indicator_name", "1.0D AS value"]
+    many = spark.range(20_000).selectExpr("IF(id = 7, NULL, concat('P', id)) AS province").selectExpr(
+        *columns, "timestamp'2024-01-01' AS ingested_at"
+    )
+    table.merge(many)
+    table.merge(many.limit(500).withColumns({"value": F.lit(2.0), "ingested_at": F.lit(datetime(2024, 1, 2))}))
+    assert spark.read.parquet(f"{table.path}/data/version=1").count() == 1_000
+    assert table.history().count() == 20_500
+    assert table.current().count() == 20_000
+    assert table.history().filter("province IS NULL").count() == 2
+    with pytest.raises(ValueError, match="buckets"):
+        HistoryTable(spark, table.path, KEYS, "ingested_at", ["value"], buckets=8).history()
+
+
 def test_full_update(spark):
     base = scratch_path(spark, "update")
     claims = [("Homeowners", "Ontario", f"2020-0{m}-05", 10.0 * m, 20.0, "Fire") for m in (1, 1, 2, 3)] + [("Bad", "Ontario", "2020-01-01", 1.0, 1.0, "Fire")]

@@ -24,8 +24,10 @@ def line_triangle(reserves: DataFrame, by: Sequence[str] = LINE) -> DataFrame:
 
 
 def triangle_pivot(tri: DataFrame, lags: Sequence[int], by: Sequence[str] = LINE) -> DataFrame:
-    """Accident x lag matrix with a fixed lag list."""
-    wide = tri.groupBy(*by, "accident_month").pivot("dev_lag", list(lags)).agg(F.sum("cumulative_paid"))
+    """Accident x lag matrix with a fixed lag list; a lag outside the list fails the query."""
+    outside = F.raise_error(F.concat(F.lit("lag outside the list: "), F.col("dev_lag"))).cast("double")
+    paid = F.when(F.col("dev_lag").isin(*lags), F.col("cumulative_paid")).otherwise(outside)
+    wide = tri.withColumn("cumulative_paid", paid).groupBy(*by, "accident_month").pivot("dev_lag", list(lags)).agg(F.sum("cumulative_paid"))
     return wide.select(*by, "accident_month", *[F.col(str(k)).alias(f"lag_{k}") for k in lags])
 
 

@@ -92,10 +92,13 @@ def current_versions(history: DataFrame) -> DataFrame:
 def scd1_latest(
     events: DataFrame, keys: Sequence[str], sequence_by: str | Column, tie_break: str | None = None
 ) -> DataFrame:
-    """Latest row per key without building the history (map-side combined)."""
+    """Latest row per key without building the history (map-side combined).
+
+    Of equal sequences the highest tie-break wins, or the greatest row when there is none.
+    """
     seq = F.col(sequence_by) if isinstance(sequence_by, str) else sequence_by
-    order = F.struct(seq, F.col(tie_break)) if tie_break else seq
     rest = [c for c in events.columns if c not in keys]
+    order = F.struct(seq, F.col(tie_break) if tie_break else F.struct(*rest))
     return (
         events.groupBy(*keys)
         .agg(F.max_by(F.struct(*rest), order).alias("_row"))

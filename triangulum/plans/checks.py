@@ -141,15 +141,18 @@ CTES: dict[str, str] = {
                      {rnd('sum(claim_amount)', 2)} AS total_incurred,
                      {rnd('sum(monthly_prem_exposure)', 2)} AS earned_premium
               FROM claims GROUP BY 1, 2, 3, 4)""",
-    "panel": f"SELECT * FROM monthly WHERE month BETWEEN DATE '1995-01-01' AND DATE '{reg.LAST_FULL_MONTH}'",
-    "cells": f"""
-        SELECT product_line, region, CAST(date_trunc('quarter', order_date) AS DATE) AS accident,
-               year(ship) * 4 + quarter(ship) - year(order_date) * 4 - quarter(order_date) + 1 AS dev_lag,
-               sum(round(l_extendedprice * 100.0) / 100.0) AS incurred, sum({PAID}) AS paid
-        FROM (SELECT *, CAST(l_shipdate AS DATE) AS ship FROM lineitem) JOIN segs ON l_orderkey = o_orderkey
-        WHERE ship >= order_date GROUP BY 1, 2, 3, 4
-        HAVING year(max(ship)) > 0 AND dev_lag <= {adapters.MAX_LAG}""",
-    "valuation": "SELECT CAST(max(o_orderdate) AS DATE) AS v FROM orders",
+    "panel": "SELECT * FROM monthly",
+    "items": """
+        SELECT product_line, region, l_extendedprice, l_discount,
+               least(order_date, CAST(l_shipdate AS DATE)) AS d0, greatest(order_date, CAST(l_shipdate AS DATE)) AS d1
+        FROM lineitem JOIN segs ON l_orderkey = o_orderkey""",
+    "cells": """
+        SELECT product_line, region, CAST(date_trunc('quarter', d0) AS DATE) AS accident,
+               datediff('quarter', d0, d1) + 1 AS dev_lag,
+               sum(round(l_extendedprice * 100.0) / 100.0) AS incurred,
+               sum(round(l_extendedprice * (1.0 - l_discount) * 100.0) / 100.0) AS paid
+        FROM items GROUP BY 1, 2, 3, 4""",
+    "valuation": "SELECT max(d1) AS v FROM items",
     "reserves": f"""
         SELECT a.product_line || '__' || a.region AS segment_id, a.product_line, a.region,
                CAST(a.accident AS VARCHAR) AS accident_month,
@@ -161,8 +164,7 @@ CTES: dict[str, str] = {
                      {rnd('sum(coalesce(c.paid, 0.0)) OVER w', 2)} AS cp,
                      {rnd('sum(coalesce(c.incurred, 0.0)) OVER w', 2)} AS ci
               FROM (SELECT product_line, region, accident,
-                           unnest(range(1, least({adapters.MAX_LAG},
-                               year(v) * 4 + quarter(v) - year(accident) * 4 - quarter(accident) + 1) + 1)) AS lag
+                           unnest(range(1, datediff('quarter', accident, v) + 2)) AS lag
                     FROM (SELECT DISTINCT product_line, region, accident FROM cells), valuation) g
               LEFT JOIN cells c ON c.product_line = g.product_line AND c.region = g.region
                    AND c.accident = g.accident AND c.dev_lag = g.lag
@@ -436,7 +438,8 @@ def _pit() -> str:
                      CAST(CAST(DATE '1996-02-01' + to_months(CAST(event_id % 48 AS INTEGER)) AS DATE)
                           + CAST(day(ts) - 1 AS INTEGER) AS TIMESTAMP) AS obs_ts, value AS target_loss_ratio
               FROM events JOIN (SELECT segment_id, row_number() OVER (ORDER BY segment_id) AS i
-                                FROM (SELECT DISTINCT segment_id FROM monthly)) s ON s.i = user_id % 25 + 1) o
+                                FROM (SELECT DISTINCT segment_id FROM monthly)) s ON s.i = user_id %
+                     (SELECT count(DISTINCT segment_id) FROM monthly) + 1) o
         ASOF LEFT JOIN feats f ON o.segment_id = f.segment_id AND o.obs_ts >= f.month_ts"""
 
 
@@ -558,9 +561,12 @@ def _moments() -> str:
                {rnd('avg(sev_sigma)', 4)} FROM m"""
 
 
+# a month that one side lacks is no pair; greatest alone would turn it into 1
 _LOG_CORR = """
         SELECT corr(p, a) AS corr_prop_auto, corr(p, l) AS corr_prop_liab, corr(a, l) AS corr_auto_liab
-        FROM (SELECT ln(greatest(p, 1.0)) AS p, ln(greatest(a, 1.0)) AS a, ln(greatest((p + a) * 0.5, 1.0)) AS l
+        FROM (SELECT CASE WHEN p IS NOT NULL THEN ln(greatest(p, 1.0)) END AS p,
+                     CASE WHEN a IS NOT NULL THEN ln(greatest(a, 1.0)) END AS a,
+                     CASE WHEN p + a IS NOT NULL THEN ln(greatest((p + a) * 0.5, 1.0)) END AS l
               FROM (SELECT month, sum(inc) FILTER (seg = 'Property') AS p, sum(inc) FILTER (seg = 'Auto') AS a
                     FROM seg_month GROUP BY 1))"""
 
@@ -671,6 +677,25 @@ BODIES: dict[str, str] = {
         SELECT *, ingested_at AS start_at, lead(ingested_at) OVER (PARTITION BY province, ref_date, indicator_name
                ORDER BY ingested_at) AS end_at FROM bronze""",
     "scd2_stream": "SELECT * FROM history",
+    "scd2_restart": "SELECT * FROM history",
+    "reserve_history": f"""
+        SELECT *, development_month AS start_at,
+               lead(development_month) OVER (PARTITION BY segment_id, accident_month, dev_lag
+                                             ORDER BY development_month) AS end_at
+        FROM (SELECT segment_id, product_line, region, accident_month, dev_lag, development_month, cumulative_paid,
+                     cumulative_incurred, case_reserve FROM reserves
+              UNION ALL
+              SELECT segment_id, product_line, region, accident_month, dev_lag,
+                     CAST(CAST(CAST(development_month AS DATE) + INTERVAL 3 MONTH AS DATE) AS VARCHAR),
+                     cumulative_paid, cumulative_paid, 0.0 FROM reserves)
+        WHERE cumulative_paid >= 0 AND cumulative_incurred >= 0 AND case_reserve >= 0
+              AND product_line IN ({values_list(reg.VALID_LINES)})""",
+    "reserve_reconciliation": """
+        SELECT c_mktsegment AS product_line, count(*) AS n_items,
+               sum(round(l_extendedprice * 100.0) / 100.0) AS incurred,
+               sum(round(l_extendedprice * (1.0 - l_discount) * 100.0) / 100.0) AS paid
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+        GROUP BY 1""",
     "current_macro": "SELECT * FROM history WHERE end_at IS NULL",
     "latest_macro": "SELECT * FROM latest_macro",
     "claims_monthly": "SELECT * FROM monthly",

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from ..operators import features, gold
 from ..operators.quality import expect_or_drop
 from ..operators.scd2 import current_versions, scd2_batch
+from ..operators.skew import MAX_ROWS_PER_TASK
 from ..streaming.flows import HistoryTable, bronze_stream, scd2_stream, stream_scan
 
 # Lines of business and the row rules of the three bronze tables.
@@ -59,7 +60,9 @@ def segment_features(monthly: DataFrame) -> DataFrame:
     return features.feature_table(gold.rolling_features(monthly))
 
 
-def silver_reserves(raw: DataFrame, lines: Sequence[str] = PRODUCT_LINES, max_rows: int | None = None) -> DataFrame:
+def silver_reserves(
+    raw: DataFrame, lines: Sequence[str] = PRODUCT_LINES, max_rows: int | None = MAX_ROWS_PER_TASK
+) -> DataFrame:
     """Type-2 reserve history.  A key is one triangle cell, so its rows are its revisions."""
     return scd2_batch(
         expect_or_drop(raw, reserve_rules(lines)),
@@ -122,6 +125,7 @@ def run_update(
     for name, table in tables.items():
         schema = spark.read.parquet(paths[name]).schema
         scd2_stream(stream_scan(spark, paths[name], schema), table, f"{state}/silver_{name}")
+        table.compact()
     monthly = gold.claims_monthly(spark.read.parquet(paths["claims"]))
     out_tables = {
         "gold_claims_monthly": monthly,

@@ -40,8 +40,8 @@ SCORER_LINE = {
 }
 RESERVE_FACTORS = {"AUTOMOBILE": 0.05, "MACHINERY": 0.10, "HOUSEHOLD": 0.10, "BUILDING": 0.10}
 PREMIUM_FACTORS = {"AUTOMOBILE": 0.12, "MACHINERY": 0.18, "HOUSEHOLD": 0.15}
-LAST_FULL_MONTH = "2001-07-01"
-DIAGONAL_LAGS = tuple(range(1, adapters.MAX_LAG + 1))
+# Lags of the report matrix: the quarters of the seven years 1995 to 2001; more fail the query.
+DIAGONAL_LAGS = tuple(range(1, 29))
 SIM_REPLICATIONS = 20_000
 SIM_TASK = 5_000
 
@@ -75,15 +75,6 @@ def _written_monthly(s: SparkSession, d: str) -> DataFrame:
     return materialize(_monthly(s, d), "monthly")
 
 
-def _full(monthly: DataFrame) -> DataFrame:
-    """The panel without the last, partial month."""
-    return reports.month_between(monthly, "1995-01-01", LAST_FULL_MONTH)
-
-
-def _full_months(s: SparkSession, d: str) -> DataFrame:
-    return _full(_monthly(s, d))
-
-
 def _reserves(s: SparkSession, d: str) -> DataFrame:
     return adapters.reserve_development(s, d)
 
@@ -108,12 +99,12 @@ def _features(s: SparkSession, d: str) -> DataFrame:
 def _panel(s: SparkSession, d: str) -> DataFrame:
     """Claims with macro and feature columns: the forecast input."""
     monthly = _written_monthly(s, d)
-    macro = features.join_macro(_full(monthly), _macro_wide(s, d))
+    macro = features.join_macro(monthly, _macro_wide(s, d))
     return features.join_features(macro, medallion.segment_features(monthly))
 
 
 def _naive(s: SparkSession, d: str) -> DataFrame:
-    return forecast.seasonal_naive(_full(_written_monthly(s, d)))
+    return forecast.seasonal_naive(_written_monthly(s, d))
 
 
 def _notes(s: SparkSession, d: str) -> DataFrame:
@@ -136,7 +127,7 @@ def _line_cvs(s: SparkSession, d: str) -> DataFrame:
 
 
 def _calibrated(s: SparkSession, d: str) -> DataFrame:
-    panel = _full(_written_monthly(s, d))
+    panel = _written_monthly(s, d)
     naive = forecast.seasonal_naive(panel)
     row = portfolio.calibrate_portfolio(panel, _cvs_of(naive), SEGMENT_OF, CV_DEFAULTS)
     return materialize(row, "portfolio")
@@ -222,6 +213,38 @@ def q_scd2_stream(s: SparkSession, d: str) -> DataFrame:
     return table.history()
 
 
+def _reserve_revisions(s: SparkSession, d: str) -> DataFrame:
+    """Every cell as first booked and, a quarter later, restated from incurred to paid."""
+    booked = _reserves(s, d)
+    later = F.add_months(F.col("development_month").cast("date"), 3).cast("string")
+    restated = F.array(
+        F.struct(F.col("development_month").alias("at"), F.col("cumulative_incurred").alias("amount")),
+        F.struct(later.alias("at"), F.col("cumulative_paid").alias("amount")),
+    )
+    return booked.withColumn("_r", F.explode(restated)).withColumns(
+        {
+            "development_month": F.col("_r.at"),
+            "cumulative_incurred": F.col("_r.amount"),
+            "case_reserve": sc.fixed(F.col("_r.amount") - F.col("cumulative_paid"), 2),
+        }
+    ).drop("_r")
+
+
+def q_scd2_restart(s: SparkSession, d: str) -> DataFrame:
+    """The macro feed in two landings, each streamed with a checkpoint of its own into one history."""
+    base = scratch_path(s, "restart")
+    feed = _bronze_macro(s, d)
+    table = HistoryTable(s, f"{base}/history", medallion.MACRO_KEYS, "ingested_at", ("value",), buckets=8)
+    for turn in (0, 1):
+        # dealt out by hash: the second landing holds events before and after those of the first
+        part = feed.filter(F.pmod(F.xxhash64("ingested_at"), F.lit(2)) == turn)
+        part.write.parquet(f"{base}/landing{turn}")
+        scd2_stream(stream_scan(s, f"{base}/landing{turn}", feed.schema), table, f"{base}/cp{turn}")
+    table.compact()
+    table.vacuum()
+    return table.history()
+
+
 def q_bronze_stream(s: SparkSession, d: str) -> DataFrame:
     base = scratch_path(s, "bronze")
     landing = adapters.macro_indicators(s, d)
@@ -393,11 +416,24 @@ def q_combined_risk(s: SparkSession, d: str) -> DataFrame:
 
 
 def q_mct_capital(s: SparkSession, d: str) -> DataFrame:
-    premium = materialize(reports.annual_premium(_full_months(s, d)), "premium")
+    premium = materialize(reports.annual_premium(_monthly(s, d)), "premium")
     reserves = reports.outstanding_reserves(gold.triangle(_reserves(s, d)))
     return reports.mct_capital(reports.mct_lines(reserves, premium, RESERVE_FACTORS, PREMIUM_FACTORS), premium)
 
 
+def q_reserve_reconciliation(s: SparkSession, d: str) -> DataFrame:
+    """Line items in the triangle's cells, and incurred and paid on the latest diagonal, per line."""
+    counted = adapters.reserve_cells(s, d).groupBy("product_line").agg(F.sum("n_items").alias("n_items"))
+    diagonal = cl.latest_diagonal(
+        gold.triangle(_reserves(s, d)), ["segment_id", "product_line", "region", "accident_month"]
+    )
+    return (
+        diagonal.groupBy("product_line")
+        .agg(F.sum("cumulative_incurred").alias("incurred"), F.sum("cumulative_paid").alias("paid"))
+        .join(counted, "product_line")
+    )
+
+
 def q_scenario_ibnr(s: SparkSession, d: str) -> DataFrame:
     """Deterministic IBNR of each line under each scenario's factors."""
     model = _model(s, d)
@@ -422,7 +458,7 @@ def q_holdout(s: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("segment_id").orderBy("month")
     back = Window.partitionBy("segment_id").orderBy(F.col("month").desc())
     scored = (
-        _full_months(s, d)
+        _monthly(s, d)
         .withColumns({"predicted": F.lag("claims_count", 12).over(w), "_rn": F.row_number().over(back)})
         .filter("_rn <= 12 AND predicted IS NOT NULL")
     )
@@ -476,7 +512,7 @@ def q_reserve_lines(s: SparkSession, d: str) -> DataFrame:
 
 def q_runoff(s: SparkSession, d: str) -> DataFrame:
     tasks = materialize(_tasks(s, d, cl.SCENARIOS[:1]))
-    return reserving.runoff(tasks, reports.global_mean(_full_months(s, d)), 20_000, per_task=5_000)
+    return reserving.runoff(tasks, reports.global_mean(_monthly(s, d)), 20_000, per_task=5_000)
 
 
 def q_calibrated(s: SparkSession, d: str) -> DataFrame:
@@ -519,7 +555,7 @@ def q_risk_timeline(s: SparkSession, d: str) -> DataFrame:
 
 
 def q_collective(s: SparkSession, d: str) -> DataFrame:
-    moments = portfolio.freq_sev_moments(_full_months(s, d), SEGMENT_OF)
+    moments = portfolio.freq_sev_moments(_monthly(s, d), SEGMENT_OF)
     params = portfolio.collective_parameters(_calibrated(s, d), moments)
     return sim.array_metrics(portfolio.collective_risk(params, 20_000, per_task=10_000), PORTFOLIO_PROBS).select(
         "scenario", "task", "n_replications", *PORTFOLIO_METRICS
@@ -611,6 +647,12 @@ QUERIES: dict[str, tuple[str, Query]] = {
         lambda s, d: medallion.silver_macro(adapters.macro_indicators(s, d), track=None),
     ),
     "scd2_stream": (MACRO_SPEC + " start_at:t end_at:t", q_scd2_stream),
+    "scd2_restart": (MACRO_SPEC + " start_at:t end_at:t", q_scd2_restart),
+    "reserve_history": (
+        SEG + " accident_month development_month dev_lag:i cumulative_paid:2 cumulative_incurred:2 case_reserve:2"
+        " start_at end_at",
+        lambda s, d: medallion.silver_reserves(_reserve_revisions(s, d), VALID_LINES),
+    ),
     "current_macro": (
         MACRO_SPEC,
         lambda s, d: scd2.current_versions(medallion.silver_macro(adapters.macro_indicators(s, d))),
@@ -655,7 +697,7 @@ QUERIES: dict[str, tuple[str, Query]] = {
     # joins
     "join_macro": (
         SEG + " month:d claims_count:i unemployment_rate:4 hpi_index:4 hpi_growth:4 housing_starts:4",
-        lambda s, d: features.join_macro(_full_months(s, d), _macro_wide(s, d)),
+        lambda s, d: features.join_macro(_monthly(s, d), _macro_wide(s, d)),
     ),
     "join_features": (
         SEG + " month:d claims_count:i hpi_index:4 rolling_3m_mean:6 rolling_6m_mean:6 coeff_variation_3m:6 "
@@ -671,7 +713,7 @@ QUERIES: dict[str, tuple[str, Query]] = {
         q_hold,
     ),
     "future_months": (
-        "segment_id month:d month_offset:i", lambda s, d: features.future_months(_full_months(s, d), 12)
+        "segment_id month:d month_offset:i", lambda s, d: features.future_months(_monthly(s, d), 12)
     ),
     "point_in_time_join": (
         "observation_id:i segment_id obs_ts:t target_loss_ratio:4 month_ts:t rolling_3m_mean:6 rolling_12m_mean:6 "
@@ -713,29 +755,29 @@ QUERIES: dict[str, tuple[str, Query]] = {
         "product_line outstanding_reserves:2 total_incurred:2",
         lambda s, d: reports.outstanding_reserves(gold.triangle(_reserves(s, d))),
     ),
-    "annual_premium": ("product_line annual_earned_premium:2", lambda s, d: reports.annual_premium(_full_months(s, d))),
+    "annual_premium": ("product_line annual_earned_premium:2", lambda s, d: reports.annual_premium(_monthly(s, d))),
     "trailing_mean": (
         "line trailing_mean:4 annualized_M:6",
-        lambda s, d: reports.trailing_mean(_full_months(s, d), "claims_count"),
+        lambda s, d: reports.trailing_mean(_monthly(s, d), "claims_count"),
     ),
-    "global_mean": ("mean_premium_M:6", lambda s, d: reports.global_mean(_full_months(s, d))),
+    "global_mean": ("mean_premium_M:6", lambda s, d: reports.global_mean(_monthly(s, d))),
     "global_mean_by_segment": (
-        "mean_premium_M:6", lambda s, d: reports.global_mean(_full_months(s, d), "segment_mean")
+        "mean_premium_M:6", lambda s, d: reports.global_mean(_monthly(s, d), "segment_mean")
     ),
     "table_profile": (
         "row_count:i segment_count:i min_months:i max_months:i", lambda s, d: reports.table_profile(_monthly(s, d))
     ),
     "ols_trend": (
         "segment_id slope:6 intercept:6 r_squared:6 annualized_growth_pct:4",
-        lambda s, d: features.ols_trend(_full_months(s, d)),
+        lambda s, d: features.ols_trend(_monthly(s, d)),
     ),
     "ols_trend_pandas": (
         "segment_id slope:6 intercept:6 r_squared:6 annualized_growth_pct:4",
-        lambda s, d: forecast.ols_trend_pandas(_full_months(s, d)),
+        lambda s, d: forecast.ols_trend_pandas(_monthly(s, d)),
     ),
     "top_growth": (
         "segment_id slope:6 annualized_growth_pct:4",
-        lambda s, d: features.ols_trend(_full_months(s, d))
+        lambda s, d: features.ols_trend(_monthly(s, d))
         .orderBy(F.col("annualized_growth_pct").desc(), "segment_id")
         .limit(10),
     ),
@@ -761,7 +803,7 @@ QUERIES: dict[str, tuple[str, Query]] = {
         "annual_earned_premium:2 premium_factor:2 premium_charge:2",
         lambda s, d: reports.mct_lines(
             reports.outstanding_reserves(gold.triangle(_reserves(s, d))),
-            reports.annual_premium(_full_months(s, d)), RESERVE_FACTORS, PREMIUM_FACTORS,
+            reports.annual_premium(_monthly(s, d)), RESERVE_FACTORS, PREMIUM_FACTORS,
         ),
     ),
     "mct_capital": (
@@ -770,6 +812,7 @@ QUERIES: dict[str, tuple[str, Query]] = {
         q_mct_capital,
     ),
     # chain ladder
+    "reserve_reconciliation": ("product_line n_items:i incurred:2 paid:2", q_reserve_reconciliation),
     "triangle_pivot": (
         "product_line accident_month " + " ".join(f"lag_{k}:2" for k in DIAGONAL_LAGS),
         lambda s, d: cl.triangle_pivot(cl.line_triangle(_reserves(s, d)), DIAGONAL_LAGS),
@@ -860,7 +903,7 @@ QUERIES: dict[str, tuple[str, Query]] = {
     ),
     "forecast_horizon": (
         "segment_id month_offset:i forecast_mean:1 forecast_lo95:1 forecast_hi95:1",
-        lambda s, d: forecast.forecast_horizon(forecast.seasonal_naive(_full_months(s, d), 18)),
+        lambda s, d: forecast.forecast_horizon(forecast.seasonal_naive(_monthly(s, d), 18)),
     ),
     "forecast_panel": (
         "segment_id mean_forecast:6 mean_half_width:6 width_start:6 width_end:6 ci_widens",
@@ -902,15 +945,15 @@ QUERIES: dict[str, tuple[str, Query]] = {
     ),
     "segment_means": (
         "property_mean_M:2 auto_mean_M:2 liability_mean_M:2",
-        lambda s, d: portfolio.segment_means(_full_months(s, d), SEGMENT_OF),
+        lambda s, d: portfolio.segment_means(_monthly(s, d), SEGMENT_OF),
     ),
     "log_corr_matrix": (
         "corr_prop_auto:6 corr_prop_liab:6 corr_auto_liab:6",
-        lambda s, d: portfolio.log_corr_matrix(_full_months(s, d), SEGMENT_OF),
+        lambda s, d: portfolio.log_corr_matrix(_monthly(s, d), SEGMENT_OF),
     ),
     "freq_sev_moments": (
         "mc_segment freq_lambda:1 freq_k:2 sev_mu:4 sev_sigma:4",
-        lambda s, d: portfolio.freq_sev_moments(_full_months(s, d), SEGMENT_OF),
+        lambda s, d: portfolio.freq_sev_moments(_monthly(s, d), SEGMENT_OF),
     ),
     "segment_cvs": (
         "property_cv:6 auto_cv:6 liability_cv:6",

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import fixed, segment_key
 
-MAX_LAG = 16
 PROVINCES = 13
 
 # Event types read as macro indicators; other types pass unchanged.
@@ -85,42 +84,57 @@ def _quarter(d: Column) -> Column:
     return F.year(d) * 4 + F.quarter(d)
 
 
-def reserve_development(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """raw_reserve_development: quarterly lags, densified up to the valuation quarter."""
+def reserve_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items, paid and incurred per segment, accident quarter and lag.
+
+    Every line item counts: its accident quarter is that of the earlier of order and ship
+    date, its lag the quarters to the later one, plus one.
+    """
     items = (
         table(spark, sf_dir, "lineitem")
         .select("l_orderkey", "l_extendedprice", "l_discount", "l_shipdate")
         .withColumn("ship_date", F.to_date("l_shipdate"))
     )
     price = F.col("l_extendedprice")
-    shipped = (
+    first, last = F.least("order_date", "ship_date"), F.greatest("order_date", "ship_date")
+    return (
         items.join(_order_segments(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
-        .filter(F.col("ship_date") >= F.col("order_date"))
         .select(
             "product_line",
             "region",
-            F.trunc("order_date", "quarter").alias("accident"),
-            (_quarter(F.col("ship_date")) - _quarter(F.col("order_date")) + 1).alias("dev_lag"),
+            F.trunc(first, "quarter").alias("accident"),
+            (_quarter(last) - _quarter(first) + 1).alias("lag"),
             fixed(price, 2).alias("incurred"),
             fixed(price * (F.lit(1.0) - F.col("l_discount")), 2).alias("paid"),
         )
-        .filter(F.col("dev_lag") <= MAX_LAG)
+        .groupBy("product_line", "region", "accident", "lag")
+        .agg(F.count("*").alias("n_items"), F.sum("paid").alias("paid"), F.sum("incurred").alias("incurred"))
     )
-    valuation = table(spark, sf_dir, "orders").agg(F.max(F.to_date("o_orderdate"))).scalar()
-    lags = F.least(F.lit(MAX_LAG), _quarter(valuation) - _quarter(F.col("accident")) + 1)
-    # One sum per lag, so every accident quarter is dense after a single shuffle.
-    measures, every_lag = ("paid", "incurred"), range(1, MAX_LAG + 1)
-    wide = shipped.groupBy("product_line", "region", "accident").agg(
-        *[F.expr(f"sum(if(dev_lag = {k}, {m}, 0D)) AS {m}_{k}") for m in measures for k in every_lag]
+
+
+def reserve_development(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_reserve_development: quarterly lags, densified up to the latest quarter seen.
+
+    Only the cells, whose number the calendar and the segments bound, go through the windows.
+    """
+    cells = reserve_cells(spark, sf_dir).drop("n_items")
+    periods = Window.partitionBy("product_line", "region", "accident").orderBy("lag")
+    seen = Window.partitionBy()
+    start = _quarter(F.col("accident"))
+    # A cell's running sums hold until the next cell; the first one also covers the empty lags before it.
+    spans = cells.withColumns(
+        {
+            "paid": F.sum("paid").over(periods),
+            "incurred": F.sum("incurred").over(periods),
+            "_from": F.when(F.row_number().over(periods) == 1, F.lit(1)).otherwise(F.col("lag")),
+            "_next": F.lead("lag").over(periods),
+            "_valuation": F.max(start + F.col("lag")).over(seen),
+        }
     )
-    running = [
-        f"named_struct('dev_lag', {k}, "
-        + ", ".join(f"'{m}', " + " + ".join(f"{m}_{j}" for j in range(1, k + 1)) for m in measures)
-        + ")"
-        for k in every_lag
-    ]
-    dense = wide.withColumn("_lags", lags).selectExpr(
-        "product_line", "region", "accident", f"inline(slice(array({', '.join(running)}), 1, _lags))"
+    until = F.coalesce(F.col("_next"), F.col("_valuation") - start + 1) - 1
+    reached = F.col("dev_lag") >= F.col("lag")
+    dense = spans.withColumn("dev_lag", F.explode(F.sequence("_from", until))).withColumns(
+        {m: F.when(reached, F.col(m)).otherwise(F.lit(0.0)) for m in ("paid", "incurred")}
     )
     return dense.select(
         segment_key("product_line", "region").alias("segment_id"),
@@ -165,12 +179,12 @@ def observations(spark: SparkSession, sf_dir: str, segments: DataFrame) -> DataF
 
     ``segments`` holds the distinct segment_id values of the panel.
     """
-    ranked = segments.agg(F.array_sort(F.collect_set("segment_id")).alias("_all"))
+    ranked = segments.agg(F.array_sort(F.collect_set("segment_id")).alias("_all")).scalar()
     start = F.add_months(F.lit("1996-02-01").cast("date"), (F.col("event_id") % 48).cast("int"))
     events = table(spark, sf_dir, "events")
     return events.select(
         F.col("event_id").alias("observation_id"),
-        F.element_at(ranked.scalar(), (F.col("user_id") % 25 + 1).cast("int")).alias("segment_id"),
+        F.element_at(ranked, (F.col("user_id") % F.size(ranked) + 1).cast("int")).alias("segment_id"),
         F.date_add(start, F.dayofmonth("ts") - 1).cast("timestamp").alias("obs_ts"),
         F.col("value").alias("target_loss_ratio"),
     )
