@@ -12,10 +12,9 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from triangulum.operators import chain_ladder as cl
-from triangulum.operators import forecast, gold, portfolio
+from triangulum.operators import forecast, gold
 from triangulum.operators import features
 from triangulum.operators import simulate as sim
 from triangulum.plans import registry
@@ -40,11 +39,8 @@ PLAIN = (
     "regional_summary",
     "mct_capital",
     "score_scenarios",
-    "frequency_forecast",
 )
 RESERVE_REPLICATIONS = 400_000
-PORTFOLIO_PATHS = 16_000_000
-RUNOFF_PATHS = 500_000
 
 
 def sink(df: DataFrame) -> None:
@@ -67,33 +63,14 @@ def simulations(spark: SparkSession) -> dict[str, Callable[[], DataFrame]]:
         model.factors, cl.SCENARIOS, auto_lines=registry.AUTO, tail_lag=registry.QUARTER_TAIL_LAG
     )
     reserve = materialize(sim.reserve_parameters(model.triangle, factors))
-    base = registry._calibrated(spark, SF_DIR)
-    stress = materialize(portfolio.stress_rows(base, ["baseline"]))
     monthly = registry._written_monthly(spark, SF_DIR)
     panel = monthly.select("segment_id", "month", "claims_count")
     large = materialize(generators.replicate(panel, 1_000, digits=4).repartition(32, "segment_id"))
-    runoff = materialize(
-        sim.with_regimes(
-            base.select(
-                F.lit("runoff").alias("scenario"),
-                F.lit(100.0).alias("initial_surplus"),
-                F.lit(8.0).alias("premium"),
-                F.transform("means", lambda m: m / 12.0).alias("line_means"),
-                F.col("cvs").alias("line_cvs"),
-            )
-        )
-    )
     per_scenario = RESERVE_REPLICATIONS // len(cl.SCENARIOS)
     return {
         "reserve_draws_400k": lambda: sim.task_metrics(
             sim.total_draws(sim.reserve_draws(reserve, per_scenario, per_task=20_000), 20_000)
         ),
-        "portfolio_paths_16m": lambda: sim.array_metrics(
-            portfolio.t_copula_losses(stress, PORTFOLIO_PATHS, per_task=250_000)
-        ),
-        "runoff_paths_500k": lambda: sim.surplus_bands(
-            materialize(sim.surplus_paths(runoff, RUNOFF_PATHS, per_task=25_000)), 25_000
-        ),
         "rolling_x1000_native": lambda: gold.rolling_features(large),
         "rolling_x1000_pandas": lambda: forecast.rolling_features_pandas(large),
         "ols_x1000_native": lambda: features.ols_trend(large),
@@ -109,8 +86,6 @@ def main() -> None:
     times.update({name: timed(make) for name, make in simulations(spark).items()})
     rates = {
         "reserve_replications_per_s": round(RESERVE_REPLICATIONS / times["reserve_draws_400k"]),
-        "portfolio_paths_per_s": round(PORTFOLIO_PATHS / times["portfolio_paths_16m"]),
-        "runoff_paths_per_s": round(RUNOFF_PATHS / times["runoff_paths_500k"]),
     }
     print(
         json.dumps(

@@ -5,7 +5,6 @@ from datetime import date
 
 import numpy as np
 import pandas as pd
-import pytest
 
 from triangulum.operators import forecast as fc
 from triangulum.operators import reports
@@ -22,44 +21,6 @@ def frame(y, **cols):
     return pd.DataFrame({"segment_id": "A__X", "month": months, "claims_count": y, **cols})
 
 
-def test_planted_season_beats_the_naive_forecast():
-    y = series(96 + 12)
-    out = fc.forecast_segment(frame(y[:96]), [], 12)
-    pred = out[out.record_type == "forecast"].forecast_mean.to_numpy(dtype=float)
-    naive = y[84:96]
-    assert np.abs(pred - y[96:]).mean() < np.abs(naive - y[96:]).mean()
-    assert out.mape_baseline.dropna().iloc[0] < 5
-    assert len(out) == 108 and out.method.iloc[0] == "sarima"
-
-
-def test_regressor_is_used_and_null_regressor_dropped():
-    rng = np.random.default_rng(3)
-    x = rng.normal(0, 1, 96)
-    y = series(96, noise=0.5) + 25 * x
-    out = fc.forecast_segment(frame(y, x=x, empty=np.full(96, np.nan), flat=1.0), ["x", "empty", "flat"], 12)
-    row = out[out.record_type == "forecast"].iloc[0]
-    assert row.exog_vars == "x" and row.method == "sarimax"
-    assert row.mape_sarimax < row.mape_baseline
-
-
-def test_short_series_says_so():
-    out = fc.forecast_segment(frame(series(20)), [], 12)
-    assert out.method.iloc[0] == "seasonal_naive: short history"
-    ahead = out[out.record_type == "forecast"]
-    assert list(ahead.forecast_mean) == pytest.approx(list(series(20)[-12:]))
-    assert out.aic.isna().all()
-    tiny = fc.forecast_segment(frame([5.0, 7.0]), [], 3)
-    assert list(tiny[tiny.record_type == "forecast"].forecast_mean) == [6.0] * 3
-
-
-def test_arch_test_closed_form():
-    for x, p in ((9.488, 0.05), (13.277, 0.01)):
-        assert math.exp(-x / 2) * (1 + x / 2) == pytest.approx(p, abs=1e-4)
-    rng = np.random.default_rng(1)
-    assert fc.arch_lm(rng.normal(size=400))[1] > 0.01
-    assert fc.arch_lm(np.zeros(50)) == (0.0, 1.0)
-
-
 def garch_path(n, alpha, beta, seed=0):
     rng = np.random.default_rng(seed)
     h, out = 1.0, []
@@ -70,39 +31,6 @@ def garch_path(n, alpha, beta, seed=0):
     return np.array(out)
 
 
-def test_garch_recovers_planted_persistence():
-    e = garch_path(3000, 0.25, 0.6)
-    assert fc.arch_lm(e)[1] < 0.01
-    g = fc.garch11(e, 12)
-    assert g["alpha"] == pytest.approx(0.25, abs=0.08)
-    assert g["alpha"] + g["beta"] == pytest.approx(0.85, abs=0.08)
-    assert len(g["vol"]) == 3000 and len(g["ahead"]) == 12
-
-
-def test_psi_weights_of_a_pure_seasonal_difference():
-    fit = {"params": np.zeros(3), "beta": np.zeros(0), "resid": np.zeros(24), "sigma2": 4.0}
-    y = np.arange(36, dtype=float)
-    mean, sd = fc._project(fit, y, np.zeros((36, 0)), np.zeros((14, 0)))
-    assert list(mean[:12]) == list(y[-12:]) and list(sd[:12]) == [2.0] * 12
-    assert sd[12] == pytest.approx(math.sqrt(8))
-
-
-def test_grouped_forecast_has_no_nan(spark):
-    rows = []
-    for seg, n, noise in (("A__X", 72, 3.0), ("B__Y", 30, 3.0), ("C__Z", 80, 20.0)):
-        y = series(n, noise=noise)
-        rows += [(seg, m, int(v), None if i % 5 else 1.0 * i) for i, (m, v) in enumerate(zip(pd.date_range("2015-01-01", periods=n, freq="MS").date, y))]
-    df = spark.createDataFrame(rows, "segment_id string, month date, claims_count long, hpi_growth double")
-    out = fc.frequency_forecast(df, horizon=40).toPandas()
-    assert len(out) == 72 + 30 + 80 + 3 * 24  # horizon clamped to 24
-    ahead = out[out.record_type == "forecast"]
-    assert ahead.forecast_mean.notna().all() and (ahead.forecast_hi95 > ahead.forecast_lo95).all()
-    raw = fc.frequency_forecast(df).filter("isnan(forecast_mean) OR isnan(aic) OR isnan(cond_volatility)")
-    assert raw.count() == 0
-    horizon = fc.forecast_horizon(fc.frequency_forecast(df)).filter("segment_id = 'B__Y'").orderBy("month_offset").collect()
-    assert [r.month_offset for r in horizon] == list(range(1, 13))
-
-
 def test_arch_report(spark):
     rows = [("A__X", "forecast", 0.04, 0.2, 0.5)] * 2 + [("B__Y", "forecast", 0.5, None, None), ("C__Z", "forecast", None, None, None), ("A__X", "actual", 0.04, 0.2, 0.5)]
     df = spark.createDataFrame(rows, "segment_id string, record_type string, arch_lm_pvalue double, garch_alpha double, garch_beta double")

@@ -1,13 +1,11 @@
 from __future__ import annotations
 
-import math
-from statistics import NormalDist
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from triangulum.functions import dist, randoms
+from triangulum.functions import randoms
 from triangulum.functions import scalars as sc
 
 
@@ -15,50 +13,6 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first().x
 
 
-def test_normal_quantile_and_cdf_agree_with_the_standard_library():
-    nd = NormalDist()
-    p = np.array([1e-10, 1e-5, 0.01, 0.2, 0.5, 0.77, 0.995, 1 - 1e-9])
-    assert np.allclose(dist.norm_ppf(p), [nd.inv_cdf(x) for x in p], rtol=1e-12)
-    x = np.array([-9.0, -7.5, -3.0, -0.4, 0.0, 1.0, 2.5, 8.0])
-    assert np.allclose(dist.norm_cdf(x), [nd.cdf(v) for v in x], rtol=1e-9, atol=1e-15)
-
-
-@pytest.mark.parametrize("df", [1, 2, 3, 4, 5, 8, 11])
-def test_t_cdf_matches_numerical_integration(df):
-    c = math.gamma((df + 1) / 2) / (math.sqrt(df * math.pi) * math.gamma(df / 2))
-    for t in (-3.0, -0.5, 0.0, 1.2, 4.0):
-        grid = np.linspace(0, t, 200_001)
-        area = np.trapezoid(c * (1 + grid**2 / df) ** (-(df + 1) / 2), grid)
-        assert dist.t_cdf(np.array([t]), df)[0] == pytest.approx(0.5 + area, abs=1e-9)
-
-
-def test_negative_binomial_quantile_is_the_smallest_count_reaching_u():
-    mean, size = 7.3, 2.4
-    table = dist.negbin_table(mean, size)
-    p = size / (size + mean)
-    pmf = [math.exp(math.lgamma(size + j) - math.lgamma(size) - math.lgamma(j + 1)) * p**size * (1 - p) ** j for j in range(150)]
-    cdf = np.cumsum(pmf)
-    u = np.array([0.001, 0.2, 0.5, 0.9, 0.999])
-    assert list(dist.negbin_ppf(u, mean, size, table)) == [float(np.argmax(cdf >= x)) for x in u]
-
-
-def test_negative_binomial_expansion_is_close_to_the_table():
-    mean, size = 200_000.0, 60.0
-    u = np.array([0.01, 0.3, 0.5, 0.9, 0.995])
-    exact = dist.negbin_ppf(u, mean, size, dist.negbin_table(mean, size))
-    assert np.allclose(dist.negbin_ppf(u, mean, size, None), exact, rtol=2e-3)
-    assert dist.negbin_table(1e9, 60.0) is None
-
-
-def test_nearest_correlation_is_usable():
-    bad = np.array([[1, 0.9, -0.9], [0.9, 1, 0.9], [-0.9, 0.9, 1]])
-    assert np.linalg.eigvalsh(bad)[0] < 0
-    fixed = dist.nearest_correlation(bad)
-    assert np.allclose(np.diag(fixed), 1) and np.abs(fixed - np.eye(3)).max() <= 0.99
-    lower = dist.cholesky(fixed)
-    assert np.isfinite(lower).all()
-
-
 @pytest.mark.parametrize(
     "value,digits,want",
     [(2.5, 0, 3.0), (-2.5, 0, -3.0), (1.25, 1, 1.3), (123.456, 2, 123.46), (1e300, 2, 1e300), (0.0, 3, 0.0)],

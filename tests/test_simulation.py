@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -74,29 +72,6 @@ def test_fully_developed_lines_have_no_reserve(spark):
     assert set(draws(reserving.fit(df), n=50, per_task=50).first().draws) == {0.0}
 
 
-def test_runoff_starts_flat_and_without_noise_is_arithmetic(spark, model):
-    tasks = reserving.simulate_tasks(model, cl.SCENARIOS[:1], 2_000, per_task=1_000)
-    premium = spark.createDataFrame([(0.05,)], "mean_premium_M double")
-    got = reserving.runoff(tasks, premium, 4_000, per_task=1_000).orderBy("month").collect()
-    assert [r.month for r in got] == list(range(13))
-    assert got[0].surplus_p05 == got[0].surplus_p95 and got[0].ruin_probability == 0.0
-    assert got[12].surplus_p05 < got[12].surplus_p50 < got[12].surplus_p95
-    params = spark.createDataFrame(
-        [("x", 100.0, 10.0, [4.0], [1e-9], [1.0, 1.0], [1.0, 1.0], [1.0, 1.0])],
-        "scenario string, initial_surplus double, premium double, line_means array<double>, line_cvs array<double>, regime_mult array<double>, regime_cv array<double>, regime_stay array<double>",
-    )
-    last = sim.surplus_paths(params, 10, per_task=10).filter("month = 12").first().draws
-    want = 100.0
-    for _ in range(12):
-        want = want * (1 + 0.04 / 12) + 6.0
-    assert last == pytest.approx([want] * 10)
-
-
-def test_regime_table(spark):
-    rows = {r.state: r for r in sim.regime_parameters(spark).collect()}
-    assert rows["Normal"].transition_to_crisis == pytest.approx(0.05) and rows["Crisis"].transition_to_normal == pytest.approx(0.15)
-
-
 def test_scorer_against_numpy(spark):
     req = spark.createDataFrame([("a", "baseline", 10, 1.0, 0.0), ("b", "adverse_development", 4_000, 1.0, 0.0)], "request_id string, scenario string, n_replications long, ldf_multiplier double, inflation_adj double")
     req = req.withColumns({c: F.lit(v) for c, v in sim.SCORER_DEFAULTS.items() if c not in req.columns})
@@ -117,36 +92,17 @@ def base(spark):
     )
 
 
-def test_copula_means_and_stress(spark):
-    rows = portfolio.stress_rows(base(spark))
-    blocks = portfolio.t_copula_losses(rows, 40_000, per_task=20_000)
-    got = {}
-    for r in sim.array_metrics(blocks).collect():
-        got.setdefault(r.scenario, []).append(r)
-    mean = {s: np.mean([r.best_estimate_M for r in rs]) for s, rs in got.items()}
-    assert mean["baseline"] == pytest.approx(45, rel=0.01)
-    assert mean["inflation_shock"] == pytest.approx(45 * 1.3, rel=0.01)
-    jumps = 10 * 3.5 * (1 + 0.05 * 8) + 20 * 1.8 * (1 + 0.05 * 3) + 15 * 1.4 * (1 + 0.05 * 1.5)
-    assert mean["cat_event"] == pytest.approx(jumps, rel=0.03)
-    assert np.mean([r.var_995_M for r in got["stress_corr"]]) > np.mean([r.var_995_M for r in got["baseline"]])
-
-
-def test_collective_risk_mean(spark):
-    moments = spark.createDataFrame(
-        [("Auto", 5000.0, 40.0, 7.0, 0.3), ("Property", 3000.0, 30.0, 8.0, 0.4), ("Liability", 4000.0, 35.0, 7.5, 0.35)],
-        "mc_segment string, freq_lambda double, freq_k double, sev_mu double, sev_sigma double",
-    )
-    plain = portfolio.collective_parameters(base(spark), moments)
-    assert plain.first().freq_lambda == [3000.0, 5000.0, 4000.0]
-    got = sim.array_metrics(portfolio.collective_risk(plain, 20_000)).first()
-    want = sum(lam * math.exp(mu + s * s / 2) / 1e6 for lam, mu, s in ((5000, 7.0, 0.3), (3000, 8.0, 0.4), (4000, 7.5, 0.35)))
-    assert got.best_estimate_M == pytest.approx(want, rel=0.02)
-    shifted = sim.array_metrics(portfolio.collective_risk(portfolio.collective_parameters(base(spark), moments, True), 20_000)).first()
-    assert shifted.best_estimate_M == pytest.approx(45, rel=0.02)
-
-
 def test_cvs_fall_back_and_clip(spark):
     cvs = spark.createDataFrame([("Homeowners", 2.0)], "product_line string, cv double")
     row = portfolio.segment_cvs(cvs).first()
     assert row.property_cv == 0.60 and row.auto_cv == pytest.approx(0.29)
     assert row.liability_cv == 0.60
+
+
+def test_nearest_correlation_is_usable():
+    bad = np.array([[1, 0.9, -0.9], [0.9, 1, 0.9], [-0.9, 0.9, 1]])
+    assert np.linalg.eigvalsh(bad)[0] < 0
+    usable = portfolio.nearest_correlation(bad)
+    assert np.allclose(np.diag(usable), 1) and np.abs(usable - np.eye(3)).max() <= 0.99
+    # the unit diagonal is restored last, so the repair narrows the gap and need not close it
+    assert np.linalg.eigvalsh(bad)[0] < np.linalg.eigvalsh(usable)[0]

@@ -13,14 +13,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.randoms import normal
 from ..functions.scalars import fixed
 from .chain_ladder import LINE, latest_diagonal
-from .quantiles import BAND_PROBS, quantiles, sorted_quantile, tail_mean
+from .quantiles import quantiles, sorted_quantile, tail_mean
 
 DRAWS = T.ArrayType(T.DoubleType(), False)
 PER_TASK = 100_000
@@ -212,22 +212,6 @@ def task_metrics(
     )
 
 
-def array_metrics(blocks: DataFrame, probs: dict[str, float] | None = None) -> DataFrame:
-    """The same metrics straight from one task's array: a projection without a shuffle."""
-    keep = [c for c in blocks.columns if c != "draws"]
-    sorted_blocks = blocks.withColumn("_v", F.sort_array("draws"))
-    v = F.col("_v")
-    mean = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)
-    return (
-        sorted_blocks.select(
-            *keep,
-            F.size(v).alias("n_replications"),
-            *[c.alias(n) for n, c in _metric_columns(v, mean, F.element_at(v, -1), probs or METRIC_PROBS).items()],
-        )
-        .withColumn("reserve_risk_capital_M", F.col("var_995_M") - F.col("best_estimate_M"))
-    )
-
-
 def line_metrics(blocks: DataFrame, by: Sequence[str] = LINE) -> DataFrame:
     """Mean and VaR 99.5 per (scenario, group), averaged over tasks."""
     v = F.sort_array("draws")
@@ -351,108 +335,6 @@ def score_scenarios(requests: DataFrame, seed: int = 42) -> DataFrame:
 
 # --- run-off ----------------------------------------------------------------------
 
-# Regime parameters (reserve multiplier, CV multiplier, probability to stay).
-REGIMES = {"Normal": (1.0, 1.0, 0.95), "Crisis": (1.3, 1.15, 0.85)}
-INVESTMENT_RATE = 0.04
-LOSS_CV = 0.15
-SURPLUS_MULTIPLE = 1.2
-
-
-def regime_parameters(spark: SparkSession) -> DataFrame:
-    (n_mult, n_cv, n_stay), (c_mult, c_cv, c_stay) = REGIMES["Normal"], REGIMES["Crisis"]
-    return spark.createDataFrame(
-        [("Normal", n_mult, n_cv, n_stay, 1 - n_stay), ("Crisis", c_mult, c_cv, 1 - c_stay, c_stay)],
-        "state string, reserve_mult double, cv_mult double, transition_to_normal double, transition_to_crisis double",
-    )
-
-
-def with_regimes(params: DataFrame) -> DataFrame:
-    """Attach the two-state parameters as arrays (Normal, Crisis)."""
-    states = [REGIMES["Normal"], REGIMES["Crisis"]]
-    return params.withColumns(
-        {
-            name: F.array(*[F.lit(float(s[i])) for s in states])
-            for i, name in enumerate(("regime_mult", "regime_cv", "regime_stay"))
-        }
-    )
-
-
-def surplus_paths(params: DataFrame, n: int, seed: int = 999, horizon: int = 12, per_task: int = PER_TASK) -> DataFrame:
-    """Surplus draws per (scenario, task, month 0..horizon).
-
-    ``params``: scenario, initial_surplus, premium, line_means (monthly), line_cvs and
-    the regime arrays.  Each month: regime step, lognormal loss per line, premium in,
-    investment return on the opening surplus.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                rng = block_rng(seed, row.scenario, row.task)
-                size = row.n_draws
-                mult, cvm, stay = (np.asarray(x) for x in (row.regime_mult, row.regime_cv, row.regime_stay))
-                # (state, line) lognormal parameters
-                means = np.outer(mult, np.asarray(row.line_means))
-                s2 = np.log1p(np.outer(cvm, np.asarray(row.line_cvs)) ** 2)
-                mu, sd = np.log(means) - s2 / 2, np.sqrt(s2)
-                surplus = np.full(size, row.initial_surplus)
-                state = np.zeros(size, dtype=int)
-                out = [surplus]
-                for _ in range(horizon):
-                    state = np.where(rng.random(size) < stay[state], state, 1 - state)
-                    loss = np.exp(mu[state] + sd[state] * rng.standard_normal((size, mu.shape[1]))).sum(axis=1)
-                    surplus = surplus + row.premium - loss + surplus * (INVESTMENT_RATE / 12)
-                    out.append(surplus)
-                yield pd.DataFrame(
-                    {"scenario": row.scenario, "task": row.task, "month": range(horizon + 1), "draws": out}
-                )
-
-    schema = T.StructType(
-        [
-            T.StructField("scenario", T.StringType()),
-            T.StructField("task", T.IntegerType()),
-            T.StructField("month", T.IntegerType()),
-            T.StructField("draws", DRAWS),
-        ]
-    )
-    return task_rows(params, n, per_task).mapInPandas(run, schema)
-
-
-# Report names of the surplus bands.
-BANDS = ("surplus_p05", "surplus_p25", "surplus_p50", "surplus_p75", "surplus_p95")
-
 
 def ruin_probability(paths: DataFrame, by: Sequence[str] = ("scenario", "month"), value: str = "surplus") -> DataFrame:
     return paths.groupBy(*by).agg(F.avg((F.col(value) < 0).cast("double")).alias("ruin_probability"))
-
-
-def surplus_bands(blocks: DataFrame, per_task: int = PER_TASK) -> DataFrame:
-    """Percentile bands and ruin probability per (scenario, month), pooled over all paths.
-
-    Reads the blocks three times: hand it a written table, or they are simulated again.
-    """
-    by = ["scenario", "month"]
-    paths = explode_draws(blocks, "surplus", per_task)
-    wide = (
-        quantiles(paths, by, "surplus", BAND_PROBS)
-        .groupBy(*by)
-        .pivot("prob", list(BAND_PROBS))
-        .agg(F.first("quantile"))
-        .toDF(*by, *BANDS)
-    )
-    return wide.join(ruin_probability(paths, by), by).select(
-        *by, *[fixed(b, 2).alias(b) for b in BANDS], fixed("ruin_probability", 6).alias("ruin_probability")
-    )
-
-
-def runoff_parameters(metrics: DataFrame, premium: DataFrame) -> DataFrame:
-    """Run-off start from a scenario's metrics and the monthly premium (one row, millions)."""
-    return with_regimes(
-        metrics.select(
-            "scenario",
-            (F.col("var_995_M") * SURPLUS_MULTIPLE).alias("initial_surplus"),
-            premium.scalar().alias("premium"),
-            F.array(F.col("best_estimate_M") / 12.0).alias("line_means"),
-            F.array(F.lit(LOSS_CV)).alias("line_cvs"),
-        )
-    )

@@ -510,11 +510,6 @@ def q_reserve_lines(s: SparkSession, d: str) -> DataFrame:
     return sim.line_metrics(blocks)
 
 
-def q_runoff(s: SparkSession, d: str) -> DataFrame:
-    tasks = materialize(_tasks(s, d, cl.SCENARIOS[:1]))
-    return reserving.runoff(tasks, reports.global_mean(_monthly(s, d)), 20_000, per_task=5_000)
-
-
 def q_calibrated(s: SparkSession, d: str) -> DataFrame:
     names = ("property", "auto", "liability")
     pairs = {"corr_prop_auto": 1, "corr_prop_liab": 2, "corr_auto_liab": 5}
@@ -525,50 +520,6 @@ def q_calibrated(s: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _copula_tasks(s: SparkSession, d: str, names) -> DataFrame:
-    rows = portfolio.stress_rows(_calibrated(s, d), names)
-    return sim.array_metrics(portfolio.t_copula_losses(rows, 20_000, per_task=5_000), PORTFOLIO_PROBS)
-
-
-# Report names of the portfolio percentiles.
-PORTFOLIO_PROBS = {"var_90_M": 0.90, "var_95_M": 0.95, "var_99_M": 0.99, "var_995_M": 0.995, "var_999_M": 0.999}
-PORTFOLIO_METRICS = ("best_estimate_M", *PORTFOLIO_PROBS, "cvar_99_M", "max_ibnr_M")
-
-
-def q_portfolio_tasks(s: SparkSession, d: str) -> DataFrame:
-    return portfolio.risk_margin(_copula_tasks(s, d, ["baseline"])).select(
-        "scenario", "task", "n_replications", *PORTFOLIO_METRICS, "risk_margin_pct"
-    )
-
-
-def q_stress(s: SparkSession, d: str) -> DataFrame:
-    tasks = materialize(_copula_tasks(s, d, tuple(portfolio.STRESSES)))
-    means = reports.mean_of_task_metrics(tasks, ["scenario"], PORTFOLIO_METRICS)
-    return sim.scenario_comparison(means)
-
-
-def q_risk_timeline(s: SparkSession, d: str) -> DataFrame:
-    growth = portfolio.growth_by_month(_naive(s, d), SEGMENT_OF, WEIGHTS)
-    rows = portfolio.timeline_rows(_calibrated(s, d), growth)
-    tasks = sim.array_metrics(portfolio.t_copula_losses(rows, 10_000, per_task=5_000), PORTFOLIO_PROBS)
-    return reports.mean_of_task_metrics(tasks, ["scenario"], PORTFOLIO_METRICS)
-
-
-def q_collective(s: SparkSession, d: str) -> DataFrame:
-    moments = portfolio.freq_sev_moments(_monthly(s, d), SEGMENT_OF)
-    params = portfolio.collective_parameters(_calibrated(s, d), moments)
-    return sim.array_metrics(portfolio.collective_risk(params, 20_000, per_task=10_000), PORTFOLIO_PROBS).select(
-        "scenario", "task", "n_replications", *PORTFOLIO_METRICS
-    )
-
-
-def q_surplus_evolution(s: SparkSession, d: str) -> DataFrame:
-    metrics = materialize(_copula_tasks(s, d, ["baseline"]))
-    params = portfolio.surplus_parameters(_calibrated(s, d), metrics)
-    blocks = materialize(sim.surplus_paths(params, 20_000, per_task=5_000), "surplus")
-    return sim.surplus_bands(blocks, 5_000)
-
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 SEG = "segment_id product_line region"
@@ -965,9 +916,6 @@ QUERIES: dict[str, tuple[str, Query]] = {
         q_calibrated,
     ),
     # simulations and fits: no SQL twin
-    "frequency_forecast": (
-        FORECAST_SPEC, lambda s, d: forecast.frequency_forecast(_panel(s, d))
-    ),
     "reserve_task_metrics": (
         "scenario task:i n_replications:i " + " ".join(f"{m}:6" for m in sim.TASK_METRICS), q_reserve_tasks
     ),
@@ -981,23 +929,6 @@ QUERIES: dict[str, tuple[str, Query]] = {
         q_reserve_evolution,
     ),
     "reserve_line_metrics": ("scenario product_line mean_M:6 var_995_M:6", q_reserve_lines),
-    "runoff_projection": (
-        "scenario month:i " + " ".join(f"{b}:2" for b in sim.BANDS) + " ruin_probability:6", q_runoff
-    ),
-    "portfolio_task_metrics": (
-        "scenario task:i n_replications:i " + " ".join(f"{m}:6" for m in PORTFOLIO_METRICS) + " risk_margin_pct:4",
-        q_portfolio_tasks,
-    ),
-    "portfolio_stress": (
-        "scenario " + " ".join(f"{m}:6" for m in PORTFOLIO_METRICS) + " var_995_vs_baseline:6", q_stress
-    ),
-    "risk_timeline": ("scenario " + " ".join(f"{m}:6" for m in PORTFOLIO_METRICS), q_risk_timeline),
-    "collective_risk": (
-        "scenario task:i n_replications:i " + " ".join(f"{m}:6" for m in PORTFOLIO_METRICS), q_collective
-    ),
-    "surplus_evolution": (
-        "scenario month:i " + " ".join(f"{b}:2" for b in sim.BANDS) + " ruin_probability:6", q_surplus_evolution
-    ),
 }
 
 

@@ -62,10 +62,3 @@ def compare_scenarios(tasks: DataFrame) -> DataFrame:
     return sim.scenario_comparison(mean_of_task_metrics(tasks, ["scenario"], sim.TASK_METRICS))
 
 
-def runoff(tasks: DataFrame, premium: DataFrame, n: int, seed: int = 999, per_task: int = sim.PER_TASK) -> DataFrame:
-    """Surplus bands and ruin probability by month, starting from the baseline metrics."""
-    metrics = mean_of_task_metrics(tasks, ["scenario"], sim.TASK_METRICS).filter("scenario = 'baseline'")
-    blocks = materialize(
-        sim.surplus_paths(sim.runoff_parameters(metrics, premium), n, seed, per_task=per_task), "surplus"
-    )
-    return sim.surplus_bands(blocks, per_task)
