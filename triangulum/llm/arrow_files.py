@@ -39,9 +39,9 @@ class Encoder:
     """The tokenizer's ids of whole texts, as little-endian bytes.
 
     A byte-level tokenizer's pre-tokens never cross a single space from a sign to a sign,
-    so a text is cut there.  Each distinct piece is encoded once: runs of letters, which
-    are one pre-token each, many in one call, the signs after them on their own.  The memo
-    keeps the pieces met last.  A text with a piece that is empty, that begins or ends
+    so a text is cut there.  Runs of letters, which are one pre-token each, are encoded once,
+    many in one call, the signs after them on their own, and other pieces one by one.  The
+    memo keeps the runs and other pieces met last.  A text with a piece that is empty, that begins or ends
     with white space or that holds a special token's string goes to the tokenizer whole.
     """
 
@@ -85,42 +85,44 @@ class Encoder:
             return
         raw = np.array(encoded.ids, self.dtype).tobytes()
         at = (np.searchsorted(words, np.arange(len(runs) + 1)) * self.dtype.itemsize).tolist()
-        self.memo.update((x, raw[lo:hi]) for x, lo, hi in zip(runs, at, at[1:]))
+        self.memo.update(zip(runs, map(raw.__getitem__, map(slice, at, at[1:]))))
 
-    def _learn(self, pieces: list[str]) -> None:
-        memo, older = self.memo, self.older
-        runs, marked = [], []
-        for piece in pieces:
-            run = piece.rstrip(SIGNS)
-            if not run.isalpha():
-                memo[piece] = self.whole(" " + piece) if self.plain(piece) else b""
-                continue
-            if len(run) < len(piece):
-                marked.append((piece, run))
-                if run in memo:
-                    continue
-                if run in older:
-                    memo[run] = older[run]
-                    continue
-            runs.append(run)
-        self._letters(list(dict.fromkeys(runs)))
-        for piece, run in marked:
-            signs = piece[len(run) :]
-            if signs not in self.signs:
-                if len(self.signs) >= MEMO:
-                    self.signs.clear()
-                self.signs[signs] = self.whole(signs)
-            memo[piece] = memo[run] + self.signs[signs]
-
-    def _known(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces that follow a space."""
-        if len(self.memo) > MEMO:  # pieces not met since the last time go
+    def _recall(self, runs: list[str], others: list[str]) -> None:
+        """Bring distinct runs of letters and other pieces, each after a space, into the memo."""
+        if len(self.memo) > MEMO:  # what was not met since the last time goes
             self.older, self.memo = self.memo, {}
         memo, older = self.memo, self.older
-        new = [x for x in pieces if x not in memo]
-        memo.update((x, older[x]) for x in new if x in older)
-        self._learn([x for x in new if x not in memo])
-        return list(map(memo.__getitem__, pieces))
+        for x in (*runs, *others) if older else ():
+            if x not in memo and x in older:
+                memo[x] = older[x]
+        self._letters([x for x in runs if x not in memo])
+        memo.update((x, self.whole(" " + x) if self.plain(x) else b"") for x in others if x not in memo)
+
+    def _sign(self, signs: str) -> bytes:
+        if signs not in self.signs:
+            if len(self.signs) >= MEMO:
+                self.signs.clear()
+            self.signs[signs] = self.whole(signs)
+        return self.signs[signs]
+
+    def _known(self, pieces: pa.Array) -> list[bytes]:
+        """Ids of distinct pieces that follow a space."""
+        trimmed = pc.utf8_rtrim(pieces, SIGNS)
+        signs = pc.subtract(pc.binary_length(pieces), pc.binary_length(trimmed)).to_numpy()
+        runs = trimmed.dictionary_encode()
+        names, at = runs.dictionary.to_pylist(), runs.indices.to_numpy()
+        letters = np.fromiter(map(str.isalpha, names), bool, len(names))
+        other = np.flatnonzero(~letters[at])
+        other_pieces = pieces.take(pa.array(other)).to_pylist()
+        self._recall([x for x, is_run in zip(names, letters.tolist()) if is_run], other_pieces)
+        by_name = list(map(self.memo.get, names))
+        ids = list(map(by_name.__getitem__, at.tolist()))
+        for i, piece in zip(other.tolist(), other_pieces):
+            ids[i] = self.memo[piece]
+        marked = np.flatnonzero((signs > 0) & letters[at])
+        for i, piece, k in zip(marked.tolist(), pieces.take(pa.array(marked)).to_pylist(), signs[marked].tolist()):
+            ids[i] += self._sign(piece[-k:])
+        return ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the number of ids of each text."""
@@ -129,7 +131,8 @@ class Encoder:
         words = cut.flatten().dictionary_encode()
         which = words.indices.to_numpy().copy()
         # A text's first piece has no space before it and gets an entry of its own.
-        ids = self._known(words.dictionary.to_pylist()) + [self.head(x.as_py()) for x in words.take(pa.array(starts))]
+        heads = words.dictionary.take(words.indices.take(pa.array(starts))).to_pylist()
+        ids = self._known(words.dictionary) + list(map(self.head, heads))
         which[starts] = np.arange(len(ids) - len(texts), len(ids))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
         edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
