@@ -12,6 +12,7 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -105,24 +106,29 @@ class Encoder:
             self.signs[signs] = self.whole(signs)
         return self.signs[signs]
 
-    def _known(self, pieces: pa.Array) -> list[bytes]:
-        """Ids of distinct pieces that follow a space."""
+    def _known(self, pieces: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Entries of ids, and two per distinct piece after a space: its run (or all of it) and its signs.
+
+        Where there are no signs the second number is -1.
+        """
         trimmed = pc.utf8_rtrim(pieces, SIGNS)
         signs = pc.subtract(pc.binary_length(pieces), pc.binary_length(trimmed)).to_numpy()
         runs = trimmed.dictionary_encode()
-        names, at = runs.dictionary.to_pylist(), runs.indices.to_numpy()
+        names, first = runs.dictionary.to_pylist(), runs.indices.to_numpy().astype(np.int64)
         letters = np.fromiter(map(str.isalpha, names), bool, len(names))
-        other = np.flatnonzero(~letters[at])
-        other_pieces = pieces.take(pa.array(other)).to_pylist()
-        self._recall([x for x, is_run in zip(names, letters.tolist()) if is_run], other_pieces)
-        by_name = list(map(self.memo.get, names))
-        ids = list(map(by_name.__getitem__, at.tolist()))
-        for i, piece in zip(other.tolist(), other_pieces):
-            ids[i] = self.memo[piece]
-        marked = np.flatnonzero((signs > 0) & letters[at])
-        for i, piece, k in zip(marked.tolist(), pieces.take(pa.array(marked)).to_pylist(), signs[marked].tolist()):
-            ids[i] += self._sign(piece[-k:])
-        return ids
+        in_run = letters[first]
+        other = np.flatnonzero(~in_run)
+        others = pieces.take(pa.array(other)).to_pylist()
+        self._recall([x for x, is_run in zip(names, letters.tolist()) if is_run], others)
+        entries = [*map(self.memo.get, names, repeat(b"")), *map(self.memo.__getitem__, others)]
+        first[other] = np.arange(len(names), len(entries))
+        second = np.full(len(pieces), -1)
+        for k in np.unique(signs[in_run & (signs > 0)]).tolist():
+            marked = np.flatnonzero(in_run & (signs == k))
+            ends = pc.utf8_slice_codeunits(pieces.take(pa.array(marked)), start=-k).dictionary_encode()
+            second[marked] = ends.indices.to_numpy() + len(entries)
+            entries.extend(map(self._sign, ends.dictionary.to_pylist()))
+        return entries, first, second
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the number of ids of each text."""
@@ -130,14 +136,19 @@ class Encoder:
         starts = cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
         words = cut.flatten().dictionary_encode()
         which = words.indices.to_numpy().copy()
+        entries, first, second = self._known(words.dictionary)
         # A text's first piece has no space before it and gets an entry of its own.
         heads = words.dictionary.take(words.indices.take(pa.array(starts))).to_pylist()
-        ids = self._known(words.dictionary) + list(map(self.head, heads))
-        which[starts] = np.arange(len(ids) - len(texts), len(ids))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
-        edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-        table = pa.ListArray.from_arrays(edges, pa.array(np.frombuffer(b"".join(ids), self.dtype)))
-        flat = table.take(pa.array(which)).flatten().to_numpy()
+        which[starts] = np.arange(len(first), len(first) + len(heads))
+        first = np.concatenate([first, np.arange(len(entries), len(entries) + len(heads))])
+        second = np.concatenate([second, np.full(len(heads), -1)])
+        entries += [*map(self.head, heads), b""]  # the last one stands for no signs
+        second[second < 0] = len(entries) - 1
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // self.dtype.itemsize
+        parts = _lists(sizes, pa.array(np.frombuffer(b"".join(entries), self.dtype)))
+        both = parts.take(pa.array(np.stack([first, second], axis=1).ravel())).flatten()
+        sizes = sizes[first] + sizes[second]
+        flat = _lists(sizes, both).take(pa.array(which)).flatten().to_numpy()
         counts = np.add.reduceat(sizes[which], starts)
         uncut = np.flatnonzero(np.logical_or.reduceat(sizes[which] == 0, starts))
         if not len(uncut):
@@ -148,6 +159,10 @@ class Encoder:
         return np.concatenate(parts), np.array([len(x) for x in parts])
 
 
+def _lists(sizes: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
