@@ -733,6 +733,17 @@ BODIES: dict[str, str] = {
         SELECT avg(CASE WHEN m.claims_count > 0 THEN l.cumulative_incurred / m.claims_count END) AS avg_adequacy
         FROM latest_seg l JOIN monthly m ON l.segment_id = m.segment_id AND CAST(l.accident_month AS DATE) = m.month""",
     "merge_defaults": "SELECT * FROM requests",
+    "overwrite": f"SELECT region, {_SUMMARY} FROM monthly GROUP BY 1",
+    "append_batch": """
+        SELECT province, ref_date, indicator_name, value,
+               CASE WHEN ref_date < '2024-01-15' THEN 'b1' ELSE 'b2' END AS batch_id FROM macro""",
+    "export_csv": f"SELECT region, {_SUMMARY} FROM monthly GROUP BY 1",
+    "medallion_update": f"""
+        SELECT * FROM (SELECT segment_id, month, claims_count, total_incurred FROM monthly WHERE {_VALID})
+        JOIN (SELECT segment_id, count(*) AS cells, sum(paid) AS paid
+              FROM (SELECT segment_id, cumulative_paid - coalesce(lag(cumulative_paid) OVER (
+                               PARTITION BY segment_id, accident_month ORDER BY dev_lag), 0.0) AS paid FROM reserves)
+              GROUP BY 1) USING (segment_id)""",
     "regional_summary": f"SELECT region, {_SUMMARY} FROM monthly GROUP BY 1",
     "regional_summary_range": f"""
         SELECT region, {_SUMMARY} FROM monthly WHERE month BETWEEN DATE '1996-01-01' AND DATE '1999-06-01' GROUP BY 1""",
@@ -868,6 +879,9 @@ BODIES: dict[str, str] = {
         FROM (SELECT split_part(segment_id, '__', 2) AS region, sum(forecast_mean) AS v FROM naive
               WHERE record_type = 'forecast' AND month = (SELECT max(month) FROM naive) GROUP BY 1)
         ORDER BY share_pct DESC, region LIMIT 3""",
+    "insample_errors": """
+        SELECT segment_id, avg(abs(d) / greatest(y, 1.0)) * 100 AS mape, sqrt(avg(d * d)) AS rmse
+        FROM (SELECT segment_id, y, d FROM diffs UNION ALL SELECT 'all', y, d FROM diffs) WHERE d IS NOT NULL GROUP BY 1""",
     "holdout_errors": """
         SELECT segment_id, avg(abs(y - p) / greatest(y, 1.0)) * 100 AS mape, sqrt(avg((y - p) * (y - p))) AS rmse
         FROM (SELECT segment_id, y, y - d AS p FROM diffs WHERE back <= 12 AND d IS NOT NULL) GROUP BY 1""",

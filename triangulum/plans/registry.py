@@ -307,6 +307,55 @@ def q_indicator_profile(s: SparkSession, d: str) -> DataFrame:
     return statistics.indicator_profile(adapters.macro_indicators(s, d))
 
 
+def q_overwrite(s: SparkSession, d: str) -> DataFrame:
+    """A table written twice, the second time with other columns, and read back."""
+    path = scratch_path(s, "overwrite")
+    tables.overwrite(_macro_wide(s, d), path)
+    tables.overwrite(reports.regional_summary(_monthly(s, d)), path)
+    return tables.scan(s, path)
+
+
+def q_append(s: SparkSession, d: str) -> DataFrame:
+    """The macro feed appended in two batches and read back."""
+    path = scratch_path(s, "append")
+    feed = adapters.macro_indicators(s, d).drop("ingested_at", "batch_id")
+    early = F.col("ref_date") < "2024-01-15"
+    tables.append_batch(feed.filter(early), path, "b1")
+    tables.append_batch(feed.filter(~early), path, "b2")
+    return tables.scan(s, path).filter("ingested_at IS NOT NULL")
+
+
+def q_csv(s: SparkSession, d: str) -> DataFrame:
+    """The regional summary as CSV, read back with its header."""
+    path = scratch_path(s, "csv")
+    summary = reports.regional_summary(_monthly(s, d))
+    tables.export_csv(summary, path)
+    return s.read.option("header", True).schema(summary.schema).csv(path)
+
+
+def q_medallion_update(s: SparkSession, d: str) -> DataFrame:
+    """All feeds landed in two halves with an update after each; the segment triangle it ends with."""
+    base = scratch_path(s, "update")
+    feeds = {"claims": adapters.claims_events, "reserves": _reserves, "macro": adapters.macro_indicators}
+    landing = {name: f"{base}/{name}" for name in feeds}
+    out = {}
+    for turn in (0, 1):
+        for name, read in feeds.items():
+            feed = read(s, d)
+            half = F.pmod(F.xxhash64(*feed.columns), F.lit(2)) == turn
+            feed.filter(half).write.mode("append").parquet(landing[name])
+        out = medallion.run_update(
+            s, landing, f"{base}/out", adapters.REGION_OF_PROVINCE, VALID_LINES,
+            adapters.claims_month_of_ref_date(), buckets=4,
+        )
+    return tables.scan(s, out["gold_claims_monthly"]).join(
+        tables.scan(s, out["gold_reserve_triangle"])
+        .groupBy("segment_id")
+        .agg(F.count("*").alias("cells"), F.sum("incremental_paid").alias("paid")),
+        "segment_id",
+    )
+
+
 def _claims_control(s: SparkSession, d: str) -> DataFrame:
     """Control rows from the monthly panel: as many claims as were seen, spread .5."""
     m = _monthly(s, d)
@@ -465,6 +514,14 @@ def q_holdout(s: SparkSession, d: str) -> DataFrame:
     return forecast_errors(scored)
 
 
+def q_insample(s: SparkSession, d: str) -> DataFrame:
+    """Seasonal-naive value against the actual over every row that has one, per segment and overall."""
+    w = Window.partitionBy("segment_id").orderBy("month")
+    scored = _monthly(s, d).withColumn("predicted", F.lag("claims_count", 12).over(w)).filter("predicted IS NOT NULL")
+    both = scored.withColumn("segment_id", F.explode(F.array("segment_id", F.lit("all"))))
+    return forecast_errors(both)
+
+
 def forecast_errors(scored: DataFrame) -> DataFrame:
     return reports.holdout_errors(scored, "claims_count", "predicted")
 
@@ -686,6 +743,10 @@ QUERIES: dict[str, tuple[str, Query]] = {
         "request_id scenario n_replications:i " + " ".join(f"{c}:4" for c in sim.SCORER_DEFAULTS), _requests
     ),
     # reports
+    "overwrite": ("region " + SUMMARY_SPEC, q_overwrite),
+    "append_batch": ("province ref_date indicator_name value:4 batch_id", q_append),
+    "export_csv": ("region " + SUMMARY_SPEC, q_csv),
+    "medallion_update": ("segment_id month:d claims_count:i total_incurred:2 cells:i paid:2", q_medallion_update),
     "regional_summary": ("region " + SUMMARY_SPEC, lambda s, d: reports.regional_summary(_monthly(s, d))),
     "regional_summary_range": (
         "region " + SUMMARY_SPEC,
@@ -879,6 +940,7 @@ QUERIES: dict[str, tuple[str, Query]] = {
         "region share_pct:6",
         lambda s, d: portfolio.top_shares(reports.forecast_by_region(_naive(s, d)), 3),
     ),
+    "insample_errors": ("segment_id mape:6 rmse:6", q_insample),
     "holdout_errors": ("segment_id mape:6 rmse:6", q_holdout),
     "arch_summary": (
         "segment_id arch_lm_pvalue:6 garch_alpha:6 garch_beta:6 persistence:6 significant",
