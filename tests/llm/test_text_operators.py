@@ -195,6 +195,14 @@ def test_near_duplicates_by_brute_force(spark, monkeypatch):
     assert chosen_path.keep_one(docs).count() == classes
 
 
+def test_texts_that_differ_in_white_space_only(spark):
+    sizes = {g: 70 + 130 * g // 29 for g in range(30)}
+    rows = [(1000 * g + k, words(g, 20) + " " * k) for g, n in sizes.items() for k in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter((i, i - i % 1000, sizes[i // 1000] - 1) for i, _ in rows)
+    assert Counter(map(tuple, chosen_path.near_duplicates(docs).collect())) == want
+
+
 def test_near_duplicates_of_odd_documents(spark):
     docs = odd_documents(spark)
     want, classes = brute_classes([(r["doc_id"], r["text"]) for r in docs.collect()])
