@@ -203,6 +203,25 @@ def test_texts_that_differ_in_white_space_only(spark):
     assert Counter(map(tuple, chosen_path.near_duplicates(docs).collect())) == want
 
 
+def test_lone_pairs_in_large_nodes(spark, monkeypatch):
+    """Sketches of three values each, so that all nodes must be split; 400 pairs equal in 4 of 5 positions."""
+    monkeypatch.setattr(chosen_path, "NODE_ROWS", 16)
+    draw = np.random.default_rng(3)
+    lines = draw.integers(0, 3, (600, 64))
+    near = np.where(draw.random((400, 64)) < 0.8, lines[:400], 3 + draw.integers(0, 3, (400, 64)))
+    rows = [(f"{kind}{i}".encode(), line.tolist()) for kind, part in (("a", lines), ("b", near)) for i, line in enumerate(part)]
+    sketches = spark.createDataFrame(rows, "key binary, sketch array<int>")
+    nodes = chosen_path.leaves(sketches, 0.8, 1e-6).select("node", "key")
+    first, second = nodes.filter("key LIKE 'a%'"), nodes.filter("key LIKE 'b%'").withColumnRenamed("key", "other")
+    met = first.join(second, "node").filter("substr(string(key), 2) = substr(string(other), 2)")
+    assert met.select("key").distinct().count() == 400
+
+
+def test_miss_of_the_splits():
+    roots = len(chosen_path.root_positions(0.8, 1e-6))
+    assert chosen_path.missed(0.8, roots, chosen_path.root_draws(0.8, 1e-6)) <= 1e-6 < chosen_path.missed(0.8, roots, 1)
+
+
 def test_near_duplicates_of_odd_documents(spark):
     docs = odd_documents(spark)
     want, classes = brute_classes([(r["doc_id"], r["text"]) for r in docs.collect()])
