@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 from collections import Counter
+from math import comb
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from triangulum.llm import bpe_automaton, chosen_path, components, pii, url_rules
@@ -222,6 +224,14 @@ def test_miss_of_the_splits():
     assert chosen_path.missed(0.8, roots, chosen_path.root_draws(0.8, 1e-6)) <= 1e-6 < chosen_path.missed(0.8, roots, 1)
 
 
+def test_rough_share_keeps_pairs_at_the_threshold():
+    least = next(n for n in range(65) if sum(comb(64, a) * 0.8**a * 0.2 ** (64 - a) for a in range(n + 1)) > 1e-6)
+    lines = [[0] * 64, [0] * least + [1] * (64 - least)]
+    columns = {"node": [1, 1], "_i": [0, 0], "_j": [0, 0], "_mine": [0, 0], "key": [b"a", b"b"], "sketch": lines}
+    met = pa.Table.from_batches(chosen_path._rough(iter([pa.RecordBatch.from_pydict(columns)]))).to_pylist()
+    assert met == [{"a": b"a", "b": b"b"}]
+
+
 def test_near_duplicates_of_odd_documents(spark):
     docs = odd_documents(spark)
     want, classes = brute_classes([(r["doc_id"], r["text"]) for r in docs.collect()])
