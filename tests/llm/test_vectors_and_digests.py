@@ -51,6 +51,23 @@ def test_odd_vectors(spark, monkeypatch):
     assert cross_polytope.nearest_neighbours(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_repeated_rows_and_ids(spark):
+    draw = np.random.default_rng(8)
+    rows = [(i, draw.normal(size=4).tolist()) for i in range(40)] * 2
+    rows += [(50, rows[0][1])] * 20 + [(51 + i, rows[0][1]) for i in range(3)]
+    rows += [(70, (np.array(rows[1][1]) + 0.001 * i).tolist()) for i in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = cross_polytope.nearest_neighbours(table, table.filter("vec_id IN (0, 1, 2, 70)"), tables=1, probes=8).collect()
+    for q in (0, 1, 2, 70):
+        best = {}
+        for i, v in rows:
+            if i != q:
+                near = min(float(np.linalg.norm(np.array(v) - np.array(w))) for j, w in rows if j == q)
+                best[i] = min(near, best.get(i, np.inf))
+        want = [i for _, i in sorted((d, i) for i, d in best.items())][:10]
+        assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == want
+
+
 def test_edited_fingerprints(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(7)
     got = {r["doc_id"]: r for r in fingerprint.edited_fingerprints(docs).collect()}

@@ -89,22 +89,28 @@ def _hashed(tables: int, probes: int | None):
 
 
 def nearest(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the ids and exact distances of its k nearest rows, ties to the smaller id."""
+    """For each query the ids and exact distances of its k nearest ids, each with its nearest row, ties to the smaller id."""
     out = []
     with np.errstate(over="ignore", invalid="ignore"):
         square = (rows * rows).sum(axis=1)
         rough = square - 2 * queries @ rows.T
         for query, line in zip(queries, rough):
-            own = float(query @ query)
-            close = np.arange(len(rows))
-            if len(rows) > k:
-                bound = np.partition(line, k - 1)[k - 1]
-                slack = 1e-9 * (own + square.max() + 1)
-                if np.isfinite(bound) and np.isfinite(slack):  # else all rows are measured exactly
-                    close = np.flatnonzero(line <= bound + slack)
-            apart = rows[close] - query
-            exact = np.sqrt((apart * apart).sum(axis=1))
-            best = np.lexsort((ids[close], exact))[:k]
+            own, need = float(query @ query), k
+            while True:  # until the rows at hand hold k ids, or are all rows
+                close = np.arange(len(rows))
+                if len(rows) > need:
+                    bound = np.partition(line, need - 1)[need - 1]
+                    slack = 1e-9 * (own + square.max() + 1)
+                    if np.isfinite(bound) and np.isfinite(slack):  # else all rows are measured exactly
+                        close = np.flatnonzero(line <= bound + slack)
+                apart = rows[close] - query
+                exact = np.sqrt((apart * apart).sum(axis=1))
+                order = np.lexsort((ids[close], exact))
+                _, first = np.unique(ids[close][order], return_index=True)
+                if len(first) >= k or len(close) == len(rows):
+                    break
+                need *= 4
+            best = order[np.sort(first)[:k]]
             out.append((ids[close][best], exact[best]))
     return out
 
@@ -194,7 +200,7 @@ def nearest_neighbours(
     no more are put into buckets, and equal queries are searched once.  Queries whose
     buckets held too few rows search every bucket of one table, which is exact.
     """
-    all_rows = usable(vectors)
+    all_rows = usable(vectors).distinct()
     turn = Window.partitionBy("vector").orderBy("id")
     rows = all_rows.withColumn("_n", F.row_number().over(turn)).filter(F.col("_n") <= k + 1).drop("_n")
     rows = materialize(rows, "vectors")
@@ -210,6 +216,7 @@ def nearest_neighbours(
         again = materialize(_search(rows, short, k + 1, 1, None), "nearest-all")
         met = met.join(again.select("query_id").distinct(), "query_id", "left_anti").unionByName(again)
     each = met.join(members, met["query_id"] == members["head"]).filter(F.col("vec_id") != F.col("id"))
+    each = each.groupBy(members["id"], "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("id").orderBy("score", "vec_id")
     ranked = each.select(F.col("id"), "vec_id", "score", F.row_number().over(order).alias("rank"))
     return ranked.filter(F.col("rank") <= k).select(F.col("id").alias("query_id"), "rank", "vec_id", "score")
