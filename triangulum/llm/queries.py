@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrow_files, bpe_automaton, chosen_path, cross_polytope, fingerprint, mixing, pii, quality, sharding, url_rules
+from . import (
+    alignment,
+    arrow_files,
+    bpe_automaton,
+    centroids,
+    chosen_path,
+    cross_polytope,
+    fingerprint,
+    mixing,
+    pii,
+    quality,
+    sharding,
+    toxicity,
+    url_rules,
+)
 from .common import read
 
 
@@ -63,13 +77,27 @@ def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(read(spark, sf_dir, "documents"))
 
 
+def op11_integer_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read(spark, sf_dir, "embeddings"))
+
+
+def op12_compression_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.align(read(spark, sf_dir, "documents"), *paths)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_bounded_ring, op2_arrow_files, op3_cross_polytope, op4_weak_labels, op5_chosen_path, op6_url_rules,
         op7_quartile_digest, op8_soft_mixing, op9_bpe_automaton, op10_boosted_pii,
+        op11_integer_centroids, op12_compression_distance, op13_token_alignment,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_rules": url_rules.ORACLE}
+    return {"op6_url_rules": url_rules.ORACLE, "op11_integer_centroids": centroids.oracle()}
