@@ -4,8 +4,8 @@ Two zstandard dictionaries are trained, one on ordinary and one on toxic text.
 is a word; it is compressed with either dictionary behind a short carrier that both hold,
 so that even a word is coded by matches and never stored raw.  The two compressed lengths
 and the window's own length make a cell, and the cell's log ratio of toxic to ordinary
-texts is the window's weight.  A text is judged by its heaviest windows, and the sum is
-calibrated to a probability.
+texts is the window's weight.  A text is judged by its heaviest windows; their sum and the
+number of windows it was chosen from are calibrated to a probability.
 
 The dictionaries are fitted on a bounded sample of labelled texts.  The cells' weights and
 the calibration count every other labelled text, and every text is scored whole.
@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from heapq import nlargest
-from math import exp, log
+from math import log
 from zlib import crc32
 
 import numpy as np
@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 from .common import blocks_of, materialize, rows_of, text_of
 
 FOLDS, HELD_OUT, CUT = 3, 1, 0.7
-# Bounds of the fitted sample: texts of either kind, distinct windows kept of a text.
-TOXIC_TEXTS, ORDINARY_TEXTS, TEXT_WINDOWS = 1500, 1500, 600
-FIT_SHARE, WEIGH_SHARE = 0.4, 0.2  # of the labelled texts: for dictionaries, for refining the toxic one
-ORDINARY_BYTES, TOXIC_BYTES, REFINED_BYTES, REFINEMENTS = 64 << 10, 64 << 10, 16 << 10, 3
+# Bounds of the fitted sample: ordinary and toxic texts for the dictionaries, the same for refining the toxic
+# one, and distinct windows kept of a text.
+FIT_TEXTS, WEIGH_TEXTS, TEXT_WINDOWS = (1500, 1500), (4000, 1500), 600
+FIT_SHARE = 0.5  # of the labelled texts; the rest weighs cells and calibrates
+FIRST_BYTES, REFINED_BYTES, REFINEMENTS, LEAN = 110 << 10, 16 << 10, 4, 2.0
 LEVEL, MIN_MATCH = 19, 3
 CARRIER = b"0123456789 jump "
 WINDOW_BYTES, HEAVIEST, SMOOTHING = 48, 3, 3.0
@@ -55,7 +56,7 @@ def windows(text: str) -> set[bytes]:
 
 def trained(samples: list[bytes], size: int) -> bytes:
     """A dictionary of at most ``size`` bytes; too few samples to train on are the dictionary themselves."""
-    groups = [b" ".join(samples[at : at + 8]) for at in range(0, len(samples), 8)]
+    groups = [b" " + b"  ".join(samples[at : at + 4]) + b" " for at in range(0, len(samples), 4)]
     try:
         return zstandard.train_dictionary(size, groups, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
@@ -118,34 +119,34 @@ def dictionaries(fit: dict[int, list[list[bytes]]], weigh: dict[int, list[list[b
     their windows, and later ones on those windows whose cells lean to toxic texts, as
     counted on texts that no dictionary has seen.
     """
-    ordinary = trained([w for words in fit[0] for w in words], ORDINARY_BYTES)
-    toxic = trained([w for words in fit[1] for w in words], TOXIC_BYTES)
+    ordinary = trained([w for words in fit[0] for w in words], FIRST_BYTES)
+    toxic = trained([w for words in fit[1] for w in words], FIRST_BYTES)
     every = sorted({w for part in (*weigh.values(), fit[1]) for words in part for w in words})
     for _ in range(REFINEMENTS):
         known = dict(zip(every, Distance(ordinary, toxic).cells(every)))
         cells = weights(_counted(weigh[0], known), _counted(weigh[1], known))
-        leaning = [w for words in fit[1] for w in words if cells.get(known[w], 0.0) > 1]
+        leaning = [w for words in fit[1] for w in words if cells.get(known[w], 0.0) > LEAN]
         if not leaning:
             break
         toxic = trained(leaning, REFINED_BYTES)
     return ordinary, toxic
 
 
-def logistic(points: dict[tuple[float, int], int], steps: int = 50) -> tuple[float, float]:
-    """Slope and offset of the probability of label 1 at a sum, by Newton steps on counted sums."""
-    x = np.array([s for s, _ in points], float)
-    y = np.array([label for _, label in points], float)
-    n = np.array(list(points.values()), float)
-    if not len(x) or y.min() == y.max():
-        return 0.0, (40.0 if len(x) and y[0] else -40.0)
-    slope, offset = 0.0, log((n * y).sum() / (n * (1 - y)).sum())
+def logistic(points: dict[tuple[float, float, int], int], steps: int = 50) -> list[float]:
+    """Weights of the sum, the logarithm of the windows and 1 for the log odds of label 1, by damped Newton steps."""
+    rows = np.array([[s, n, 1.0] for s, n, _ in points])
+    y = np.array([label for *_, label in points], float)
+    times = np.array(list(points.values()), float)
+    if not len(rows) or y.min() == y.max():
+        return [0.0, 0.0, 40.0 if len(rows) and y[0] else -40.0]
+    found, ridge = np.array([0.0, 0.0, log((times * y).sum() / (times * (1 - y)).sum())]), 1e-3
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(slope * x + offset, -40, 40)))
-        w = n * p * (1 - p) + 1e-9
-        g = np.array([(n * (y - p) * x).sum() - 1e-3 * slope, (n * (y - p)).sum()])
-        h = np.array([[(w * x * x).sum() + 1e-3, (w * x).sum()], [(w * x).sum(), w.sum()]])
-        slope, offset = np.array([slope, offset]) + np.linalg.solve(h, g)
-    return float(slope), float(offset)
+        p = 1 / (1 + np.exp(-np.clip(rows @ found, -40, 40)))
+        slope = rows.T @ (times * (y - p)) - ridge * found
+        bend = (rows * (times * p * (1 - p))[:, None]).T @ rows + ridge * np.eye(3)
+        step = np.linalg.solve(bend, slope)
+        found = found + step / max(1.0, float(np.abs(step).max()))
+    return found.tolist()
 
 
 def fold(doc_id: Column) -> Column:
@@ -173,20 +174,24 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", "key").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic", share.alias("share"))
 
 
-def _sampled(rows: DataFrame) -> list[list[list[bytes]]]:
-    """Windows of a bounded sample of texts, by label 0 and 1; the windows kept of a text are those of least hash."""
+def shuffled(text: str) -> bytes:
+    """Bounded windows of a text in an order that differs between texts, so that no two keep the same neighbours."""
+    salt = crc32(text.encode())
+    return b" ".join(sorted(windows(text), key=lambda w: (crc32(w, salt), w))[:TEXT_WINDOWS])
+
+
+def _sampled(rows: DataFrame, most: tuple[int, int]) -> list[list[list[bytes]]]:
+    """Windows of a bounded sample of texts, by label 0 and 1."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
-            kept = [
-                b" ".join(sorted(windows(t), key=lambda w: (crc32(w), w))[:TEXT_WINDOWS]) for t in batch.column("text").to_pylist()
-            ]
+            kept = [shuffled(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(kept, pa.binary())], names=["toxic", "words"])
 
     found = []
-    for label, most in ((0, ORDINARY_TEXTS), (1, TOXIC_TEXTS)):
+    for label in (0, 1):
         picked = rows.filter(F.col("toxic") == label).select(F.col("toxic").cast("int"), "text", "share")
-        picked = picked.orderBy("share", F.md5("text")).limit(most)
+        picked = picked.orderBy("share", F.md5("text")).limit(most[label])
         found.append([r.words.split(b" ") for r in picked.mapInArrow(cut, "toxic int, words binary").collect() if r.words])
     return found
 
@@ -208,8 +213,9 @@ class Scorer:
         self.memo.update(zip(fresh, self.distance.cells(fresh)))
         return [[self.memo[w] for w in words] for words in split]
 
-    def sums(self, texts: list[str]) -> list[float]:
-        return [total(found, self.cells) for found in self.found(texts)]
+    def sums(self, texts: list[str]) -> list[tuple[float, int]]:
+        """The sum of every text and the number of its windows."""
+        return [(total(found, self.cells), len(found)) for found in self.found(texts)]
 
 
 def _cells(ordinary: bytes, toxic: bytes):
@@ -230,8 +236,11 @@ def _sums(ordinary: bytes, toxic: bytes, cells: Cells):
         scorer = Scorer(ordinary, toxic, cells)
         for part in rows_of(batches):
             for batch in blocks_of([part], "text", 1 << 20):
-                sums = scorer.sums(batch.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sums, pa.float64())], names=["doc_id", "_sum"])
+                sums, sizes = zip(*scorer.sums(batch.column("text").to_pylist()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(sums, pa.float64()), pa.array(sizes, pa.int32())],
+                    names=["doc_id", "_sum", "_n"],
+                )
 
     return run
 
@@ -246,16 +255,15 @@ def _of_cells(cells: Cells) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
-    """Dictionaries, weights of the cells, slope and offset, or only the offset where a label has no texts."""
+    """Dictionaries, weights of the cells and of the calibration; only a score where a label has no texts."""
     rows = materialize(labelled_texts(docs, labels), "labelled-texts")
     kinds = {int(r.toxic > 0): r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     rows = rows.withColumn("toxic", (F.col("toxic") > 0).cast("int"))
     if len(kinds) < 2:
-        return {"offset": 40.0 if kinds.get(1) else -40.0}
-    weighed = FIT_SHARE + WEIGH_SHARE
+        return {"score": 1.0 if 1 in kinds else 0.0}
     parts = [
-        _sampled(rows.filter(F.col("share") < FIT_SHARE)),
-        _sampled(rows.filter((F.col("share") >= FIT_SHARE) & (F.col("share") < weighed))),
+        _sampled(rows.filter(F.col("share") < FIT_SHARE), FIT_TEXTS),
+        _sampled(rows.filter(F.col("share") >= FIT_SHARE), WEIGH_TEXTS),
     ]
     ordinary, toxic = dictionaries(*[dict(enumerate(p)) for p in parts])
     rest = rows.filter(F.col("share") >= FIT_SHARE).select("toxic", "text")
@@ -265,9 +273,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     for r in each.collect():  # at most a few thousand cells: three lengths below 100
         counts[r.toxic][r.cell] = r.n
     cells = weights(counts[0], counts[1])
-    points = found.groupBy(F.round(_of_cells(cells), 1).alias("s"), "toxic").agg(F.count("*").alias("n")).collect()
-    slope, offset = logistic({(r.s, r.toxic): r.n for r in points})
-    return {"ordinary": ordinary, "toxic": toxic, "cells": cells, "slope": slope, "offset": offset}
+    sums = found.select(F.round(_of_cells(cells), 1).alias("s"), F.round(F.log1p(F.size("cells")), 1).alias("n"), "toxic")
+    points = {(r.s, r.n, r.toxic): r.times for r in sums.groupBy("s", "n", "toxic").agg(F.count("*").alias("times")).collect()}
+    return {"ordinary": ordinary, "toxic": toxic, "cells": cells, "odds": logistic(points)}
 
 
 def score(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
@@ -285,10 +293,12 @@ def score(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     model = fit(docs, labels)
     rows = docs.select(F.col("doc_id").cast("bigint"), text_of().alias("text"))
     if "cells" in model:
-        rows = rows.mapInArrow(_sums(model["ordinary"], model["toxic"], model["cells"]), "doc_id bigint, _sum double")
-        chance = 1 / (1 + F.exp(-(F.col("_sum") * model["slope"] + model["offset"])))
+        sums = _sums(model["ordinary"], model["toxic"], model["cells"])
+        rows = rows.mapInArrow(sums, "doc_id bigint, _sum double, _n int")
+        by_sum, by_size, offset = model["odds"]
+        chance = 1 / (1 + F.exp(-(F.col("_sum") * by_sum + F.log1p("_n") * by_size + offset)))
     else:
-        chance = F.lit(1 / (1 + exp(-model["offset"])))
+        chance = F.lit(model["score"])
     held_out = F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False))
     return rows.select("doc_id", held_out.alias("held_out"), chance.alias("score")).withColumn(
         "predicted", (F.col("score") >= cut).cast("int")
