@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.quality import expect, expect_or_drop
 from ..operators.scd2 import END, START, close_versions, last_event, mark_versions
 from ..operators.skew import MAX_ROWS_PER_TASK, find_hot
+from .stores import BUCKET_ROWS, KeyedStore
 
 
 def stream_scan(
@@ -51,16 +51,16 @@ def bronze_stream(
     return query
 
 
-class HistoryTable:
-    """Type-2 history in parquet: a base and the changes since, cut into hash buckets of the key.
+class HistoryTable(KeyedStore):
+    """Type-2 history in parquet: the events and versions of every key, in extendible-hash buckets.
 
     A merge writes the whole history of the keys in its batch, and of no others, as a
     version of its own; readers take every key from its newest version.  Versions are
     numbered by the table, not by the stream, so streams may restart with new checkpoints
     and several may feed one table, one after the other.  Events are a set: merging a batch
     again changes nothing.  All events are kept, also those that are no version: a late
-    event can turn them into one.  ``compact`` folds the versions into a new base and
-    ``vacuum`` removes files that no reader needs any more.
+    event can turn them into one.  Buckets split as they fill, each on its own; ``compact``
+    folds versions and ``vacuum`` removes files that no reader needs any more.
     """
 
     def __init__(
@@ -72,130 +72,40 @@ class HistoryTable:
         track_columns: Sequence[str] | None = None,
         tie_break: str | None = None,
         buckets: int = 64,
+        bucket_rows: int = BUCKET_ROWS,
     ) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
-        self.keys, self.sequence_by = list(keys), sequence_by
-        self.track_columns, self.tie_break, self.buckets = track_columns, tie_break, buckets
-
-    def _folder(self, name: str):
-        """File system and path of a folder of this table."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def _versions(self, name: str) -> dict[int, object]:
-        """version -> path of the version folders below a folder."""
-        files, path = self._folder(name)
-        found = [x.getPath() for x in files.listStatus(path)] if files.exists(path) else []
-        return {int(x.getName().split("=")[1]): x for x in found if x.getName().startswith("version=")}
-
-    def _manifest(self) -> tuple[int, list[tuple[int, int]]]:
-        """The newest committed version (-1 for none) and its live (bucket, version) parts."""
-        files, _ = self._folder("manifest")
-        written = self._versions("manifest")
-        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
-        done = [v for v, path in written.items() if files.exists(path_of(path, "_SUCCESS"))]
-        if not done:
-            return -1, []
-        schema = "bucket int, version bigint, buckets int"
-        rows = self.spark.read.schema(schema).json(f"{self.path}/manifest/version={max(done)}").collect()
-        if any(r.buckets != self.buckets for r in rows):
-            raise ValueError(f"{self.path} was written with {rows[0].buckets} buckets, not {self.buckets}")
-        return max(done), sorted((r.bucket, r.version) for r in rows)
-
-    def _commit(self, version: int, live: Sequence[tuple[int, int]]) -> None:
-        rows = [(b, v, self.buckets) for b, v in live]
-        (
-            self.spark.createDataFrame(rows, "bucket int, version bigint, buckets int")
-            .coalesce(1)
-            .write.mode("overwrite")
-            .json(f"{self.path}/manifest/version={version}")
-        )
-
-    def _with_key(self, rows: DataFrame, marks: DataFrame, how: str) -> DataFrame:
-        """Null-safe join on the key; the key columns of ``marks`` are called _k0, _k1, ..."""
-        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(self.keys)]
-        return rows.join(marks, reduce(Column.__and__, same), how)
-
-    def _keys(self) -> list[Column]:
-        return [F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)]
-
-    def _read(self, live: Sequence[tuple[int, int]]) -> DataFrame:
-        """The rows of every key's newest version."""
-        paths = [f"{self.path}/data/version={v}/bucket={b}" for b, v in live]
-        rows = self.spark.read.option("basePath", f"{self.path}/data").parquet(*paths).drop("bucket")
-        base = min(v for _, v in live)
-        if all(v == base for _, v in live):
-            return rows.drop("version")
-        # Only keys changed since the base have more than one version to choose from.
-        changed = rows.filter(F.col("version") > base)
-        newest = changed.groupBy(*self._keys()).agg(F.max("version").alias("_newest"))
-        chosen = self._with_key(rows, newest, "left").filter("_newest IS NULL OR version = _newest")
-        return chosen.select(*[c for c in rows.columns if c != "version"])
-
-    def _write(self, rows: DataFrame, version: int) -> None:
-        # rebalance: one bucket per task, but a large bucket is split into several files
-        (
-            rows.hint("rebalance", F.col("bucket"))
-            .write.mode("overwrite")
-            .partitionBy("bucket")
-            .parquet(f"{self.path}/data/version={version}")
-        )
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        super().__init__(spark, path, keys, buckets, bucket_rows)
+        self.sequence_by, self.track_columns, self.tie_break = sequence_by, track_columns, tie_break
 
     def merge(self, batch: DataFrame) -> None:
         """Fold a batch of change events into the history; one writer at a time."""
         incoming = last_event(batch, self.keys, self.sequence_by, self.tie_break).persist()
         marked = None
         try:
-            touched = {r[0] for r in incoming.select(self._bucket()).distinct().collect()}
+            manifest = self._manifest()
+            touched = self._touched(incoming, manifest)
             if not touched:
                 return
-            newest, live = self._manifest()
-            known = [(b, v) for b, v in live if b in touched]
+            known = self._known(incoming, touched)
             events = incoming
-            if known:
-                stored = self._read(known).drop("is_version", START, END)
-                stored = self._with_key(stored, incoming.select(*self._keys()).distinct(), "left_semi")
-                events = last_event(stored.unionByName(incoming), self.keys, self.sequence_by, self.tie_break)
+            if known is not None:
+                known = known.drop("is_version", START, END)
+                events = last_event(known.unionByName(incoming), self.keys, self.sequence_by, self.tie_break)
             hot = find_hot(events, self.keys, MAX_ROWS_PER_TASK)
             marked = mark_versions(events, self.keys, self.sequence_by, self.track_columns, hot).persist()
             versions = close_versions(marked, self.keys, self.sequence_by, hot=hot).withColumn(
                 "is_version", F.lit(True)
             )
             rows = versions.unionByName(marked.filter(~F.col("is_version")), allowMissingColumns=True)
-            version = newest + 1
-            self._write(rows.withColumn("bucket", self._bucket()), version)
-            self._commit(version, [*live, *((b, version) for b in sorted(touched))])
+            self._append(rows, manifest)
         finally:
             incoming.unpersist()
             if marked is not None:
                 marked.unpersist()
 
-    def compact(self) -> None:
-        """Write the newest version of every key as the new base."""
-        newest, live = self._manifest()
-        if len({v for _, v in live}) > 1:
-            self._write(self._read(live).withColumn("bucket", self._bucket()), newest + 1)
-            self._commit(newest + 1, [(b, newest + 1) for b in sorted({b for b, _ in live})])
-
-    def vacuum(self) -> None:
-        """Remove versions and manifests that the newest manifest does not name; no reader may be at work."""
-        newest, live = self._manifest()
-        kept = {"data": {v for _, v in live}, "manifest": {newest}}
-        for name, versions in kept.items():
-            files, _ = self._folder(name)
-            for version, path in self._versions(name).items():
-                if version not in versions:
-                    files.delete(path, True)
-
     def history(self) -> DataFrame:
         """All versions with their intervals."""
-        _, live = self._manifest()
-        if not live:
-            raise ValueError(f"no history at {self.path}")
-        return self._read(live).filter("is_version").drop("is_version")
+        return self.rows().filter("is_version").drop("is_version")
 
     def current(self) -> DataFrame:
         return self.history().filter(F.col(END).isNull()).drop(START, END)
