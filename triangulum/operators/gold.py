@@ -47,6 +47,43 @@ def claims_monthly(claims: DataFrame) -> DataFrame:
     )
 
 
+def claim_keys() -> dict[str, Column | str]:
+    """The keys of the monthly table over claim events."""
+    return {
+        "segment_id": segment_key("product_line", "region"),
+        "product_line": "product_line",
+        "region": "region",
+        "month": first_of_month("loss_date"),
+    }
+
+
+# The monthly table as mergeable partials of claim events.
+CLAIM_PARTIALS = {
+    "claim_sum": ("sum", "claim_amount"),
+    "claim_n": ("count", "claim_amount"),
+    "premium_sum": ("sum", "monthly_prem_exposure"),
+    "smallest_claim": ("min", "claim_amount"),
+    "largest_claim": ("max", "claim_amount"),
+}
+
+
+def monthly_of_partials(partials: DataFrame) -> DataFrame:
+    """The monthly claims table from its partials, equal to ``claims_monthly`` of all events."""
+    total, premium = (fixed(F.col(c).cast("double"), 2) for c in ("claim_sum", "premium_sum"))
+    named = partials.withColumns({"total_incurred": total, "earned_premium": premium})
+    return named.select(
+        "segment_id",
+        "product_line",
+        "region",
+        "month",
+        F.col("_rows").alias("claims_count"),
+        "total_incurred",
+        safe_ratio("total_incurred", "claim_n").alias("avg_severity"),
+        "earned_premium",
+        safe_ratio("total_incurred", "earned_premium", 0.0).alias("loss_ratio"),
+    )
+
+
 MEASURES = ("cumulative_paid", "cumulative_incurred", "case_reserve")
 
 

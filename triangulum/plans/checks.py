@@ -678,6 +678,19 @@ BODIES: dict[str, str] = {
                ORDER BY ingested_at) AS end_at FROM bronze""",
     "scd2_stream": "SELECT * FROM history",
     "scd2_restart": "SELECT * FROM history",
+    "scd2_growing": "SELECT * FROM history",
+    "delta_monthly": f"""
+        SELECT * FROM (SELECT * FROM monthly WHERE {_VALID})
+        JOIN (SELECT product_line || '__' || region AS segment_id, CAST(date_trunc('month', order_date) AS DATE) AS month,
+                     min(claim_amount) AS smallest_claim, max(claim_amount) AS largest_claim
+              FROM claims GROUP BY 1, 2) USING (segment_id, month)""",
+    "snapshot_publish": f"""
+        SELECT region, {_SUMMARY}, 0 AS seen_after_failure, 0 AS seen_pinned,
+               count(DISTINCT product_line) AS product_lines FROM monthly GROUP BY 1""",
+    "full_refresh": f"""
+        SELECT 'full' AS refresh, * FROM monthly WHERE {_VALID}
+        UNION ALL
+        SELECT 'current', * FROM monthly WHERE {_VALID} AND product_line <> '{reg.VALID_LINES[0]}'""",
     "reserve_history": f"""
         SELECT *, development_month AS start_at,
                lead(development_month) OVER (PARTITION BY segment_id, accident_month, dev_lag

@@ -10,7 +10,9 @@ from ..operators import features, gold
 from ..operators.quality import expect_or_drop
 from ..operators.scd2 import current_versions, scd2_batch
 from ..operators.skew import MAX_ROWS_PER_TASK
+from ..sources.snapshots import Snapshots
 from ..streaming.flows import HistoryTable, bronze_stream, scd2_stream, stream_scan
+from ..streaming.stores import PartialTable, partial_stream
 
 # Lines of business and the row rules of the three bronze tables.
 PRODUCT_LINES = ("Personal_Auto", "Commercial_Auto", "Homeowners", "Commercial_Property")
@@ -85,6 +87,20 @@ def gold_macro(raw: DataFrame, province_map: Mapping[str, str], month: Column |
     return gold.macro_features(current_versions(silver_macro(raw)), province_map, month)
 
 
+def claims_partials(spark: SparkSession, path: str, buckets: int = 16) -> PartialTable:
+    return PartialTable(spark, path, gold.claim_keys(), gold.CLAIM_PARTIALS, buckets=buckets)
+
+
+def histories(spark: SparkSession, base: str, buckets: int = 64) -> dict[str, HistoryTable]:
+    """The history tables of one refresh."""
+    return {
+        "reserves": HistoryTable(
+            spark, f"{base}/silver_reserves", RESERVE_KEYS, "development_month", buckets=buckets
+        ),
+        "macro": HistoryTable(spark, f"{base}/silver_macro", MACRO_KEYS, "ingested_at", ("value",), buckets=buckets),
+    }
+
+
 def run_update(
     spark: SparkSession,
     landing: Mapping[str, DataFrame | str],
@@ -97,9 +113,12 @@ def run_update(
 ) -> dict[str, str]:
     """Landing folders (claims, reserves, macro) to bronze, silver and gold tables.
 
-    Every call reads only input it has not seen.  Gold tables are recomputed from
-    silver after the streams have drained.  Another ``refresh`` name is a full
-    refresh: new targets and new checkpoints next to the old ones.
+    Every call reads only input it has not seen: histories and the partials of the monthly
+    claims take the new files' keys alone.  What is derived from the monthly table and from
+    current versions, both bounded by segments and months, is computed again.  The gold
+    tables of a call are published at once (``Snapshots``), and the paths returned stay
+    readable until a vacuum.  Another ``refresh`` name is a full refresh: new targets and
+    new checkpoints next to the old ones.  Folding versions is left to ``maintain``.
     """
     base = f"{out.rstrip('/')}/{refresh}"
     state = f"{base}/_checkpoints"
@@ -114,26 +133,31 @@ def run_update(
             rule,
             RESERVE_WARNINGS if name == "reserves" else None,
         )
-    tables = {
-        "reserves": HistoryTable(
-            spark, f"{base}/silver_reserves", RESERVE_KEYS, "development_month", buckets=buckets
-        ),
-        "macro": HistoryTable(
-            spark, f"{base}/silver_macro", MACRO_KEYS, "ingested_at", ("value",), buckets=buckets
-        ),
-    }
-    for name, table in tables.items():
+    history = histories(spark, base, buckets)
+    for name, table in history.items():
         schema = spark.read.parquet(paths[name]).schema
         scd2_stream(stream_scan(spark, paths[name], schema), table, f"{state}/silver_{name}")
+    partials = claims_partials(spark, f"{base}/claims_partials", min(buckets, 16))
+    schema = spark.read.parquet(paths["claims"]).schema
+    partial_stream(stream_scan(spark, paths["claims"], schema), partials, f"{state}/claims_partials")
+    monthly = gold.monthly_of_partials(partials.rows())
+    published = Snapshots(spark, f"{base}/gold")
+    published.publish(
+        {
+            "gold_claims_monthly": monthly,
+            "silver_rolling_features": gold.rolling_features(monthly),
+            "features_segment_monthly": segment_features(monthly),
+            "gold_reserve_triangle": gold.reserve_triangle(history["reserves"].current()),
+            "gold_macro_features": gold.macro_features(history["macro"].current(), province_map, month),
+        }
+    )
+    return published.paths()
+
+
+def maintain(spark: SparkSession, out: str, refresh: str = "current", buckets: int = 64, keep: int = 2) -> None:
+    """Fold versions and remove what no reader needs; between updates, with no reader of old publications at work."""
+    base = f"{out.rstrip('/')}/{refresh}"
+    for table in (*histories(spark, base, buckets).values(), claims_partials(spark, f"{base}/claims_partials", min(buckets, 16))):
         table.compact()
-    monthly = gold.claims_monthly(spark.read.parquet(paths["claims"]))
-    out_tables = {
-        "gold_claims_monthly": monthly,
-        "silver_rolling_features": gold.rolling_features(monthly),
-        "features_segment_monthly": segment_features(monthly),
-        "gold_reserve_triangle": gold.reserve_triangle(tables["reserves"].current()),
-        "gold_macro_features": gold.macro_features(tables["macro"].current(), province_map, month),
-    }
-    for name, df in out_tables.items():
-        df.write.mode("overwrite").parquet(f"{base}/{name}")
-    return {name: f"{base}/{name}" for name in out_tables}
+        table.vacuum()
+    Snapshots(spark, f"{base}/gold").vacuum(keep)

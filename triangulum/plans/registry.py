@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +22,9 @@ from ..operators import simulate as sim
 from ..operators.quality import expect_or_drop, expectation_report
 from ..session import materialize, scratch_path
 from ..sources import adapters, generators, notes, statistics, tables
+from ..sources.snapshots import Snapshots
 from ..streaming.flows import HistoryTable, bronze_stream, scd2_stream, stream_scan
+from ..streaming.stores import partial_stream
 from . import medallion, reserving
 
 # The market segments of the test tables in the roles of the lines.
@@ -245,6 +248,73 @@ def q_scd2_restart(s: SparkSession, d: str) -> DataFrame:
     return table.history()
 
 
+def q_scd2_growing(s: SparkSession, d: str) -> DataFrame:
+    """The macro feed in batches into a history that starts with two buckets and splits them as they fill."""
+    base = scratch_path(s, "growing")
+    feed = materialize(_bronze_macro(s, d), "feed")
+    room = max(1, feed.count() // 12)
+    table = HistoryTable(
+        s, f"{base}/history", medallion.MACRO_KEYS, "ingested_at", ("value",), buckets=2, bucket_rows=room
+    )
+    for turn in range(3):
+        table.merge(feed.filter(F.pmod(F.xxhash64("ingested_at"), F.lit(3)) == turn))
+    return table.history()
+
+
+def q_delta_monthly(s: SparkSession, d: str) -> DataFrame:
+    """Claims landed in three parts; after each the new files' partials are added to the monthly state."""
+    base = scratch_path(s, "delta")
+    claims = expect_or_drop(adapters.claims_events(s, d), medallion.claims_rules(VALID_LINES))
+    table = medallion.claims_partials(s, f"{base}/state", buckets=4)
+    for turn in range(3):
+        part = F.pmod(F.xxhash64(*claims.columns), F.lit(3)) == turn
+        claims.filter(part).write.mode("append").parquet(f"{base}/landing")
+        partial_stream(stream_scan(s, f"{base}/landing", claims.schema), table, f"{base}/cp")
+    return gold.monthly_of_partials(table.rows()).join(
+        table.rows().select("segment_id", "month", "smallest_claim", "largest_claim"), ["segment_id", "month"]
+    )
+
+
+def q_snapshot_publish(s: SparkSession, d: str) -> DataFrame:
+    """Two publications and a failed one between them: the first by its number beside the newest."""
+    published = Snapshots(s, scratch_path(s, "published"))
+    monthly = _monthly(s, d)
+    summary, breakdown = reports.regional_summary(monthly), reports.regional_product_breakdown(monthly)
+    first = published.publish({"summary": summary.limit(0), "breakdown": breakdown})
+    try:
+        published.publish({"summary": summary, "breakdown": breakdown.withColumn("total_claims", F.raise_error(F.lit("stop")))})
+    except PySparkException:  # the second output fails; the first must not be seen
+        pass
+    kept = published.read("summary").count()
+    published.publish({"summary": summary})
+    pinned = published.read("summary", first).count()
+    newest = published.read("summary").withColumns({"seen_after_failure": F.lit(kept), "seen_pinned": F.lit(pinned)})
+    lines = published.read("breakdown").groupBy("region").agg(F.count("*").alias("product_lines"))
+    return newest.join(lines, "region")
+
+
+def q_full_refresh(s: SparkSession, d: str) -> DataFrame:
+    """An update of part of the feeds, then a full refresh of all beside it; the monthly tables of both."""
+    base = scratch_path(s, "refresh")
+    feeds = {"claims": adapters.claims_events, "reserves": _reserves, "macro": adapters.macro_indicators}
+    landing = {name: f"{base}/{name}" for name in feeds}
+
+    def update(refresh: str) -> DataFrame:
+        out = medallion.run_update(
+            s, landing, f"{base}/out", adapters.REGION_OF_PROVINCE, VALID_LINES,
+            adapters.claims_month_of_ref_date(), refresh, buckets=4,
+        )
+        return tables.scan(s, out["gold_claims_monthly"]).withColumn("refresh", F.lit(refresh))
+
+    for name, read in feeds.items():
+        feed = read(s, d)
+        early = F.col("product_line") != VALID_LINES[0] if name == "claims" else F.lit(True)
+        feed.filter(early).write.parquet(landing[name])
+    before = update("current")
+    adapters.claims_events(s, d).filter(F.col("product_line") == VALID_LINES[0]).write.mode("append").parquet(landing["claims"])
+    return before.unionByName(update("full"))
+
+
 def q_bronze_stream(s: SparkSession, d: str) -> DataFrame:
     base = scratch_path(s, "bronze")
     landing = adapters.macro_indicators(s, d)
@@ -334,16 +404,16 @@ def q_csv(s: SparkSession, d: str) -> DataFrame:
 
 
 def q_medallion_update(s: SparkSession, d: str) -> DataFrame:
-    """All feeds landed in two halves with an update after each; the segment triangle it ends with."""
+    """All feeds landed in three parts with an update after each; the segment triangle it ends with."""
     base = scratch_path(s, "update")
     feeds = {"claims": adapters.claims_events, "reserves": _reserves, "macro": adapters.macro_indicators}
     landing = {name: f"{base}/{name}" for name in feeds}
     out = {}
-    for turn in (0, 1):
+    for turn in range(3):
         for name, read in feeds.items():
             feed = read(s, d)
-            half = F.pmod(F.xxhash64(*feed.columns), F.lit(2)) == turn
-            feed.filter(half).write.mode("append").parquet(landing[name])
+            part = F.pmod(F.xxhash64(*feed.columns), F.lit(3)) == turn
+            feed.filter(part).write.mode("append").parquet(landing[name])
         out = medallion.run_update(
             s, landing, f"{base}/out", adapters.REGION_OF_PROVINCE, VALID_LINES,
             adapters.claims_month_of_ref_date(), buckets=4,
@@ -656,6 +726,12 @@ QUERIES: dict[str, tuple[str, Query]] = {
     ),
     "scd2_stream": (MACRO_SPEC + " start_at:t end_at:t", q_scd2_stream),
     "scd2_restart": (MACRO_SPEC + " start_at:t end_at:t", q_scd2_restart),
+    "scd2_growing": (MACRO_SPEC + " start_at:t end_at:t", q_scd2_growing),
+    "delta_monthly": (
+        SEG + " month:d claims_count:i total_incurred:2 avg_severity:2 earned_premium:2 loss_ratio:6 smallest_claim:2"
+        " largest_claim:2",
+        q_delta_monthly,
+    ),
     "reserve_history": (
         SEG + " accident_month development_month dev_lag:i cumulative_paid:2 cumulative_incurred:2 case_reserve:2"
         " start_at end_at",
@@ -747,6 +823,10 @@ QUERIES: dict[str, tuple[str, Query]] = {
     "append_batch": ("province ref_date indicator_name value:4 batch_id", q_append),
     "export_csv": ("region " + SUMMARY_SPEC, q_csv),
     "medallion_update": ("segment_id month:d claims_count:i total_incurred:2 cells:i paid:2", q_medallion_update),
+    "snapshot_publish": (
+        "region " + SUMMARY_SPEC + " seen_after_failure:i seen_pinned:i product_lines:i", q_snapshot_publish
+    ),
+    "full_refresh": ("refresh segment_id month:d claims_count:i total_incurred:2 earned_premium:2", q_full_refresh),
     "regional_summary": ("region " + SUMMARY_SPEC, lambda s, d: reports.regional_summary(_monthly(s, d))),
     "regional_summary_range": (
         "region " + SUMMARY_SPEC,

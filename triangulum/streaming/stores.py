@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from ..operators.skew import bounded_broadcast
 
 BUCKET_ROWS = 5_000_000
-MAX_DEPTH = 40
+# Bits by which a bucket is split at once, at most.
+SPLIT_BITS = 6
 # A split that leaves less than this share of the rows on one side is not worth it: one key fills the bucket.
 LEAST_SHARE = 0.1
 # Directories up to this depth are a literal array, deeper ones a joined table.
@@ -29,7 +30,7 @@ LITERAL_DEPTH = 12
 
 @dataclass(frozen=True)
 class Bucket:
-    """Rows whose key hash ends in ``bits`` (``depth`` of them); ``rows`` is an upper bound."""
+    """Rows whose key hash ends in ``bits`` (``depth`` of them); ``rows`` bounds what it holds or took since it was folded."""
 
     depth: int
     bits: int
@@ -177,42 +178,37 @@ class KeyedStore:
             live[name] = replace(b, rows=b.rows + n, versions=(*b.versions, version))
         after = Manifest(version, live, {**manifest.marks, **(marks or {})})
         self._commit(after)
-        while full := [b for b in after.buckets.values() if b.rows > self.bucket_rows and b.depth < MAX_DEPTH]:
-            rewritten = self._rewrite(after, full)
-            if rewritten is None:
-                break
-            after = rewritten
-
-    def _rewrite(self, manifest: Manifest, full: Sequence[Bucket]) -> Manifest | None:
-        """Split, or only fold, some buckets into a new version; None where nothing would change."""
-        bit = F.shiftright(F.xxhash64(*self.keys), F.lit(0))
-        upper = {b.name: bit.bitwiseAND(F.lit(1 << b.depth).cast("bigint")) != 0 for b in full}
+        full = [b for b in live.values() if b.rows > self.bucket_rows]
+        if full:
+            self._rewrite(after, full)
+
+    def _split(self, bucket: Bucket, counts: Mapping[int, int], bits: int = SPLIT_BITS) -> list[Bucket]:
+        """The bucket cut by further bits until its parts fit; ``counts`` has its rows by the next ``bits`` bits."""
+        total = sum(counts.values())
+        sides = [{c >> 1: n for c, n in counts.items() if c & 1 == side} for side in (0, 1)]
+        least = min(sum(x.values()) for x in sides)
+        if total <= self.bucket_rows or not bits or least < LEAST_SHARE * total:
+            return [replace(bucket, rows=0, versions=())]
+        return [part for half, own in zip(bucket.halves(), sides) for part in self._split(half, own, bits - 1)]
+
+    def _rewrite(self, manifest: Manifest, full: Sequence[Bucket]) -> None:
+        """Split, or only fold, the buckets that are too full into one new version."""
+        bits = F.expr(f"shiftrightunsigned(xxhash64({', '.join(f'`{k}`' for k in self.keys)}), int(split(bucket, '_')[0]))")
         rows = self._in_buckets(self._read(full), manifest.buckets)
-        side = reduce(lambda c, n: c.when(F.col("bucket") == n, upper[n]), upper, F)
-        counted = {
-            r.bucket: (r.low, r.high)
-            for r in rows.groupBy("bucket").agg(F.count_if(~side).alias("low"), F.count_if(side).alias("high")).collect()
-        }
-        split = {n for n, (a, b) in counted.items() if a + b > self.bucket_rows and min(a, b) >= LEAST_SHARE * (a + b)}
-        changed = [b for b in full if b.name in split or len(b.versions) > 1]
-        if not changed:
-            return None
+        ahead = rows.groupBy("bucket", bits.bitwiseAND(F.lit((1 << SPLIT_BITS) - 1)).alias("next")).agg(F.count("*").alias("n"))
+        counts: dict[str, dict[int, int]] = {}
+        for r in ahead.collect():  # 2^SPLIT_BITS rows for each full bucket at most
+            counts.setdefault(r.bucket, {})[r.next] = r.n
         live = dict(manifest.buckets)
-        for b in changed:
-            halves = b.halves() if b.name in split else (replace(b, versions=(), rows=0),)
+        for b in full:
             del live[b.name]
-            live.update({h.name: h for h in halves})
+            live.update({part.name: part for part in self._split(b, counts[b.name])})
         version = manifest.version + 1
-        counts = self._write(self._in_buckets(self._read(changed), live), version, base=True)
-        for name, n in counts.items():
-            live[name] = replace(live[name], rows=n, versions=(version,))
-        # a bucket that cannot be split counts as just full, so that it is folded again only after as many new rows
-        for b in changed:
-            if b.name in live and live[b.name].rows > self.bucket_rows:
-                live[b.name] = replace(live[b.name], rows=0)
-        after = Manifest(version, live, manifest.marks)
-        self._commit(after)
-        return after
+        written = self._write(self._in_buckets(self._read(full), live), version, base=True)
+        for name, n in written.items():
+            # a bucket that one key fills counts from here on, so that it is folded again only after as many new rows
+            live[name] = replace(live[name], rows=n if n <= self.bucket_rows else 0, versions=(version,))
+        self._commit(Manifest(version, live, manifest.marks))
 
     # --- maintenance and reading ---
 
