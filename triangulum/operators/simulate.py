@@ -281,12 +281,16 @@ def scenario_shock(line: str) -> tuple[Column, Column]:
     return mean, cv
 
 
-def scorer_draws(requests: DataFrame, seed: int = 42, chunk: int = 10_000) -> DataFrame:
+def scorer_draws(requests: DataFrame, seed: int = 42, chunk: int = 10_000, strict: bool = False) -> DataFrame:
     """Correlated lognormal totals per request (request_id, scenario, n_replications,
     means, CVs, ldf_multiplier, inflation_adj).  Columns only: the draws are counter-based,
-    and every request sees the same ones.
+    and every request sees the same ones.  Requests outside the bounds of replications get the
+    nearest bound, seen in n_replications_used; with ``strict`` they fail.
     """
     n = F.greatest(F.lit(MIN_REPLICATIONS), F.least(F.col("n_replications"), F.lit(MAX_REPLICATIONS)))
+    if strict:
+        message = F.concat(F.lit("replications out of bounds in request "), F.col("request_id").cast("string"))
+        n = F.when(n == F.col("n_replications"), n).otherwise(F.raise_error(message).cast("bigint"))
     exprs = {"n_replications_used": n.cast("bigint")}
     for line in SCORER_LINES:
         mean_mult, cv_mult = scenario_shock(line)
@@ -325,9 +329,9 @@ SCORER_METRICS = (
 )
 
 
-def score_scenarios(requests: DataFrame, seed: int = 42) -> DataFrame:
+def score_scenarios(requests: DataFrame, seed: int = 42, strict: bool = False) -> DataFrame:
     """A table of requests in, one row of metrics per request out (3 digits)."""
-    metrics = task_metrics(scorer_draws(requests, seed), ("request_id", "scenario", "n_replications_used"))
+    metrics = task_metrics(scorer_draws(requests, seed, strict=strict), ("request_id", "scenario", "n_replications_used"))
     return metrics.select(
         "request_id", *[fixed(m, 3).alias(m) for m in SCORER_METRICS], "n_replications_used", "scenario"
     )

@@ -494,10 +494,63 @@ def _seasonal_panel() -> str:
                      5000.0 + {uniform('k', 'i', 4)} * 7000.0 AS sev, 0.55 + {uniform('k', 'i', 5)} * 0.25 AS u
               FROM (SELECT *, CAST(DATE '2019-01-01' + to_months(CAST(i AS INTEGER)) AS DATE) AS month
                     FROM (SELECT segment_id, product_line, region, {rnd('avg(claims_count)', 4)} AS base,
-                                 {key32(42, 'segment_id')} AS k, unnest(range(0, 36)) AS i
+                                 {key32(42, 'segment_id')} AS k, unnest(range(0, 84)) AS i
                           FROM monthly GROUP BY 1, 2, 3)))"""
 
 
+def _arch_lm(lags: int = 4) -> str:
+    """The normal equations of the lagged squares by a self-join on the row number, solved by the same factors."""
+    names = [f"x{k}" for k in range(lags)] + ["y"]
+    pairs = [(i, j) for i in range(lags + 1) for j in range(i, lags + 1)]
+    steps = ["SELECT * FROM (SELECT segment_id, count(*) AS n, " + ", ".join(
+        f"sum(({names[i]} - m{i}) * ({names[j]} - m{j})) AS c_{i}_{j}" for i, j in pairs
+    ) + " FROM (SELECT *, " + ", ".join(
+        f"avg({c}) OVER (PARTITION BY segment_id) AS m{i}" for i, c in enumerate(names)
+    ) + " FROM lagged) GROUP BY segment_id)"]
+    for j in range(lags):
+        inner = " ".join(f"- l_{j}_{p} * l_{j}_{p}" for p in range(j))
+        steps.append(f"SELECT *, CASE WHEN c_{j}_{j} {inner} > c_{j}_{j} * 1e-12 THEN sqrt(c_{j}_{j} {inner}) END AS l_{j}_{j} FROM ({steps[-1]})")
+        below = ", ".join(
+            f"(c_{j}_{i} {' '.join(f'- l_{i}_{p} * l_{j}_{p}' for p in range(j))}) / l_{j}_{j} AS l_{i}_{j}"
+            for i in range(j + 1, lags + 1)
+        )
+        steps.append(f"SELECT *, {below} FROM ({steps[-1]})")
+    square = " + ".join(f"l_{lags}_{p} * l_{lags}_{p}" for p in range(lags))
+    joins = " ".join(
+        f"JOIN e AS e{k + 1} ON e{k + 1}.segment_id = e.segment_id AND e{k + 1}.i = e.i - {k + 1}" for k in range(lags)
+    )
+    return f"""
+        WITH e AS (SELECT segment_id, d2 AS e, row_number() OVER (PARTITION BY segment_id ORDER BY month) AS i FROM diffs),
+        lagged AS (SELECT e.segment_id, e.e AS y, {', '.join(f'e{k + 1}.e AS x{k}' for k in range(lags))} FROM e {joins}
+                   WHERE e.e IS NOT NULL AND {' AND '.join(f'e{k + 1}.e IS NOT NULL' for k in range(lags))}),
+        solved AS (SELECT *, CASE WHEN n >= {lags + 3} AND c_{lags}_{lags} > 0 THEN ({square}) / c_{lags}_{lags} END AS r2
+                   FROM ({steps[-1]}))
+        SELECT segment_id, coalesce(n, 0) AS n, r2, n * r2 AS lm, exp(-n * r2 / 2) * (1.0 + n * r2 / 2) AS p_value
+        FROM (SELECT DISTINCT segment_id FROM panel) LEFT JOIN solved USING (segment_id)"""
+
+
+def _origins() -> str:
+    """Each origin's line fitted by a join with all rows before it."""
+    return f"""
+        WITH x AS (SELECT p.segment_id, p.month, CAST(p.claims_count AS DOUBLE) AS y, f.{reg.HOLDOUT_REGRESSOR} AS x
+                   FROM panel p JOIN filled f ON p.segment_id = f.segment_id AND p.month = f.month),
+        z AS (SELECT *, y - lag(y, 12) OVER w AS d, x - lag(x, 12) OVER w AS dx,
+                     row_number() OVER (PARTITION BY segment_id ORDER BY month DESC) AS back
+              FROM x WINDOW w AS (PARTITION BY segment_id ORDER BY month)),
+        line AS (SELECT o.segment_id, o.month, avg(b.d) AS md, avg(b.dx) AS mx, count(*) AS n,
+                        CASE WHEN count(*) * sum(b.dx * b.dx) - sum(b.dx) * sum(b.dx) > 1e-9 * count(*) * sum(b.dx * b.dx)
+                             THEN (count(*) * sum(b.dx * b.d) - sum(b.dx) * sum(b.d))
+                                  / (count(*) * sum(b.dx * b.dx) - sum(b.dx) * sum(b.dx)) ELSE 0.0 END AS slope
+                 FROM z o JOIN z b ON o.segment_id = b.segment_id AND b.month < o.month
+                 WHERE o.back <= 12 AND o.d IS NOT NULL AND o.dx IS NOT NULL AND b.d IS NOT NULL AND b.dx IS NOT NULL
+                 GROUP BY 1, 2),
+        scored AS (SELECT z.*, y - d AS seasonal, y - d + md + slope * (dx - mx) AS regressor
+                 FROM z JOIN line USING (segment_id, month))
+        SELECT segment_id, month, 'seasonal' AS model, y AS actual, seasonal AS predicted, y - seasonal AS error FROM scored
+        UNION ALL
+        SELECT segment_id, month, 'regressor', y, regressor, y - regressor FROM scored"""
+
+
 def _growth() -> str:
     prop = [x for x, s in reg.SEGMENT_OF.items() if s == "Property"]
     auto = [x for x, s in reg.SEGMENT_OF.items() if s == "Auto"]
@@ -727,7 +780,7 @@ BODIES: dict[str, str] = {
     "pivot_indicators": "SELECT * FROM pivoted",
     "macro_features": "SELECT * FROM wide",
     "wide_select": "SELECT segment_id, month, claims_count, "
-    + ", ".join(f"claims_count * {i}.0 AS col_{i}" for i in range(100)) + " FROM monthly",
+    + ", ".join(f"claims_count * {i}.0 AS col_{i}" for i in range(600)) + " FROM monthly",
     "join_macro": "SELECT * FROM joined",
     "join_features": "SELECT * FROM joined",
     "fill_regressors": "SELECT * FROM filled",
@@ -837,6 +890,17 @@ BODIES: dict[str, str] = {
         JOIN (SELECT scenario, product_line, dev_lag, product(scenario_ldf) OVER (PARTITION BY scenario, product_line
                      ORDER BY dev_lag ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS cdf FROM scen_ldf) c
           ON l.product_line = c.product_line AND l.dev_lag = c.dev_lag GROUP BY 1, 2""",
+    "evolution_ibnr": """
+        SELECT month_idx, ibnr, ibnr / max(ibnr) FILTER (month_idx = 0) OVER () * 100 - 100 AS ibnr_vs_baseline
+        FROM (SELECT c.month_idx, sum(greatest(l.cumulative_paid * (c.cdf - 1.0), 0.0)) AS ibnr
+              FROM latest_line l
+              JOIN (SELECT month_idx, product_line, dev_lag, product(ldf * pow(1.0 + 0.005 * month_idx, 1.0 / lags)) OVER (
+                               PARTITION BY month_idx, product_line ORDER BY dev_lag
+                               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS cdf
+                    FROM (SELECT *, count(*) OVER (PARTITION BY product_line) AS lags FROM factors),
+                         (SELECT unnest(range(0, 13)) AS month_idx)) c
+                ON l.product_line = c.product_line AND l.dev_lag = c.dev_lag
+              GROUP BY 1)""",
     "score_scenarios": "SELECT * FROM scores",
     "scenario_delta": _delta(),
     "scenario_ranking": """
@@ -853,9 +917,9 @@ BODIES: dict[str, str] = {
     "density_grid": f"""
         SELECT request_id, i, x, exp(-((ln(x) - mu) / sigma) * ((ln(x) - mu) / sigma) / 2)
                / (x * sigma * {math.sqrt(2 * math.pi)!r}) AS pdf
-        FROM (SELECT *, lo + (hi - lo) * i / 199.0 AS x
+        FROM (SELECT *, lo + (hi - lo) * i / 999.0 AS x
               FROM (SELECT *, greatest(0.1, best_estimate_M - 6 * (var_995_M - best_estimate_M)) AS lo,
-                           var_995_M + 4 * (var_995_M - best_estimate_M) AS hi, unnest(range(0, 200)) AS i
+                           var_995_M + 4 * (var_995_M - best_estimate_M) AS hi, unnest(range(0, 1000)) AS i
                     FROM lognormal))""",
     "combined_reserve_risk": f"""
         SELECT a AS reserve_risk_capital_M, b AS ldf_risk_M,
@@ -895,6 +959,16 @@ BODIES: dict[str, str] = {
     "insample_errors": """
         SELECT segment_id, avg(abs(d) / greatest(y, 1.0)) * 100 AS mape, sqrt(avg(d * d)) AS rmse
         FROM (SELECT segment_id, y, d FROM diffs UNION ALL SELECT 'all', y, d FROM diffs) WHERE d IS NOT NULL GROUP BY 1""",
+    "arch_lm": _arch_lm(),
+    "holdout_origins": _origins(),
+    "holdout_models": f"""
+        SELECT *, rmse = min(rmse) OVER (PARTITION BY segment_id) AS best
+        FROM (SELECT segment_id, model, n AS origins, mape, sqrt(sse / n) AS rmse,
+                     CASE WHEN sse > 0 THEN n * ln(sse / n) END + 2 * k AS aic,
+                     CASE WHEN sse > 0 THEN n * ln(sse / n) END + k * ln(n) AS bic
+              FROM (SELECT segment_id, model, count(*) AS n, avg(abs(error) / greatest(actual, 1.0)) * 100 AS mape,
+                           sum(error * error) AS sse, CASE model WHEN 'seasonal' THEN 1 ELSE 3 END AS k
+                    FROM ({_origins()}) GROUP BY 1, 2))""",
     "holdout_errors": """
         SELECT segment_id, avg(abs(y - p) / greatest(y, 1.0)) * 100 AS mape, sqrt(avg((y - p) * (y - p))) AS rmse
         FROM (SELECT segment_id, y, y - d AS p FROM diffs WHERE back <= 12 AND d IS NOT NULL) GROUP BY 1""",

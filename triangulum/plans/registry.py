@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as sc
 from ..operators import chain_ladder as cl
-from ..operators import features, forecast, gold, portfolio, quantiles, reports, scd2
+from ..operators import features, forecast, gold, portfolio, quantiles, regression, reports, scd2
 from ..operators import simulate as sim
 from ..operators.quality import expect_or_drop, expectation_report
 from ..session import materialize, scratch_path
@@ -32,6 +32,7 @@ LINES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 VALID_LINES = ("AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY")
 AUTO = ("AUTOMOBILE", "MACHINERY")
 QUARTER_TAIL_LAG = 8
+HOLDOUT_REGRESSOR = "unemployment_rate"
 SEGMENT_OF = {"HOUSEHOLD": "Property", "BUILDING": "Property", "AUTOMOBILE": "Auto", "MACHINERY": "Auto"}
 WEIGHTS = {"HOUSEHOLD": 18500.0, "BUILDING": 5200.0, "AUTOMOBILE": 26000.0, "MACHINERY": 10500.0}
 CV_DEFAULTS = {"HOUSEHOLD": 0.35, "BUILDING": 0.42, "AUTOMOBILE": 0.28, "MACHINERY": 0.30}
@@ -486,12 +487,12 @@ def q_seasonal_panel(s: SparkSession, d: str) -> DataFrame:
     segs = _monthly(s, d).groupBy("segment_id", "product_line", "region").agg(
         sc.fixed(F.avg("claims_count"), 4).alias("base")
     )
-    return generators.seasonal_panel(segs, months=36)
+    return generators.seasonal_panel(segs, months=84)
 
 
 def q_wide_select(s: SparkSession, d: str) -> DataFrame:
     m = _monthly(s, d).select("segment_id", "month", "claims_count")
-    return sc.wide_select(m, {f"col_{i}": F.col("claims_count") * F.lit(float(i)) for i in range(100)})
+    return sc.wide_select(m, {f"col_{i}": F.col("claims_count") * F.lit(float(i)) for i in range(600)})
 
 
 def q_money_labels(s: SparkSession, d: str) -> DataFrame:
@@ -602,39 +603,27 @@ def q_lognormal(s: SparkSession, d: str) -> DataFrame:
 
 
 def q_density(s: SparkSession, d: str) -> DataFrame:
-    return reports.density_grid(q_lognormal(s, d), "best_estimate_M", "var_995_M", 200)
+    return reports.density_grid(q_lognormal(s, d), "best_estimate_M", "var_995_M", 1_000)
 
 
-def q_reserve_tasks(s: SparkSession, d: str) -> DataFrame:
-    return _tasks(s, d, cl.SCENARIOS[:1]).select(
-        "scenario", "task", "n_replications", *sim.TASK_METRICS
-    )
-
-
-def q_reserve_scenarios(s: SparkSession, d: str) -> DataFrame:
-    labels = {x.scenario: x.label for x in cl.SCENARIOS}
-    return reserving.compare_scenarios(materialize(_tasks(s, d))).select(
-        "scenario",
-        sc.map_lookup("scenario", labels).alias("scenario_label"),
-        "best_estimate_M", "var_99_M", "var_995_M", "cvar_99_M", "var_995_vs_baseline",
-    )
-
-
-def q_reserve_evolution(s: SparkSession, d: str) -> DataFrame:
+def q_evolution_ibnr(s: SparkSession, d: str) -> DataFrame:
+    """Deterministic IBNR of the baseline and of each month of the outlook, with the change against the baseline."""
+    model = _model(s, d)
     runs = (cl.SCENARIOS[0], *cl.evolution_scenarios())
-    return reserving.compare_scenarios(materialize(_tasks(s, d, runs))).filter("scenario <> 'baseline'").select(
-        F.substring("scenario", 7, 2).cast("int").alias("month_idx"),
-        "best_estimate_M", "var_99_M", "var_995_M", "cvar_99_M", "reserve_risk_capital_M", "var_995_vs_baseline",
-    )
+    factors = cl.scenario_ldfs(model.factors, runs, auto_lines=AUTO, tail_lag=QUARTER_TAIL_LAG)
+    cdf = cl.cdf_to_ultimate(factors, ["scenario", "product_line"], "scenario_ldf")
+    latest = cl.latest_diagonal(model.triangle, ["product_line", "accident_month"])
+    ibnr = F.sum(F.greatest(F.col("cumulative_paid") * (F.col("cdf") - 1.0), F.lit(0.0)))
+    total = latest.join(cdf, ["product_line", "dev_lag"]).groupBy("scenario").agg(ibnr.alias("ibnr"))
+    base = F.max(F.when(F.col("scenario") == runs[0].scenario, F.col("ibnr"))).over(Window.partitionBy())
+    month = F.when(F.col("scenario") == runs[0].scenario, F.lit(0)).otherwise(F.substring("scenario", 7, 2).cast("int"))
+    # one row per scenario, 13 in all: the window without a partition is bounded
+    return total.select(month.alias("month_idx"), "ibnr", (F.col("ibnr") / base * 100 - 100).alias("ibnr_vs_baseline"))
 
 
-def q_reserve_lines(s: SparkSession, d: str) -> DataFrame:
-    model = _model(s, d)
-    factors = cl.scenario_ldfs(model.factors, cl.SCENARIOS[:3], auto_lines=AUTO, tail_lag=QUARTER_TAIL_LAG)
-    blocks = sim.reserve_draws(
-        sim.reserve_parameters(model.triangle, factors), SIM_REPLICATIONS, per_task=SIM_TASK
-    )
-    return sim.line_metrics(blocks)
+def _origins(s: SparkSession, d: str) -> DataFrame:
+    panel = features.fill_regressors(_panel(s, d), [HOLDOUT_REGRESSOR])
+    return regression.holdout_origins(panel, HOLDOUT_REGRESSOR)
 
 
 def q_calibrated(s: SparkSession, d: str) -> DataFrame:
@@ -776,7 +765,7 @@ QUERIES: dict[str, tuple[str, Query]] = {
         "region month:d unemployment_rate:4 hpi_index:4 hpi_growth:4 housing_starts:4", _macro_wide
     ),
     "wide_select": (
-        "segment_id month:d claims_count:i " + " ".join(f"col_{i}:2" for i in range(100)), q_wide_select
+        "segment_id month:d claims_count:i " + " ".join(f"col_{i}:2" for i in range(600)), q_wide_select
     ),
     # joins
     "join_macro": (
@@ -965,6 +954,7 @@ QUERIES: dict[str, tuple[str, Query]] = {
         ),
     ),
     "scenario_ibnr": ("scenario product_line ibnr:2", q_scenario_ibnr),
+    "evolution_ibnr": ("month_idx:i ibnr:2 ibnr_vs_baseline:6", q_evolution_ibnr),
     # scorer and what is built on it
     "score_scenarios": (SCORE_SPEC, _scores),
     "scenario_delta": (
@@ -988,6 +978,14 @@ QUERIES: dict[str, tuple[str, Query]] = {
     "density_grid": ("request_id i:i x:4 pdf:6", q_density),
     "combined_reserve_risk": ("reserve_risk_capital_M:3 ldf_risk_M:6 combined_risk_M:4", q_combined_risk),
     # forecasts
+    "arch_lm": (
+        "segment_id n:i r2:6 lm:4 p_value:6", lambda s, d: regression.arch_lm(_written_monthly(s, d))
+    ),
+    "holdout_origins": ("segment_id month:d model actual:6 predicted:6 error:6", _origins),
+    "holdout_models": (
+        "segment_id model origins:i mape:6 rmse:6 aic:4 bic:4 best",
+        lambda s, d: regression.holdout_models(materialize(_origins(s, d), "origins")),
+    ),
     "seasonal_naive": (FORECAST_SPEC, _naive),
     "forecast_metrics": (
         "avg_mape:6 avg_mape_baseline:6 avg_mape_sarimax:6 garch_seg_count:i",
@@ -1057,20 +1055,6 @@ QUERIES: dict[str, tuple[str, Query]] = {
         "corr_prop_auto:6 corr_prop_liab:6 corr_auto_liab:6",
         q_calibrated,
     ),
-    # simulations and fits: no SQL twin
-    "reserve_task_metrics": (
-        "scenario task:i n_replications:i " + " ".join(f"{m}:6" for m in sim.TASK_METRICS), q_reserve_tasks
-    ),
-    "reserve_scenarios": (
-        "scenario scenario_label best_estimate_M:6 var_99_M:6 var_995_M:6 cvar_99_M:6 var_995_vs_baseline:6",
-        q_reserve_scenarios,
-    ),
-    "reserve_evolution": (
-        "month_idx:i best_estimate_M:6 var_99_M:6 var_995_M:6 cvar_99_M:6 reserve_risk_capital_M:6 "
-        "var_995_vs_baseline:6",
-        q_reserve_evolution,
-    ),
-    "reserve_line_metrics": ("scenario product_line mean_M:6 var_995_M:6", q_reserve_lines),
 }
 
 
