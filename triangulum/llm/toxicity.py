@@ -30,7 +30,7 @@ from .common import blocks_of, materialize, rows_of, text_of
 FOLDS, HELD_OUT, CUT = 3, 1, 0.7
 # Bounds of the fitted sample: ordinary and toxic texts for the dictionaries, the same for refining the toxic
 # one, and distinct windows kept of a text.
-FIT_TEXTS, WEIGH_TEXTS, TEXT_WINDOWS = (1500, 1500), (4000, 1500), 600
+FIT_TEXTS, WEIGH_TEXTS, TEXT_WINDOWS = (1000, 1500), (2500, 1500), 300
 FIT_SHARE = 0.5  # of the labelled texts; the rest weighs cells and calibrates
 FIRST_BYTES, REFINED_BYTES, REFINEMENTS, LEAN = 110 << 10, 16 << 10, 4, 2.0
 LEVEL, MIN_MATCH = 19, 3
@@ -80,15 +80,17 @@ class Distance:
         content.precompute_compress(compression_params=params)
         return zstandard.ZstdCompressor(compression_params=params, dict_data=content)
 
-    def cells(self, words: list[bytes]) -> list[int]:
+    def lengths(self, side: int, words: list[bytes]) -> list[int]:
+        """Compressed length of every window with one dictionary."""
         if not words:
             return []
-        framed = [CARRIER + b" " + w + b" " for w in words]
-        lengths = []
-        for side in self.sides:
-            packed = side.multi_compress_to_buffer(framed, threads=1)
-            lengths.append([len(packed[i]) for i in range(len(words))])
-        return [a << 16 | b << 8 | len(w) for a, b, w in zip(*lengths, words)]
+        packed = self.sides[side].multi_compress_to_buffer([CARRIER + b" " + w + b" " for w in words], threads=1)
+        return [len(packed[i]) for i in range(len(words))]
+
+    def cells(self, words: list[bytes], ordinary: list[int] | None = None) -> list[int]:
+        """The cells; lengths with the ordinary dictionary may be known already."""
+        ordinary = self.lengths(0, words) if ordinary is None else ordinary
+        return [a << 16 | b << 8 | len(w) for a, b, w in zip(ordinary, self.lengths(1, words), words)]
 
 
 def weights(ordinary: Counter, toxic: Counter) -> Cells:
@@ -122,8 +124,9 @@ def dictionaries(fit: dict[int, list[list[bytes]]], weigh: dict[int, list[list[b
     ordinary = trained([w for words in fit[0] for w in words], FIRST_BYTES)
     toxic = trained([w for words in fit[1] for w in words], FIRST_BYTES)
     every = sorted({w for part in (*weigh.values(), fit[1]) for words in part for w in words})
+    by_ordinary = Distance(ordinary, toxic).lengths(0, every)
     for _ in range(REFINEMENTS):
-        known = dict(zip(every, Distance(ordinary, toxic).cells(every)))
+        known = dict(zip(every, Distance(ordinary, toxic).cells(every, by_ordinary)))
         cells = weights(_counted(weigh[0], known), _counted(weigh[1], known))
         leaning = [w for words in fit[1] for w in words if cells.get(known[w], 0.0) > LEAN]
         if not leaning:
