@@ -80,3 +80,12 @@ def test_cells_prefer_the_own_dictionary():
     cell = toxicity.Distance(ordinary, toxic).cells([b"blockhead", b"weather"])
     (rude_o, rude_t), (mild_o, mild_t) = [(c >> 16, c >> 8 & 255) for c in cell]
     assert rude_t < rude_o and mild_o < mild_t
+
+
+def test_weights_without_the_second_compression():
+    words = sorted({w for _, text, _ in corpus(200) for w in toxicity.windows(text)})
+    ordinary, toxic = b" ".join(words[::2]), b" ".join(w.encode() for w in RUDE)
+    cells = {c: (1.5 if i % 3 else -0.5) for i, c in enumerate(sorted(set(toxicity.Distance(ordinary, toxic).cells(words))))}
+    scorer = toxicity.Scorer(ordinary, toxic, cells)
+    every = toxicity.Distance(ordinary, toxic).cells(words)
+    assert scorer._known(words) == [max(0.0, cells[c]) for c in every]

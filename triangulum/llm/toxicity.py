@@ -36,7 +36,7 @@ FIRST_BYTES, REFINED_BYTES, REFINEMENTS, LEAN = 110 << 10, 16 << 10, 4, 2.0
 LEVEL, MIN_MATCH = 19, 3
 CARRIER = b"0123456789 jump "
 WINDOW_BYTES, HEAVIEST, SMOOTHING = 48, 3, 3.0
-MEMO = 200_000
+MEMO = 400_000
 BROADCAST_BYTES = 64 << 20
 
 # Signs of ASCII part words as white space does.
@@ -105,9 +105,9 @@ def weights(ordinary: Counter, toxic: Counter) -> Cells:
     }
 
 
-def total(found: Iterable[int], cells: Cells) -> float:
+def total(found: Iterable[float]) -> float:
     """Sum of the largest weights of a text's windows, none of them negative."""
-    return float(sum(nlargest(HEAVIEST, (max(0.0, cells.get(c, 0.0)) for c in found))))
+    return float(sum(nlargest(HEAVIEST, found)))
 
 
 def _counted(texts: list[list[bytes]], known: dict[bytes, int]) -> Counter:
@@ -200,25 +200,40 @@ def _sampled(rows: DataFrame, most: tuple[int, int]) -> list[list[list[bytes]]]:
 
 
 class Scorer:
-    """Sums of whole texts; windows met before keep their weight."""
+    """Windows of whole texts by cell, or by weight where the cells' weights are known; windows met before are kept.
+
+    No weight below zero counts.  So a window whose length with the toxic dictionary is in no
+    cell of positive weight weighs nothing, and needs no second compression.
+    """
 
     def __init__(self, ordinary: bytes, toxic: bytes, cells: Cells | None = None):
         self.distance, self.cells = Distance(ordinary, toxic), cells
-        self.memo: dict[bytes, int] = {}
-
-    def found(self, texts: list[str]) -> list[list[int]]:
-        """Cells of the windows of every text."""
+        self.memo: dict[bytes, float] = {}
+        self.heavy = {c & 0xFFFF for c, w in (cells or {}).items() if w > 0}
+
+    def _known(self, words: list[bytes]) -> list[float]:
+        if self.cells is None:
+            return self.distance.cells(words)
+        low = [b << 8 | len(w) for b, w in zip(self.distance.lengths(1, words), words)]
+        at = [i for i, c in enumerate(low) if c in self.heavy]
+        found = [0.0] * len(words)
+        for i, a in zip(at, self.distance.lengths(0, [words[i] for i in at])):
+            found[i] = max(0.0, self.cells.get(a << 16 | low[i], 0.0))
+        return found
+
+    def found(self, texts: list[str]) -> list[list[float]]:
+        """Cells or weights of the windows of every text."""
         split = [windows(t) for t in texts]
         fresh = sorted(set().union(*split) - self.memo.keys())
         if len(self.memo) + len(fresh) > MEMO:
             self.memo.clear()
             fresh = sorted(set().union(*split))
-        self.memo.update(zip(fresh, self.distance.cells(fresh)))
+        self.memo.update(zip(fresh, self._known(fresh)))
         return [[self.memo[w] for w in words] for words in split]
 
     def sums(self, texts: list[str]) -> list[tuple[float, int]]:
         """The sum of every text and the number of its windows."""
-        return [(total(found, self.cells), len(found)) for found in self.found(texts)]
+        return [(total(found), len(found)) for found in self.found(texts)]
 
 
 def _cells(ordinary: bytes, toxic: bytes):
