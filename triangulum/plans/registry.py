@@ -46,8 +46,6 @@ RESERVE_FACTORS = {"AUTOMOBILE": 0.05, "MACHINERY": 0.10, "HOUSEHOLD": 0.10, "BU
 PREMIUM_FACTORS = {"AUTOMOBILE": 0.12, "MACHINERY": 0.18, "HOUSEHOLD": 0.15}
 # Lags of the report matrix: the quarters of the seven years 1995 to 2001; more fail the query.
 DIAGONAL_LAGS = tuple(range(1, 29))
-SIM_REPLICATIONS = 20_000
-SIM_TASK = 5_000
 
 
 CASTS = {"i": "BIGINT", "d": "DATE", "t": "TIMESTAMP_NTZ"}
@@ -179,12 +177,6 @@ def _scores(s: SparkSession, d: str) -> DataFrame:
     return materialize(sim.score_scenarios(_requests(s, d)), "scores")
 
 
-def _tasks(s: SparkSession, d: str, scenarios=cl.SCENARIOS) -> DataFrame:
-    return reserving.simulate_tasks(
-        _model(s, d), scenarios, SIM_REPLICATIONS, per_task=SIM_TASK, auto_lines=AUTO, tail_lag=QUARTER_TAIL_LAG
-    )
-
-
 # --- queries -----------------------------------------------------------------------
 
 
