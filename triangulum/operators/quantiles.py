@@ -13,6 +13,50 @@ from .skew import bounded_broadcast
 # The percentile sets of the reserve and surplus reports.
 RISK_PROBS = (0.75, 0.90, 0.95, 0.99, 0.995)
 BAND_PROBS = (0.05, 0.25, 0.50, 0.75, 0.95)
+# Distinct values that one task may sort, and the bins of a refinement.
+BRACKET_VALUES, BINS = 200_000, 64
+
+
+def _position() -> Column:
+    return F.col("prob") * (F.col("_n") - 1)
+
+
+def _at_ranks(what: str) -> list[Column]:
+    """The least ``what`` whose running count passes the rank below the position, and the next rank."""
+    rank = F.floor(_position())
+    return [
+        F.min(F.when(F.col("_cum") > rank, F.col(what))).alias("_lo"),
+        F.min(F.when(F.col("_cum") > F.least(rank + 1, F.col("_n") - 1), F.col(what))).alias("_hi"),
+    ]
+
+
+def _refined(tallied: DataFrame, by: Sequence[str], most: int) -> DataFrame:
+    """The tallies (by, _n, _v, _c) with every bracket narrowed until it has at most ``most`` values.
+
+    A bracket with more is cut at quantiles of its distinct values, the counts of its bins
+    are summed, and the bins that hold neither wanted rank are dropped or, below them, folded
+    into the row without a value.  At most two bins of about a 64th of the values stay
+    whatever their distribution, so rounds grow with the logarithm of the bracket.
+    """
+    if most < BINS:
+        raise ValueError(f"most must be at least {BINS}")
+    edges = [i / BINS for i in range(1, BINS)]
+    while True:
+        tallied = materialize(tallied, "brackets")
+        large = tallied.groupBy(*by).agg(F.count("_v").alias("_values"), F.percentile_approx("_v", edges, 1_000).alias("_edges"))
+        large = materialize(large.filter(F.col("_values") > most).select(*by, "_edges"), "edges")
+        if large.isEmpty():
+            return tallied
+        binned = tallied.join(bounded_broadcast(large), list(by), "left")
+        below = F.size(F.filter("_edges", lambda e: e < F.col("_v")))
+        binned = binned.withColumn("_bin", F.when(F.col("_v").isNotNull() & F.col("_edges").isNotNull(), below))
+        counts = binned.filter("_edges IS NOT NULL").groupBy(*by, "_n", "_bin").agg(F.sum("_c").alias("_c"))
+        w = Window.partitionBy(*by).orderBy(F.col("_bin").asc_nulls_first())
+        wanted = counts.withColumn("_cum", F.sum("_c").over(w)).groupBy(*by, "_n").agg(*_at_ranks("_bin")).drop("_n")
+        kept = binned.join(bounded_broadcast(materialize(wanted, "bins")), list(by), "left")
+        kept = kept.filter("_edges IS NULL OR _bin IS NULL OR _bin <= _hi")
+        kept = kept.withColumn("_v", F.when(F.col("_bin").isNull() | (F.col("_bin") >= F.col("_lo")), F.col("_v")))
+        tallied = kept.groupBy(*by, "_n", "_v").agg(F.sum("_c").alias("_c"))
 
 
 def quantiles(
@@ -21,14 +65,16 @@ def quantiles(
     value: str,
     probs: Sequence[float] = RISK_PROBS,
     accuracy: int = 10_000,
+    most: int = BRACKET_VALUES,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles, one row per (by, prob).
 
     The built-in exact percentile holds every distinct value of a group in one
     buffer.  Here a mergeable sketch first brackets each wanted rank; one more
     pass counts the values below the bracket and tallies those inside.  A bracket
-    holds about ``6 / accuracy`` of its group (all of it below 4*accuracy rows),
-    so no task sees a whole large group and the answer stays exact.
+    holds about ``6 / accuracy`` of its group (all of it below 4*accuracy rows).
+    Brackets that may have more than ``most`` distinct values are refined by
+    histograms, so that no task sorts more, whatever the size of a group.
     """
     keys = list(by) or ["_all"]
     if not by:
@@ -68,16 +114,14 @@ def quantiles(
         .groupBy(*keys, "prob", "_n", "_v")
         .agg(F.count("*").alias("_c"))
     )
+    largest = sketch.agg(F.max("_n")).first()[0] or 0
+    if min(largest, max(4 * accuracy, largest * 6 / accuracy)) > most:
+        tallied = _refined(tallied, [*keys, "prob"], most)
     w = Window.partitionBy(*keys, "prob").orderBy(F.col("_v").asc_nulls_first())
-    position = F.col("prob") * (F.col("_n") - 1)
+    position = _position()
     rank = F.floor(position)
     picked = (
-        tallied.withColumn("_cum", F.sum("_c").over(w))
-        .groupBy(*keys, "prob", "_n")
-        .agg(
-            F.min(F.when(F.col("_cum") > rank, F.col("_v"))).alias("_lo"),
-            F.min(F.when(F.col("_cum") > F.least(rank + 1, F.col("_n") - 1), F.col("_v"))).alias("_hi"),
-        )
+        tallied.withColumn("_cum", F.sum("_c").over(w)).groupBy(*keys, "prob", "_n").agg(*_at_ranks("_v"))
     )
     return picked.select(
         *by,

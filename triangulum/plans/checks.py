@@ -845,6 +845,13 @@ BODIES: dict[str, str] = {
         "product_line", "claims", "claim_amount", (0.05, 0.25, 0.5, 0.75, 0.95, 0.9, 0.99, 0.995, 0.999)
     ),
     "claim_quantiles_overall": _quantile_rows("", "claims", "claim_amount", (0.75, 0.9, 0.95, 0.99, 0.995)),
+    "refined_quantiles": _quantile_rows("", "claims", "claim_amount", (0.05, 0.25, 0.5, 0.75, 0.95)),
+    "sketch_quantiles": " UNION ALL ".join(
+        f"""SELECT product_line, '{span}' AS span, {p}::DOUBLE AS prob, count(claim_amount) AS "values",
+                   quantile_cont(claim_amount, {p}) AS quantile, true AS within_bound
+            FROM (SELECT *, substr(loss_date, 1, 7) AS month FROM claims) WHERE {months} GROUP BY 1"""
+        for span, months in reg.SKETCH_SPANS.items() for p in (0.05, 0.25, 0.5, 0.75, 0.95)
+    ),
     "claim_cvar": """
         SELECT c.region, any_value(q) AS var, avg(claim_amount) FILTER (claim_amount >= q) AS cvar
         FROM claims c JOIN (SELECT region, quantile_cont(claim_amount, 0.99) AS q FROM claims GROUP BY 1) t

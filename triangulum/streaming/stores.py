@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import sketches
 from ..operators.skew import bounded_broadcast
 
 BUCKET_ROWS = 5_000_000
@@ -245,14 +246,15 @@ class KeyedStore:
 
 
 # How a partial of each kind is made from rows and merged with others.
-_MADE = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
-_MERGED = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+_MADE = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "sketch": sketches.sketch}
+_MERGED = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max, "sketch": sketches.merged}
 
 
 class PartialTable(KeyedStore):
     """Aggregates by key as mergeable partials, brought up to date with the partials of new rows alone.
 
-    ``partials`` maps a name to (kind, input column): sums, counts and extremes.  Sums of doubles
+    ``partials`` maps a name to (kind, input column): sums, counts, extremes and quantile sketches
+    (those merge, but estimate; see ``operators.sketches``).  Sums of doubles
     are kept as decimals, so that the state does not depend on how rows were dealt to batches.
     A partial is not idempotent; so every batch carries its stream's name and number, the manifest
     keeps the newest number of each stream, and a batch that comes again is passed over.  Counts
