@@ -9,6 +9,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from triangulum.llm import bpe_automaton, chosen_path, components, pii, url_rules
 from triangulum.llm.queries import tokenizer_path
@@ -213,12 +214,31 @@ def test_lone_pairs_in_large_nodes(spark, monkeypatch):
     near = np.where(draw.random((400, 64)) < 0.8, lines[:400], 3 + draw.integers(0, 3, (400, 64)))
     rows = [(f"{kind}{i}".encode(), line.tolist()) for kind, part in (("a", lines), ("b", near)) for i, line in enumerate(part)]
     sketches = spark.createDataFrame(rows, "key binary, sketch array<int>")
-    nodes = chosen_path.leaves(sketches, 0.8, 1e-6).select("node", "key")
+    nodes = chosen_path.leaves(sketches, 0.8, 1e-6)[0].select("node", "key")
     first, second = nodes.filter("key LIKE 'a%'"), nodes.filter("key LIKE 'b%'").withColumnRenamed("key", "other")
     met = first.join(second, "node").filter("substr(string(key), 2) = substr(string(other), 2)")
     assert met.select("key").distinct().count() == 400
 
 
+def test_near_copies_cost_a_row_each(spark, monkeypatch):
+    """1,500 lines around one centre and 300 that half agree with them; every alike pair ends up together."""
+    draw = np.random.default_rng(4)
+    base = draw.integers(0, 1 << 30, 64)
+    lines = [np.where(draw.random(64) < share, draw.integers(0, 1 << 30, 64), base) for share in draw.uniform(0, 0.3, 1_500)]
+    lines += [np.where(draw.random(64) < 0.5, draw.integers(0, 1 << 30, 64), base) for _ in range(300)]
+    rows = [(f"{i:05}".encode(), line.tolist()) for i, line in enumerate(lines)]
+    sketches = spark.createDataFrame(rows, "key binary, sketch array<int>")
+    nodes, edges = chosen_path.leaves(sketches, 0.8, 1e-6)
+    assert nodes.count() < 40 * len(rows)
+    dealt = chosen_path.in_blocks(nodes.join(sketches, "key"), "node", chosen_path.block_count(F.col("size")))
+    met = dealt.select("node", "_i", "_j", "_mine", "key", "sketch").mapInArrow(chosen_path._rough, "a binary, b binary")
+    root = {int(r.node): r.root for r in components.components(met.unionByName(edges)).collect()}
+    lines = np.array(lines)
+    for x, line in enumerate(lines):
+        for y in np.flatnonzero((lines == line).mean(axis=1) >= 0.8):
+            assert x == y or root[x] == root[int(y)]
+
+
 def test_miss_of_the_splits():
     roots = len(chosen_path.root_positions(0.8, 1e-6))
     assert chosen_path.missed(0.8, roots, chosen_path.root_draws(0.8, 1e-6)) <= 1e-6 < chosen_path.missed(0.8, roots, 1)
