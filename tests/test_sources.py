@@ -133,6 +133,32 @@ def test_guard_accepts(spark):
     assert tables.query_readonly(spark, "with a as (select 'drop; it' AS s) select * from a").first().s == "drop; it"
 
 
+def test_guard_reads_registered_views_only(spark):
+    path = scratch_path(spark, "hidden")
+    spark.range(3).write.parquet(path)
+    tables.register_views({"nums": spark.range(100)})
+    name = f"stored_{uuid.uuid4().hex[:8]}"
+    spark.range(2).write.saveAsTable(name)
+    try:
+        for sql in (
+            f"SELECT * FROM parquet.`{path}`",
+            f"SELECT id FROM nums WHERE id IN (SELECT id FROM parquet.`{path}`)",
+            f"SELECT (SELECT max(id) FROM parquet.`{path}`) AS m FROM nums",
+            f"WITH a AS (SELECT * FROM parquet.`{path}`) SELECT * FROM a",
+            f"SELECT * FROM nums UNION ALL SELECT * FROM {name}",
+            f"WITH {name} AS (SELECT * FROM {name}) SELECT * FROM {name}",
+            f"SELECT * FROM nums JOIN (WITH b AS (SELECT 1 AS id) SELECT * FROM b) USING (id) JOIN b USING (id)",
+            "SELECT * FROM range(5)",
+            "SELECT `reflect`('java.lang.System', 'getenv', 'HOME') AS x FROM nums",
+        ):
+            with pytest.raises(ValueError):
+                tables.query_readonly(spark, sql)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    nested = "WITH a AS (SELECT id FROM NUMS), b AS (SELECT * FROM a WHERE id IN (SELECT id FROM nums)) SELECT * FROM b JOIN a USING (id)"
+    assert tables.query_readonly(spark, nested, 200).count() == 100
+
+
 def test_notes(spark):
     path = scratch_path(spark, "notes")
     rows = [(f"S{i % 2}", f"n{i}", "me", "", None, f"2024-01-{i + 1:02d} 00:00:00") for i in range(28)]

@@ -95,11 +95,47 @@ _WRITES = re.compile(
 )
 
 
+_CALLS = re.compile(r"\b(?:try_)?(?:reflect|java_method)\(", re.I)
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _check_relations(spark: SparkSession, plan, known: frozenset[str]) -> None:
+    """Raise unless every relation of a parsed plan is a view of this session or a name that WITH gives there."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "UnresolvedWith":
+        for relation in _items(plan.cteRelations()):
+            _check_relations(spark, relation._2(), known)
+            known |= {relation._1().lower()}
+        below = [plan.child()]
+    else:
+        below = [*_items(plan.children()), *_items(plan.subqueries())]
+    if kind == "UnresolvedRelation":
+        parts = _items(plan.multipartIdentifier())
+        if len(parts) != 1 or parts[0].lower() not in known:
+            raise ValueError(f"not a registered view: {'.'.join(parts)}")
+    elif "TableValuedFunction" in kind or kind.endswith(("Command", "Statement")):
+        raise ValueError(f"not allowed in a query: {kind}")
+    for child in below:
+        _check_relations(spark, child, known)
+
+
 def query_readonly(spark: SparkSession, sql: str, limit: int = 50) -> DataFrame:
-    """First rows of one SELECT (or WITH ... SELECT) over the registered views."""
+    """First rows of one SELECT (or WITH ... SELECT) over the registered views.
+
+    The parsed plan may read temporary views and names given by WITH, in their scope, and
+    nothing else: files, catalog tables, table functions and calls into Java are refused.
+    """
     bare = _LITERALS.sub(" ", sql).strip()
     if not re.match(r"(select|with)\b", bare, re.I) or ";" in bare or _WRITES.search(bare):
         raise ValueError("only a single SELECT query is allowed")
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    if _CALLS.search(plan.toString()):
+        raise ValueError("calls into Java are not allowed")
+    views = frozenset(t.name.lower() for t in spark.catalog.listTables() if t.isTemporary)
+    _check_relations(spark, plan, views)
     return spark.sql(sql).limit(limit)
 
 
