@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 from math import comb
 
@@ -89,6 +90,67 @@ def test_redaction(spark, scorer):
     assert pii.redact(empty).count() == 0 and pii.find(empty).count() == 0
 
 
+@pytest.mark.parametrize("threshold", [-9e9, 0.0])
+def test_added_spans_by_brute_force(spark, threshold):
+    """Every candidate from the threshold on that touches no base span is added, and no other one."""
+    draw = random.Random(9)
+    signs = "0123456789" * 3 + " .-+()@_ab,"
+    rows = [(i, "".join(draw.choice(signs) for _ in range(draw.randint(0, 300)))) for i in range(300)]
+    texts = spark.createDataFrame(rows, "doc_id long, _text string")
+    scorer = pii.Scorer("IF(f.digits <= 9.0D, -1.0D, 1.0D)", (threshold,) * 4)
+    found = pii.with_spans(pii.with_scores(texts, scorer.margin), scorer)
+    got = {r["doc_id"]: [tuple(x) for x in r["_all"]] for r in found.collect()}
+    plain = {k: v.replace("++", "+").replace("*+", "*").replace("}+", "}") for k, v in pii.GENERATORS.items()}
+    added = 0
+    for i, text in rows:
+        base = [(int(a), pii.KINDS.index(k), int(b)) for k, a, b in (x.split(":") for x in base_spans(text).split(",") if x)]
+        want = set(base)
+        for pattern, kinds in ((pii.MAIL_RUN, (0,)), (pii.NUMBER_RUN, (1, 2, 3))):
+            for run in re.finditer(pattern, text):
+                for k in kinds:
+                    for m in re.finditer(plain[pii.KINDS[k]], run.group()):
+                        start, stop = run.start() + m.start(), run.start() + m.end()
+                        enough = threshold < -1 or sum(c.isdigit() for c in m.group()) > 9
+                        if enough and not any(a < stop and start < b for a, _, b in base):
+                            want.add((start, k, stop))
+        assert got[i] == sorted(want), text
+        added += len(want) - len(set(base))
+    assert added > 20
+
+
+def test_weak_labels_reach_beyond_the_base_rule(spark, scorer):
+    """A cue word and a valid number make a label; the trees do not see the validity."""
+    text = "tel. 414-555-7134 ; visa 4111.1111.1111.1111 ; part 414-555-7134 ; visa 4111.1111.1111.1112"
+    rows = spark.createDataFrame([(text,)], "_text string")
+    found = pii.with_candidates(rows).selectExpr("inline(_proposed)").collect()
+    labels = {(pii.KINDS[r["kind"]], text[r["start"] : r["stop"]], r["start"]): r["label"] for r in found}
+    assert labels["phone", "414-555-7134", 5] and labels["card", "4111.1111.1111.1111", 25]
+    assert not labels["phone", "414-555-7134", 52] and not labels["card", "4111.1111.1111.1112", 72]
+    assert "valid" not in pii.SEEN and "valid" not in scorer.margin
+
+
+def test_sample_of_repeated_candidates(spark):
+    """Copies of one text count once in the fit, and thresholds count all rows."""
+    rows = [(i, "call +1 (414) 555-7134 or 10.0.0.1") for i in range(3000)] + [(5000 + i, f"part 414555{i:04d}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scored = pii.with_scores(docs.select(pii.text_of().alias("_text")), pii.fit_trees(docs))
+    assert scored.selectExpr("inline(_scored)").filter("label").count() == 6000
+    assert len(pii.thresholds_of(scored)) == 4
+
+
+def test_many_matches_in_one_text(spark, scorer):
+    """100,000 matches in one text take seconds, and redaction cuts each of them."""
+    n = 50_000
+    text = " and ".join(f"1.2.3.{i % 250} x{i}@y.z" for i in range(n))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.time()
+    row = pii.find(docs, scorer).collect()[0]
+    assert (row["n_ip"], row["n_email"]) == (n, n)
+    assert row["base_sha256"] == hashlib.sha256(base_spans(text).encode()).hexdigest()
+    assert pii.redact(docs, scorer).collect()[0]["text"] == " and ".join(["<ip> <email>"] * n)
+    assert time.time() - began < 120
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer

@@ -1,11 +1,14 @@
 """Personal data: candidate spans scored by boosted trees.
 
 Exact patterns give the base spans.  Wider generators propose overlapping candidates;
-gradient-boosted trees, fitted on a bounded sample whose labels are the base spans, see
-the format of a candidate and the text around it.  For each kind a threshold is chosen
-on held-out candidates so that the precision there reaches a target, and candidates
-above it are added to the base spans.  Everything is a column expression: the trees are
-written out as one, so scoring needs neither a shuffle nor Python.
+gradient-boosted trees, fitted on a bounded sample, see the format of a candidate and
+the text around it.  Their labels are weak: a candidate counts as personal data when it
+is a base span, or when a cue word of its kind stands before it and its digits or parts
+can be valid.  For each kind a threshold is chosen over all candidates kept from the
+fit, so that the precision there reaches a target; candidates above it that touch no
+base span are added.  Everything is a column expression: the trees are written out as
+one, so scoring needs neither a shuffle nor Python.  Places come from sums and extremes
+taken by doubling, so a text costs n log n in its matches.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, text_of
@@ -23,6 +26,8 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS, SAMPLE_SPANS = 20_000, 20_000
 TREES, DEPTH, PRECISION = 12, 4, 0.98
 CONTEXT = 24
+# Code points of a block of text; a redacted text is put together from pieces of blocks.
+BLOCK = 1024
 
 # Maximal runs of the characters a match may consist of; no match crosses the end of one.
 # Look-behinds and possessive quantifiers keep matching linear and free of recursion.
@@ -41,61 +46,89 @@ GENERATORS = {
     "card": r"[0-9](?:[ .-]{0,2}[0-9]){11,}+",
     "phone": r"\+?[0-9](?:[ ().-]{0,3}[0-9]){6,}+",
 }
-DIGITS = "regexp_replace(m, '[^0-9]', '')"
+LUHN = (
+    "aggregate(sequence(1, length(c.digits)), 0, (t, d) -> t + "
+    "CASE WHEN d % 2 = 1 THEN int(substr(c.digits, -d, 1)) WHEN int(substr(c.digits, -d, 1)) > 4 "
+    "THEN 2 * int(substr(c.digits, -d, 1)) - 9 ELSE 2 * int(substr(c.digits, -d, 1)) END) % 10 = 0"
+)
 VALID = {
-    "email": "true",
-    "ip": r"forall(split(m, r'\.'), q -> coalesce(try_cast(q AS INT), 256) <= 255)",
-    "card": "length(c.digits) BETWEEN 12 AND 19 AND aggregate(sequence(1, length(c.digits)), 0, (t, i) -> t + "
-    "CASE WHEN i % 2 = 1 THEN int(substr(c.digits, -i, 1)) WHEN int(substr(c.digits, -i, 1)) > 4 "
-    "THEN 2 * int(substr(c.digits, -i, 1)) - 9 ELSE 2 * int(substr(c.digits, -i, 1)) END) % 10 = 0",
+    "email": "c.m rlike '[A-Za-z0-9]@[A-Za-z0-9]'",
+    "ip": r"size(split(c.m, r'\.')) = 4 AND forall(split(c.m, r'\.'), q -> coalesce(try_cast(q AS INT), 256) <= 255)",
+    "card": f"length(c.digits) BETWEEN 12 AND 19 AND {LUHN}",
     "phone": "length(c.digits) BETWEEN 9 AND 15",
 }
+CUES = {
+    "email": "mail|contact|write",
+    "ip": "host|addr|server|from",
+    "card": "card|visa|paid|account",
+    "phone": "tel|phone|fax|call|mobile",
+}
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``value``, which is evaluated once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _scan(values: str, step: str) -> str:
+    """Running values of an array by doubling: ``step`` joins x with the one 2^k places off."""
+    levels = "sequence(0, int(log2(greatest(size(vs), 1))))"
+    return _let("vs", values, f"aggregate({levels}, vs, (acc, k) -> transform(acc, (x, i) -> {step}))")
+
+
+def _sums(values: str) -> str:
+    return _scan(values, "x + coalesce(get(acc, i - shiftleft(1, k)), 0)")
+
+
+def _highest_so_far(values: str) -> str:
+    return _scan(values, "greatest(x, get(acc, i - shiftleft(1, k)))")
 
-_RUN = "struct<at:int,run:string,before:string,after:string>"
-_SPAN = "struct<start:int,kind:int,stop:int,m:string,digits:string>"
-_CANDIDATE = "struct<start:int,kind:int,stop:int,m:string,before:string,after:string>"
 
+def _lowest_from_here(values: str) -> str:
+    return _scan(values, "least(x, get(acc, i + shiftleft(1, k)))")
 
-def _fold(text: str, pattern: str, kind: str, item: str) -> str:
-    """An array with one ``item`` per match of ``pattern``; ``s.at + length(z.p)`` is its place.
 
-    The text between the matches comes from split, the matches from regexp_extract_all.
+def _matches(text: str, pattern: str, item: str) -> str:
+    """An array with one ``item`` per match of ``pattern``: h is the match, es[j] its end.
+
+    hs are all matches, ps the parts of the text around them: ps[j] stands before h.
     """
-    parts = (
-        f"arrays_zip(split({text}, r'{pattern}', -1) AS p, regexp_extract_all({text}, r'{pattern}', 0) AS h, "
-        f"slice(split({text}, r'{pattern}', -1), 2, 2000000000) AS a)"
-    )
-    return (
-        f"aggregate({parts}, named_struct('at', 0, 'out', CAST(array() AS array<{kind}>)), (s, z) -> "
-        f"IF(z.h IS NULL, s, named_struct('at', s.at + length(z.p) + length(z.h), 'out', concat(s.out, array({item})))), "
-        "s -> s.out)"
-    ).replace(" AS p", "").replace(" AS h", "").replace(" AS a)", ")").replace("z.p", "z.`0`").replace("z.h", "z.`1`").replace("z.a", "z.`2`")
+    ends = _sums("transform(hs, (h, j) -> length(get(ps, j)) + length(h))")
+    found = _let("ps", f"split({text}, r'{pattern}', -1)", _let("es", ends, f"transform(hs, (h, j) -> {item})"))
+    return _let("hs", f"regexp_extract_all({text}, r'{pattern}', 0)", found)
 
 
 def _runs(pattern: str) -> str:
-    item = (
-        f"named_struct('at', s.at + length(z.p), 'run', z.h, 'before', right(z.p, {CONTEXT}), 'after', left(z.a, 1))"
-    )
-    return _fold("_text", pattern, _RUN, item)
+    return _matches("_text", pattern, (
+        f"named_struct('at', get(es, j) - length(h), 'run', h, 'before', right(get(ps, j), {CONTEXT}), "
+        "'after', left(get(ps, j + 1), 1))"
+    ))
+
+
+_PLACE = (
+    "'start', r.at + get(es, j) - length(h), 'kind', {kind}, 'stop', r.at + get(es, j), 'm', h, "
+    "'digits', regexp_replace(h, '[^0-9]', '')"
+)
 
 
 def _base(kind: str) -> str:
-    m = "z.h"
-    item = (
-        f"named_struct('start', r.at + s.at + length(z.p), 'kind', {KINDS.index(kind)}, "
-        f"'stop', r.at + s.at + length(z.p) + length(z.h), 'm', {m}, 'digits', {DIGITS.replace('(m,', '(z.h,')})"
-    )
-    return f"filter({_fold('r.run', BASE[kind], _SPAN, item)}, c -> {VALID[kind].replace('(m,', '(c.m,')})"
+    item = f"named_struct({_PLACE.format(kind=KINDS.index(kind))})"
+    valid = "true" if kind == "email" else VALID[kind]
+    return f"filter({_matches('r.run', BASE[kind], item)}, c -> {valid})"
 
 
 def _proposed(kind: str) -> str:
+    # The text before reaches back to the match before, the text after up to the next one.
     item = (
-        f"named_struct('start', r.at + s.at + length(z.p), 'kind', {KINDS.index(kind)}, "
-        "'stop', r.at + s.at + length(z.p) + length(z.h), 'm', z.h, "
-        f"'before', lower(right(concat(r.before, left(r.run, s.at + length(z.p))), {CONTEXT})), "
-        "'after', left(concat(substr(r.run, s.at + length(z.p) + length(z.h) + 1), r.after), 1))"
+        f"named_struct({_PLACE.format(kind=KINDS.index(kind))}, "
+        f"'before', lower(right(concat(IF(j = 0, r.before, get(hs, j - 1)), get(ps, j)), {CONTEXT})), "
+        "'after', IF(get(ps, j + 1) != '', left(get(ps, j + 1), 1), coalesce(left(get(hs, j + 1), 1), r.after)))"
     )
-    return _fold("r.run", GENERATORS[kind], _CANDIDATE, item)
+    return _matches("r.run", GENERATORS[kind], item)
+
+
+def _by_kind(of: dict[str, str]) -> str:
+    return "CASE c.kind " + " ".join(f"WHEN {k} THEN {of[kind]}" for k, kind in enumerate(KINDS)) + " END"
 
 
 def _count(pattern: str) -> str:
@@ -119,10 +152,14 @@ FEATURES = {
     "last": "double(length(regexp_extract(c.m, '([A-Za-z0-9-]*)$', 1)))",
     "joined_left": "double(c.before rlike '[a-z0-9.]$')",
     "joined_right": "double(c.after rlike '[A-Za-z0-9]')",
-    "words": "double(c.before rlike 'tel|phone|fax|call|mail|card|visa|host|addr')",
+    "cue": f"double({_by_kind({kind: f"c.before rlike '{cue}'" for kind, cue in CUES.items()})})",
     "version": "double(c.before rlike 'version|licen|chapter|section')",
 }
 
+# Only the labels see whether a candidate can be valid; the trees must do without.
+SEEN = tuple(FEATURES)
+FEATURES["valid"] = f"double({_by_kind(VALID)})"
+
 
 @dataclass(frozen=True)
 class Scorer:
@@ -132,8 +169,12 @@ class Scorer:
     thresholds: tuple[float | None, ...]
 
 
-def candidates(text: Column) -> tuple[str, str, str]:
-    """SQL of the base spans and the proposed candidates, given the run columns."""
+def with_candidates(rows: DataFrame) -> DataFrame:
+    """Add _base, the exact spans, and _proposed, the candidates, to rows with _text.
+
+    A candidate has its place, its features f, a hash of itself with its surroundings,
+    its weak label, and tells whether it is a base span (base) or touches none (free).
+    """
     base = (
         f"array_sort(concat(flatten(transform(_mails, r -> {_base('email')})), flatten(transform(_numbers, r -> "
         f"concat({_base('ip')}, {_base('card')}, {_base('phone')})))))"
@@ -142,17 +183,27 @@ def candidates(text: Column) -> tuple[str, str, str]:
         f"concat(flatten(transform(_mails, r -> {_proposed('email')})), flatten(transform(_numbers, r -> "
         f"concat({_proposed('ip')}, {_proposed('card')}, {_proposed('phone')}))))"
     )
-    struct = ", ".join(f"'{k}', {v}" for k, v in FEATURES.items())
-    return base, proposed, f"named_struct({struct})"
-
-
-def with_candidates(rows: DataFrame) -> DataFrame:
-    """Add _base, the exact spans, and _proposed, each candidate with its features, to rows with _text."""
-    base, proposed, features = candidates(F.col("_text"))
+    features = ", ".join(f"'{k}', {v}" for k, v in FEATURES.items())
+    kind_of_f = f"struct<{', '.join(f'{k}:double' for k in FEATURES)}>"
+    place = "'start', c.start, 'kind', c.kind, 'stop', c.stop"
+    # In one order of places, a base span equal to a candidate stands right before it.
+    merged = (
+        f"array_sort(concat(transform(_base, c -> named_struct({place}, 'own', 0, 'hash', 0L, 'f', CAST(NULL AS {kind_of_f}))), "
+        f"transform(_spans, c -> named_struct({place}, 'own', 1, 'hash', xxhash64(c.kind, c.m, c.before, c.after), "
+        f"'f', named_struct({features})))))"
+    )
+    same = "coalesce(get(ms, n - 1).own = 0 AND get(ms, n - 1).start = c.start AND get(ms, n - 1).kind = c.kind AND get(ms, n - 1).stop = c.stop, false)"
+    judged = (
+        f"filter(transform(ms, (c, n) -> named_struct({place}, 'own', c.own, 'hash', c.hash, 'f', c.f, 'base', {same}, "
+        f"'label', {same} OR (c.f.cue > 0 AND c.f.valid > 0), "
+        "'free', get(reach, n) <= c.start AND get(ahead, n) >= c.stop)), c -> c.own = 1)"
+    )
+    reach = _highest_so_far("transform(ms, c -> IF(c.own = 0, c.stop, 0))")
+    ahead = _lowest_from_here("transform(ms, c -> IF(c.own = 0, c.start, 2147483647))")
     found = rows.withColumns({"_mails": F.expr(_runs(MAIL_RUN)), "_numbers": F.expr(_runs(NUMBER_RUN))})
     found = found.withColumns({"_base": F.expr(base), "_spans": F.expr(proposed)})
-    scored = f"transform(_spans, c -> named_struct('start', c.start, 'kind', c.kind, 'stop', c.stop, 'f', {features}))"
-    return found.withColumn("_proposed", F.expr(scored)).drop("_mails", "_numbers", "_spans")
+    swept = _let("ms", merged, _let("reach", reach, _let("ahead", ahead, judged)))
+    return found.withColumn("_proposed", F.expr(swept)).drop("_mails", "_numbers", "_spans")
 
 
 def _written_out(node, names: list[str]) -> str:
@@ -163,84 +214,110 @@ def _written_out(node, names: list[str]) -> str:
     return f"IF(f.{names[split.featureIndex()]} <= {float(split.threshold())!r}D, {left}, {right})".replace("inf", "1e308")
 
 
-def fit(
-    docs: DataFrame,
-    sample_docs: int = SAMPLE_DOCS,
-    sample_spans: int = SAMPLE_SPANS,
-    precision: float = PRECISION,
-) -> Scorer:
-    """Fit trees and thresholds on candidates of about ``sample_docs`` documents, chosen by a hash of the text.
+def fit_trees(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_spans: int = SAMPLE_SPANS) -> str | None:
+    """The trees as SQL, fitted on candidates of about ``sample_docs`` different texts, chosen by their hash.
 
-    At most ``sample_spans`` candidates, the smallest by hash, are used: half fit the
-    trees, half set the thresholds.  A candidate is positive when it is a base span of
-    its kind.  Without both classes, or without a threshold of that precision, nothing
-    is added to the base spans of a kind.
+    At most ``sample_spans`` different candidates with an even hash are used, the
+    smallest by hash, so copies of a text count once.  None without both labels.
     """
-    texts = docs.select(text_of().alias("_text"))
     share = max(1, docs.count() // sample_docs)
-    picked = texts.filter(F.pmod(F.xxhash64("_text"), F.lit(share)) == 0).filter("_text rlike '[0-9@]'")
-    each = with_candidates(picked).select("_base", F.explode("_proposed").alias("c"))
-    hit = F.expr("exists(_base, b -> b.start = c.start AND b.stop = c.stop AND b.kind = c.kind)")
-    spans = each.select("c.f.*", hit.cast("double").alias("_label"), F.xxhash64("c").alias("_order"))
-    sample = materialize(spans.orderBy("_order", *FEATURES).limit(sample_spans), "candidates")
-    names = list(FEATURES)
+    texts = docs.select(text_of().alias("_text")).filter("_text rlike '[0-9@]'")
+    picked = texts.filter(F.pmod(F.xxhash64("_text"), F.lit(share)) == 0).distinct()
+    each = with_candidates(picked).select(F.explode("_proposed").alias("c")).filter("c.hash % 2 = 0 AND (c.base OR c.free)")
+    spans = each.select("c.hash", "c.f.*", F.col("c.label").cast("double").alias("_label"))
+    alike = spans.groupBy("hash").agg(*[F.max(n).alias(n) for n in (*SEEN, "_label")])
+    sample = materialize(alike.orderBy("hash").limit(sample_spans), "candidates")
+    if sample.select("_label").distinct().count() < 2:
+        return None
+    names = list(SEEN)
     vectors = VectorAssembler(inputCols=names, outputCol="_vector").transform(sample)
-    fitted = vectors.filter(F.pmod(F.xxhash64("_order"), F.lit(2)) == 0)
-    held = sample.filter(F.pmod(F.xxhash64("_order"), F.lit(2)) == 1)
-    if fitted.select("_label").distinct().count() < 2:
-        return Scorer("0.0D", (None,) * len(KINDS))
     model = GBTClassifier(
         featuresCol="_vector", labelCol="_label", maxIter=TREES, maxDepth=DEPTH, seed=7, cacheNodeIds=False
-    ).fit(fitted)
-    trees = [
+    ).fit(vectors)
+    return " + ".join(
         f"{weight!r}D * {_written_out(tree._call_java('rootNode'), names)}"
         for tree, weight in zip(model.trees, model.treeWeights)
-    ]
-    margin = " + ".join(trees)
-    rounded = F.floor(F.expr(margin) * 1000) / 1000
-    # One row per kind, label and rounded margin: bounded by the number of leaves and the rounding.
-    scored = held.select("kind", "_label", F.struct(*names).alias("f")).withColumn("_margin", rounded)
-    table = scored.groupBy("kind", "_margin").agg(F.sum("_label").alias("hits"), F.count("*").alias("n")).collect()
-    thresholds = []
+    )
+
+
+def with_scores(rows: DataFrame, margin: str | None) -> DataFrame:
+    """Add _base and _scored, the candidates with the margin of the trees, to rows with _text."""
+    scored = (
+        "transform(_proposed, c -> named_struct('start', c.start, 'kind', c.kind, 'stop', c.stop, 'held', c.hash % 2 != 0, "
+        f"'label', c.label, 'base', c.base, 'free', c.free, 'margin', floor(({(margin or '0.0D').replace('f.', 'c.f.')}) * 1000) / 1000D))"
+    )
+    return with_candidates(rows).withColumn("_scored", F.expr(scored)).drop("_proposed")
+
+
+def thresholds_of(scored: DataFrame, precision: float = PRECISION) -> tuple[float | None, ...]:
+    """Per kind the lowest margin with that precision over all candidates kept from the fit, None without one.
+
+    A candidate that overlaps a base span without being one can never be added and does not count.
+    """
+    held = scored.select(F.explode("_scored").alias("c")).filter("c.held AND (c.base OR c.free)")
+    # One row per kind and rounded margin: bounded by the leaves of the trees and the rounding.
+    table = held.groupBy("c.kind", "c.margin").agg(F.sum(F.col("c.label").cast("bigint")).alias("hits"), F.count("*").alias("n"))
+    rows = table.orderBy("kind", F.desc("margin")).collect()
+    found = []
     for kind in range(len(KINDS)):
-        best, hits, total = None, 0.0, 0
-        for row in sorted((r for r in table if r["kind"] == kind), key=lambda r: -r["_margin"]):
+        best, hits, total = None, 0, 0
+        for row in (r for r in rows if r["kind"] == kind):
             hits, total = hits + row["hits"], total + row["n"]
             if hits >= precision * total:
-                best = row["_margin"]
-        thresholds.append(best)
-    return Scorer(margin, tuple(thresholds))
+                best = row["margin"]
+        found.append(best)
+    return tuple(found)
+
+
+def fit(
+    docs: DataFrame,
+    sample_docs: int = SAMPLE_DOCS,
+    sample_spans: int = SAMPLE_SPANS,
+    precision: float = PRECISION,
+) -> Scorer:
+    """Trees from a bounded sample, thresholds from all candidates of ``docs`` kept from the fit.
+
+    Without both labels, or without a threshold of that precision, nothing is added to
+    the base spans of a kind.
+    """
+    margin = fit_trees(docs, sample_docs, sample_spans)
+    if margin is None:
+        return Scorer("0.0D", (None,) * len(KINDS))
+    return Scorer(margin, thresholds_of(with_scores(docs.select(text_of().alias("_text")), margin), precision))
+
 
+def _scored_with(docs: DataFrame, rows: DataFrame, scorer: Scorer | None) -> tuple[DataFrame, Scorer]:
+    """Scored ``rows`` and their scorer; one that is fitted here reads its thresholds from the written scores."""
+    if scorer is not None:
+        return with_scores(rows, scorer.margin), scorer
+    margin = fit_trees(docs)
+    if margin is None:
+        return with_scores(rows, None), Scorer("0.0D", (None,) * len(KINDS))
+    scored = with_scores(rows, margin)
+    kept = materialize(scored.drop("_text") if "_doc" not in rows.columns else scored, "scored-candidates")
+    return kept, Scorer(margin, thresholds_of(kept))
 
-def with_spans(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """Add _base and _all to rows with _text: arrays of (start, kind, stop), by start and kind.
 
-    _all holds every base span and the candidates above their kind's threshold that touch
-    no base span; of candidates that overlap, those with a better one beside them go.
+def with_spans(scored: DataFrame, scorer: Scorer) -> DataFrame:
+    """Add _all to scored rows: an array of (start, kind, stop), by start and kind.
+
+    It holds every base span and each candidate from its kind's threshold on that
+    touches none.  Added spans of different kinds may overlap, as base spans may.
     """
-    found = with_candidates(docs)
     picks = " ".join(f"WHEN {k} THEN {t!r}D" for k, t in enumerate(scorer.thresholds) if t is not None)
-    if not picks:
-        return found.withColumn("_all", F.col("_base")).drop("_proposed")
-    margin = scorer.margin.replace("f.", "c.f.")
-    scored = f"transform(_proposed, c -> named_struct('start', c.start, 'kind', c.kind, 'stop', c.stop, 'margin', {margin}))"
-    free = "filter(_scored, c -> c.margin >= (CASE c.kind {} ELSE 1e308D END) AND NOT exists(_base, b -> b.start < c.stop AND c.start < b.stop))"
-    better = (
-        "filter(_free, c -> NOT exists(_free, d -> d.start < c.stop AND c.start < d.stop AND "
-        "struct(d.margin, -d.start, d.stop, -d.kind) > struct(c.margin, -c.start, c.stop, -c.kind)))"
-    )
     plain = "c -> named_struct('start', c.start, 'kind', c.kind, 'stop', c.stop)"
-    return (
-        found.withColumn("_scored", F.expr(scored))
-        .withColumn("_free", F.expr(free.format(picks)))
-        .withColumn("_all", F.expr(f"array_sort(concat(transform(_base, {plain}), transform({better}, {plain})))"))
-        .drop("_proposed", "_scored", "_free")
-    )
+    if not picks:
+        return scored.withColumn("_all", F.expr(f"transform(_base, {plain})")).drop("_scored")
+    added = f"filter(_scored, c -> c.free AND coalesce(c.margin >= CASE c.kind {picks} END, false))"
+    both = f"array_sort(concat(transform(_base, {plain}), transform({added}, {plain})))"
+    return scored.withColumn("_all", F.expr(both)).drop("_scored")
+
+
+NAME = f"element_at(array({', '.join(map(repr, KINDS))}), c.kind + 1)"
 
 
 def _joined(column: str) -> str:
-    name = f"element_at(array({', '.join(map(repr, KINDS))}), c.kind + 1)"
-    return f"array_join(transform({column}, c -> concat_ws(':', {name}, string(c.start), string(c.stop))), ',')"
+    return f"array_join(transform({column}, c -> concat_ws(':', {NAME}, string(c.start), string(c.stop))), ',')"
 
 
 def find(docs: DataFrame, scorer: Scorer | None = None) -> DataFrame:
@@ -248,10 +325,10 @@ def find(docs: DataFrame, scorer: Scorer | None = None) -> DataFrame:
 
     Places are code points, ends exclusive.  Null and empty texts have no spans; repeated
     rows give repeated results, an empty table none; columns other than doc_id and text
-    are not looked at.
+    are not looked at.  The time of a text grows with n log n of its matches.
     """
-    scorer = scorer or fit(docs)
-    rows = with_spans(docs.select(F.col("doc_id").cast("bigint"), text_of().alias("_text")), scorer)
+    texts = docs.select(F.col("doc_id").cast("bigint"), text_of().alias("_text"))
+    rows = with_spans(*_scored_with(docs, texts, scorer))
     counts = [
         F.expr(f"size(filter(_base, c -> c.kind = {k}))").cast("bigint").alias(f"n_{kind}") for k, kind in enumerate(KINDS)
     ]
@@ -260,15 +337,30 @@ def find(docs: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, scorer: Scorer | None = None) -> DataFrame:
-    """``docs`` with every span of the text replaced by its kind in angle brackets; a null text stays null."""
-    scorer = scorer or fit(docs)
-    rows = with_spans(docs.select(F.struct("*").alias("_doc"), text_of().alias("_text")), scorer)
-    name = f"element_at(array({', '.join(map(repr, KINDS))}), c.kind + 1)"
-    cut = (
-        "aggregate(_all, named_struct('at', 0, 'out', ''), (s, c) -> IF(c.start >= s.at, named_struct('at', c.stop, 'out', "
-        f"concat(s.out, substr(_text, s.at + 1, c.start - s.at), '<', {name}, '>')), "
-        "named_struct('at', greatest(s.at, c.stop), 'out', s.out)), s -> concat(s.out, substr(_text, s.at + 1)))"
+def _piece(a: str, b: str) -> str:
+    """The text from code point a up to b, read from its blocks: no place is searched from the text's start."""
+    first, last = f"({a}) div {BLOCK}", f"({b}) div {BLOCK}"
+    return (
+        f"IF({first} = {last}, coalesce(substr(get(blocks, int({first})), int(({a}) % {BLOCK} + 1), int(({b}) - ({a}))), ''), "
+        f"concat(substr(get(blocks, int({first})), int(({a}) % {BLOCK} + 1)), "
+        f"array_join(slice(blocks, int({first} + 2), int({last} - {first} - 1)), ''), "
+        f"coalesce(left(get(blocks, int({last})), int(({b}) % {BLOCK})), '')))"
     )
-    changed = F.when(F.col("_doc.text").isNotNull(), F.expr(cut))
+
+
+def redact(docs: DataFrame, scorer: Scorer | None = None) -> DataFrame:
+    """``docs`` with every span of the text replaced by its kind in angle brackets; a null text stays null.
+
+    Of spans that overlap, the first gives the kind and all are cut.  Repeated rows give
+    repeated results, an empty table none; other columns stay, whatever their names.
+    """
+    whole = docs.select(F.struct("*").alias("_doc"), text_of().alias("_text"))
+    rows = with_spans(*_scored_with(docs, whole, scorer))
+    blocks = f"regexp_extract_all(_text, r'(?s).{{1,{BLOCK}}}+', 0)"
+    reach = _highest_so_far("transform(cs, c -> c.stop)")
+    before = "IF(n = 0, 0, get(reach, n - 1))"
+    cut = f"transform(cs, (c, n) -> IF(c.start >= {before}, concat({_piece(before, 'c.start')}, '<', {NAME}, '>'), ''))"
+    tail = _piece("array_max(reach)", "length(_text)")
+    body = _let("blocks", blocks, _let("reach", reach, f"concat(array_join({cut}, ''), {tail})"))
+    changed = F.expr(f"CASE WHEN _doc.text IS NULL THEN NULL WHEN size(_all) = 0 THEN _text ELSE {_let('cs', '_all', body)} END")
     return rows.select(*[changed.alias(c) if c == "text" else F.col(f"_doc.`{c}`") for c in docs.columns])
