@@ -223,6 +223,8 @@ def fit_trees(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_spans: int
     share = max(1, docs.count() // sample_docs)
     texts = docs.select(text_of().alias("_text")).filter("_text rlike '[0-9@]'")
     picked = texts.filter(F.pmod(F.xxhash64("_text"), F.lit(share)) == 0).distinct()
+    # Written first: else the planner asks for the candidates of every text before it samples.
+    picked = materialize(picked, "sampled-texts")
     each = with_candidates(picked).select(F.explode("_proposed").alias("c")).filter("c.hash % 2 = 0 AND (c.base OR c.free)")
     spans = each.select("c.hash", "c.f.*", F.col("c.label").cast("double").alias("_label"))
     alike = spans.groupBy("hash").agg(*[F.max(n).alias(n) for n in (*SEEN, "_label")])
