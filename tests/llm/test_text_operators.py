@@ -172,6 +172,21 @@ def test_automaton_matches_the_library(library):
         assert decoded == mine.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("block", [1, 7, 64])
+def test_blocks_of_a_text(monkeypatch, block):
+    """Blocks end at white space and change neither ids nor the decoded text."""
+    known = bpe_automaton.WordTokenizer(tokenizer_path("word_bpe_49k.json"))
+    texts = ["", " ", "a", " \n a  b\x1cc \u2003d", "word " * 40, "x" * 300 + " y", "é\n\u2003ß Σ'll <|endoftext|>  x.", words(3, 200)]
+    whole = [known.encode(t) for t in texts]
+    monkeypatch.setattr(bpe_automaton, "BLOCK", block)
+    monkeypatch.setattr(bpe_automaton, "KEPT_CHARS", 3)
+    cut = bpe_automaton.WordTokenizer(tokenizer_path("word_bpe_49k.json"), memo=5)
+    for text, (n, raw, decoded) in zip(texts, whole):
+        assert cut.encode(text) == (n, raw, decoded)
+        assert cut.digest(text) == (n, hashlib.sha256(raw).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
+    assert all(len(piece) <= 3 for kept in (cut.memo, cut.older, cut.met) for piece in kept)
+
+
 def test_gadgets_against_merging():
     """Random merge lists over three symbols: the automaton's path is what merging by rank gives."""
     draw = random.Random(5)

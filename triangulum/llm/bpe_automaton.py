@@ -32,7 +32,10 @@ from pyspark.sql import functions as F
 from .common import rows_of, text_of
 
 MEMO = 300_000
-ARCS = 4_000_000
+ARCS = 500_000
+# Longer pieces and words are not kept, so that entries bound the bytes; texts are worked on in blocks.
+KEPT_CHARS = 64
+BLOCK = 1 << 17
 
 
 def byte_symbols() -> list[str]:
@@ -169,16 +172,31 @@ class WordTokenizer:
                 if known is None:
                     if len(self.met) >= 2 * self.limit // 3:
                         self.met.clear()
-                    known = self.met[word] = self.word(word)
+                    known = self.word(word)
+                    if len(word) <= KEPT_CHARS:
+                        self.met[word] = known
                 out += known
         return out
 
     def encode(self, text: str) -> tuple[int, bytes, str]:
         """Number of ids, the ids as little-endian 32-bit integers, the decoded text."""
+        blocks = [block for block in self.blocks(text) if block[0]]
+        return sum(b[0] for b in blocks), b"".join([b[1] for b in blocks]), " ".join([b[2] for b in blocks])
+
+    def blocks(self, text: str) -> Iterator[tuple[int, bytes, str]]:
+        """The same for consecutive blocks of a text, which end at white space; some may have no ids."""
+        at = 0
+        while at < len(text):
+            cut = _WHITE.search(text, at + BLOCK)
+            end = cut.start() if cut else len(text)
+            yield self._block(text[at:end])
+            at = end
+
+    def _block(self, text: str) -> tuple[int, bytes, str]:
         memo = self.memo
         count, ids, labels = 0, [], []
         # White space only ever separates words; these four count as white space for str.split alone.
-        pieces = re.split(r"[^\S\x1c-\x1f]+", text) if _SEPARATORS.search(text) else text.split()
+        pieces = _WHITE_RUN.split(text) if _SEPARATORS.search(text) else text.split()
         for piece in pieces:
             known = memo.get(piece)
             if known is None:
@@ -189,19 +207,32 @@ class WordTokenizer:
                 if known is None:
                     found = self.ids(piece)
                     known = len(found), struct.pack(f"<{len(found)}I", *found), " ".join([self.label[i] for i in found])
-                memo[piece] = known
+                if len(piece) <= KEPT_CHARS:
+                    memo[piece] = known
             if known[0]:
                 count += known[0]
                 ids.append(known[1])
                 labels.append(known[2])
         return count, b"".join(ids), " ".join(labels)
 
+    def digest(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, SHA-256 of the ids and of the decoded text, block by block."""
+        count, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
+        for n, raw, labels in self.blocks(text):
+            if n:
+                ids.update(raw)
+                decoded.update((" " + labels if count else labels).encode())
+                count += n
+        return count, ids.hexdigest(), decoded.hexdigest()
+
     def decode(self, ids: list[int]) -> str:
         """The labels of the arcs, parted by spaces (the file names no decoder)."""
         return " ".join(self.label[i] for i in ids if i in self.label)
 
 
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+_WHITE = re.compile(r"[^\S\x1c-\x1f]")
+_WHITE_RUN = re.compile(r"[^\S\x1c-\x1f]+")
 
 
 @lru_cache(maxsize=1)
@@ -216,12 +247,8 @@ def _encode(path: str, memo: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer(path, memo)
         for batch in rows_of(batches):
-            counts, ids, decoded = [], [], []
-            for text in batch.column("text").to_pylist():
-                n, raw, labels = words.encode(text)
-                counts.append(n)
-                ids.append(hashlib.sha256(raw).hexdigest())
-                decoded.append(hashlib.sha256(labels.encode()).hexdigest())
+            found = [words.digest(text.as_py()) for text in batch.column("text")]
+            counts, ids, decoded = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
                  pa.array(decoded, pa.string())],
