@@ -316,6 +316,22 @@ def test_near_copies_cost_a_row_each(spark, monkeypatch):
             assert x == y or root[x] == root[int(y)]
 
 
+def test_texts_that_half_agree_are_not_split(spark):
+    """3,000 lines that take each position's common value half the time; a split would hold five times their pairs."""
+    draw = np.random.default_rng(5)
+    base = draw.integers(0, 1 << 30, 64)
+    lines = [np.where(draw.random(64) < 0.5, draw.integers(0, 1 << 30, 64), base) for _ in range(3_000)]
+    lines += [np.where(draw.random(64) < 0.1, draw.integers(0, 1 << 30, 64), line) for line in lines[:100]]
+    rows = [(f"{i:05}".encode(), line.tolist()) for i, line in enumerate(lines)]
+    sketches = spark.createDataFrame(rows, "key binary, sketch array<int>")
+    nodes = chosen_path.leaves(sketches, 0.8, 1e-6)[0].select("node", "key")
+    assert nodes.count() <= len(chosen_path.root_positions(0.8, 1e-6)) * len(rows)
+    number = F.expr("int(string(key))")
+    copies = nodes.filter(number >= 3_000).select("node", (number - 3_000).alias("copy"))
+    met = copies.join(nodes.filter(number < 100).select("node", number.alias("copy")), ["node", "copy"])
+    assert met.select("copy").distinct().count() == 100
+
+
 def test_miss_of_the_splits():
     roots = len(chosen_path.root_positions(0.8, 1e-6))
     assert chosen_path.missed(0.8, roots, chosen_path.root_draws(0.8, 1e-6)) <= 1e-6 < chosen_path.missed(0.8, roots, 1)
