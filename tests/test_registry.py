@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from compare import compare, duck
@@ -27,3 +28,25 @@ def test_query_equals_its_check_sql(spark, con, name):
 def test_entry_and_contract(spark):
     assert entry.entry(spark).count() == 5
     assert set(entry.oracle_sql()) <= set(entry.queries()) >= set(registry.QUERIES)
+
+
+@pytest.mark.parametrize("query", ["sketch_quantiles"])
+def test_claims_are_joined_once(spark, monkeypatch, query):
+    """Every landing and every pass over the claims reads them written; before, each computed them again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(line):
+        seen.add(1)
+        return line
+
+    rows = [
+        (line, "ASIA", f"199{5 + k % 3}-0{1 + k % 9}-11", float(k % 50), 10.0 + k % 7, "R")
+        for k in range(120) for line in ("AUTOMOBILE", "BUILDING")
+    ]
+    names = "product_line string, region string, loss_date string, claim_amount double, monthly_prem_exposure double, claim_type string"
+    claims = spark.createDataFrame(rows, names).withColumn("product_line", counted.asNondeterministic()("product_line"))
+    monkeypatch.setattr(registry.adapters, "claims_events", lambda s, d: claims)
+    found = registry.queries()[query](spark, "/root/testdata/sf0.001")
+    assert not found.isEmpty()
+    assert seen.value == len(rows)

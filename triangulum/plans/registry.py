@@ -278,7 +278,8 @@ def q_sketch_quantiles(s: SparkSession, d: str) -> DataFrame:
     stands whether the rank error kept to twice its bound, which it misses once in ten million.
     """
     base = scratch_path(s, "sketches")
-    claims = adapters.claims_events(s, d).withColumn("month", F.substring("loss_date", 1, 7))
+    # Written once: the landings and every pass over a span read the joined rows again.
+    claims = materialize(adapters.claims_events(s, d).withColumn("month", F.substring("loss_date", 1, 7)), "claims")
     table = PartialTable(
         s, f"{base}/state", {"product_line": "product_line", "month": "month"}, {"sizes": ("sketch", "claim_amount")}, buckets=4
     )
