@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ def test_entry_and_contract(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries()) >= set(registry.QUERIES)
 
 
-@pytest.mark.parametrize("query", ["sketch_quantiles"])
+@pytest.mark.parametrize("query", ["sketch_quantiles", "medallion_update", "delta_monthly", "full_refresh"])
 def test_claims_are_joined_once(spark, monkeypatch, query):
     """Every landing and every pass over the claims reads them written; before, each computed them again."""
     seen = spark.sparkContext.accumulator(0)
@@ -50,3 +52,11 @@ def test_claims_are_joined_once(spark, monkeypatch, query):
     found = registry.queries()[query](spark, "/root/testdata/sf0.001")
     assert not found.isEmpty()
     assert seen.value == len(rows)
+
+
+def test_dealt_parts_hold_every_row_once(spark):
+    rows = [(k % 40 or None, str(k % 7)) for k in range(200)] + [(None, None)] * 5
+    feed = spark.createDataFrame(rows, "a long, b string")
+    parts = registry._dealt(feed, 3)
+    assert all(part.count() for part in parts)
+    assert Counter(tuple(r) for part in parts for r in part.collect()) == Counter(rows)

@@ -98,6 +98,13 @@ def _features(s: SparkSession, d: str) -> DataFrame:
     return medallion.segment_features(_monthly(s, d))
 
 
+def _dealt(feed: DataFrame, parts: int) -> list[DataFrame]:
+    """The rows of a feed, written once, dealt to parts by a hash of all columns."""
+    once = materialize(feed, "feed")
+    part = F.pmod(F.xxhash64(*feed.columns), F.lit(parts))
+    return [once.filter(part == turn) for turn in range(parts)]
+
+
 def _panel(s: SparkSession, d: str) -> DataFrame:
     """Claims with macro and feature columns: the forecast input."""
     monthly = _written_monthly(s, d)
@@ -259,9 +266,8 @@ def q_delta_monthly(s: SparkSession, d: str) -> DataFrame:
     base = scratch_path(s, "delta")
     claims = expect_or_drop(adapters.claims_events(s, d), medallion.claims_rules(VALID_LINES))
     table = medallion.claims_partials(s, f"{base}/state", buckets=4)
-    for turn in range(3):
-        part = F.pmod(F.xxhash64(*claims.columns), F.lit(3)) == turn
-        claims.filter(part).write.mode("append").parquet(f"{base}/landing")
+    for part in _dealt(claims, 3):
+        part.write.mode("append").parquet(f"{base}/landing")
         partial_stream(stream_scan(s, f"{base}/landing", claims.schema), table, f"{base}/cp")
     return gold.monthly_of_partials(table.rows()).join(
         table.rows().select("segment_id", "month", "smallest_claim", "largest_claim"), ["segment_id", "month"]
@@ -332,12 +338,12 @@ def q_full_refresh(s: SparkSession, d: str) -> DataFrame:
         )
         return tables.scan(s, out["gold_claims_monthly"]).withColumn("refresh", F.lit(refresh))
 
+    claims = materialize(adapters.claims_events(s, d), "feed")
     for name, read in feeds.items():
-        feed = read(s, d)
-        early = F.col("product_line") != VALID_LINES[0] if name == "claims" else F.lit(True)
-        feed.filter(early).write.parquet(landing[name])
+        feed = claims.filter(F.col("product_line") != VALID_LINES[0]) if name == "claims" else read(s, d)
+        feed.write.parquet(landing[name])
     before = update("current")
-    adapters.claims_events(s, d).filter(F.col("product_line") == VALID_LINES[0]).write.mode("append").parquet(landing["claims"])
+    claims.filter(F.col("product_line") == VALID_LINES[0]).write.mode("append").parquet(landing["claims"])
     return before.unionByName(update("full"))
 
 
@@ -434,12 +440,11 @@ def q_medallion_update(s: SparkSession, d: str) -> DataFrame:
     base = scratch_path(s, "update")
     feeds = {"claims": adapters.claims_events, "reserves": _reserves, "macro": adapters.macro_indicators}
     landing = {name: f"{base}/{name}" for name in feeds}
+    parts = {name: _dealt(read(s, d), 3) for name, read in feeds.items()}
     out = {}
     for turn in range(3):
-        for name, read in feeds.items():
-            feed = read(s, d)
-            part = F.pmod(F.xxhash64(*feed.columns), F.lit(3)) == turn
-            feed.filter(part).write.mode("append").parquet(landing[name])
+        for name, feed in parts.items():
+            feed[turn].write.mode("append").parquet(landing[name])
         out = medallion.run_update(
             s, landing, f"{base}/out", adapters.REGION_OF_PROVINCE, VALID_LINES,
             adapters.claims_month_of_ref_date(), buckets=4,
