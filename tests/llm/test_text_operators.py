@@ -187,6 +187,15 @@ def test_blocks_of_a_text(monkeypatch, block):
     assert all(len(piece) <= 3 for kept in (cut.memo, cut.older, cut.met) for piece in kept)
 
 
+def test_memos_hold_plain_ids():
+    """A piece costs one string of ids; labels come from the ids of a whole block."""
+    known = bpe_automaton.WordTokenizer(tokenizer_path("word_bpe_49k.json"))
+    n, raw, decoded = known.encode(text := "Über-words, and <|endoftext|>ends. " + words(5, 300))
+    assert all(type(ids) is bytes and len(ids) % 4 == 0 for kept in (known.memo, known.met) for ids in kept.values())
+    assert n * 4 == len(raw) and decoded == known.decode(np.frombuffer(raw, "<u4").tolist())
+    assert known.encode(text) == (n, raw, decoded)
+
+
 def test_gadgets_against_merging():
     """Random merge lists over three symbols: the automaton's path is what merging by rank gives."""
     draw = random.Random(5)

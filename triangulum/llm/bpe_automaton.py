@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ def byte_symbols() -> list[str]:
 class Automaton:
     """States and arcs are token ids; ``forbidden`` tells whether an arc leaves a state."""
 
-    def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]]):
+    def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], suffix: str = ""):
         self.token = vocabulary
         self.label = {i: t for t, i in vocabulary.items()}
         self.cut: dict[tuple[int, int], int] = {}
@@ -60,8 +61,18 @@ class Automaton:
                 raise ValueError(f"two merges make {left + right!r}")
             self.made[w] = rank, u, v
             self.cut[u, v] = rank
-        # Every end of a label, with the label's token or -1 where it is none itself.
-        self.ends = {label[i:]: -1 for label in vocabulary for i in range(1, len(label))} | vocabulary
+        # The labels from their last symbol on as a trie: a symbol to what may stand before it, and the token or -1 where
+        # it is none.
+        self.ends: dict[str, list] = {}
+        for label, token in vocabulary.items():
+            n = len(label.removesuffix(suffix)) or 1
+            level, node = self.ends, [None, -1]
+            for symbol in (label[n - 1 :], *label[: n - 1][::-1]):
+                if level is None:
+                    level = node[0] = {}
+                node = level.setdefault(symbol, [None, -1])
+                level = node[0]
+            node[1] = token
         self.arcs: dict[tuple[int, int], bool] = {}
 
     def forbidden(self, state: int, arc: int) -> bool:
@@ -94,14 +105,16 @@ class Automaton:
 
     def path(self, word: str, n: int) -> list[int]:
         """Token ids of a word of n base symbols: n characters, then the suffix of the last one."""
-        ends, arcs = self.ends.get, self.arcs
+        arcs, symbols = self.arcs, [*word[: n - 1], word[n - 1 :]]
         last, back = [-1] * (n + 1), [0] * (n + 1)
         for end in range(1, n + 1):
-            stop = end if end < n else len(word)
-            for start in range(end - 1, -1, -1):
-                arc = ends(word[start:stop])
-                if arc is None:
+            level, start = self.ends, end
+            while start and level is not None:
+                start -= 1
+                node = level.get(symbols[start])
+                if node is None:
                     break
+                level, arc = node
                 if arc < 0:
                     continue
                 # The one arc into this prefix that the state before it lets through.
@@ -130,26 +143,37 @@ class WordTokenizer:
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"] or ""
         merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
-        self.automaton = Automaton(model["vocab"], merges)
+        self.automaton = Automaton(model["vocab"], merges, self.suffix)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
         self.symbols = byte_symbols()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.label = self.automaton.label | {i: s for s, i in self.special.items()}
         self.added = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.memo: dict[str, tuple[int, bytes, str]] = {}
-        self.older: dict[str, tuple[int, bytes, str]] = {}
-        self.met: dict[str, list[int]] = {}
+        self.labels = pa.array([self.label.get(i) for i in range(max(self.label) + 1)], pa.large_binary())
+        # The ids of pieces and words as little-endian 32-bit integers.
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.met: dict[str, bytes] = {}
 
     @staticmethod
     def normalise(piece: str) -> str:
         # Lower case character by character: a final sigma stays a plain one.
         return unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
 
-    def word(self, word: str) -> list[int]:
-        # Letters and signs of ASCII are their own symbols.
-        symbols = word if word.isascii() and word.isprintable() else "".join([self.symbols[b] for b in word.encode()])
-        return self.automaton.path(symbols + self.suffix, len(symbols))
+    def word(self, word: str) -> bytes:
+        """Ids of a lower-case word."""
+        known = self.met.get(word)
+        if known is None:
+            # Letters and signs of ASCII are their own symbols.
+            symbols = word if word.isascii() and word.isprintable() else "".join([self.symbols[b] for b in word.encode()])
+            ids = self.automaton.path(symbols + self.suffix, len(symbols))
+            known = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.met) >= 2 * self.limit // 3:
+                self.met.clear()
+            if len(word) <= KEPT_CHARS:
+                self.met[word] = known
+        return known
 
     def split(self, piece: str) -> list[str]:
         """The words of a piece, lower case; a letter run with or without one mark after it needs no pattern."""
@@ -160,60 +184,60 @@ class WordTokenizer:
             return [piece[:-1], piece[-1]]
         return self.words.findall(piece)
 
-    def ids(self, piece: str) -> list[int]:
+    def ids(self, piece: str) -> bytes:
         """Ids of a piece of text without white space."""
-        out: list[int] = []
-        for part in self.added.split(piece) if any(x in piece for x in self.special) else [piece]:
+        if not self.added.search(piece):
+            return b"".join(map(self.word, self.split(piece)))
+        out = []
+        for part in self.added.split(piece):
             if part in self.special:
-                out.append(self.special[part])
-                continue
-            for word in self.split(part):
-                known = self.met.get(word)
-                if known is None:
-                    if len(self.met) >= 2 * self.limit // 3:
-                        self.met.clear()
-                    known = self.word(word)
-                    if len(word) <= KEPT_CHARS:
-                        self.met[word] = known
-                out += known
-        return out
+                out.append(struct.pack("<I", self.special[part]))
+            elif part:
+                out += map(self.word, self.split(part))
+        return b"".join(out)
 
     def encode(self, text: str) -> tuple[int, bytes, str]:
         """Number of ids, the ids as little-endian 32-bit integers, the decoded text."""
         blocks = [block for block in self.blocks(text) if block[0]]
-        return sum(b[0] for b in blocks), b"".join([b[1] for b in blocks]), " ".join([b[2] for b in blocks])
+        return sum(b[0] for b in blocks), b"".join([b[1] for b in blocks]), b" ".join([b[2] for b in blocks]).decode()
 
-    def blocks(self, text: str) -> Iterator[tuple[int, bytes, str]]:
+    def blocks(self, text: str) -> Iterator[tuple[int, bytes, bytes]]:
         """The same for consecutive blocks of a text, which end at white space; some may have no ids."""
         at = 0
         while at < len(text):
             cut = _WHITE.search(text, at + BLOCK)
             end = cut.start() if cut else len(text)
-            yield self._block(text[at:end])
+            raw = self._block(text[at:end])
+            yield len(raw) // 4, raw, self._decoded(raw)
             at = end
 
-    def _block(self, text: str) -> tuple[int, bytes, str]:
-        memo = self.memo
-        count, ids, labels = 0, [], []
+    def _block(self, text: str) -> bytes:
         # White space only ever separates words; these four count as white space for str.split alone.
         pieces = _WHITE_RUN.split(text) if _SEPARATORS.search(text) else text.split()
-        for piece in pieces:
-            known = memo.get(piece)
-            if known is None:
-                if len(memo) >= self.limit:  # pieces not met since the last time go
-                    self.older, memo = memo, {}
-                    self.memo = memo
-                known = self.older.get(piece)
-                if known is None:
-                    found = self.ids(piece)
-                    known = len(found), struct.pack(f"<{len(found)}I", *found), " ".join([self.label[i] for i in found])
-                if len(piece) <= KEPT_CHARS:
-                    memo[piece] = known
-            if known[0]:
-                count += known[0]
-                ids.append(known[1])
-                labels.append(known[2])
-        return count, b"".join(ids), " ".join(labels)
+        found = list(map(self.memo.get, pieces))
+        for at in [i for i, known in enumerate(found) if known is None]:
+            found[at] = self._piece(pieces[at])
+        return b"".join(found)
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece, kept for the next time."""
+        known = self.memo.get(piece)
+        if known is not None:
+            return known
+        if len(self.memo) >= self.limit:  # pieces not met since the last time go
+            self.older, self.memo = self.memo, {}
+        known = self.older.get(piece)
+        if known is None:
+            known = self.ids(piece)
+        if len(piece) <= KEPT_CHARS:
+            self.memo[piece] = known
+        return known
+
+    def _decoded(self, raw: bytes) -> bytes:
+        """The labels of the ids, parted by spaces."""
+        labels = self.labels.take(pa.array(np.frombuffer(raw, "<u4")))
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(labels)], labels), pa.scalar(b" ", pa.large_binary()))
+        return joined[0].as_py()
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids and of the decoded text, block by block."""
@@ -221,7 +245,7 @@ class WordTokenizer:
         for n, raw, labels in self.blocks(text):
             if n:
                 ids.update(raw)
-                decoded.update((" " + labels if count else labels).encode())
+                decoded.update(b" " + labels if count else labels)
                 count += n
         return count, ids.hexdigest(), decoded.hexdigest()
 
