@@ -89,3 +89,25 @@ def test_weights_without_the_second_compression():
     scorer = toxicity.Scorer(ordinary, toxic, cells)
     every = toxicity.Distance(ordinary, toxic).cells(words)
     assert scorer._known(words) == [max(0.0, cells[c]) for c in every]
+
+
+def test_windows_are_words():
+    """Signs and every kind of white space part words; the lower-case bytes of a word are cut every 48."""
+    signs = str.maketrans({c: " " for c in map(chr, range(33, 127)) if not c.isalnum()})
+
+    def plain(text):
+        raw = [w.encode() for w in text.lower().translate(signs).split()]
+        return {w[at : at + toxicity.WINDOW_BYTES] for w in raw for at in range(0, len(w), toxicity.WINDOW_BYTES)}
+
+    every = "x".join(map(chr, [*range(0xD800), *range(0xE000, 0x3100), *range(0xFE00, 0x10400)]))
+    texts = ["", " \n. ", "A,b\x1cc\x1fd\x85e\xa0f g　h\x7fi\x00j", "ΑΣ ΑΣ Σ", "é" * 40 + " " + "a" * 100, every, every.replace("x", "")]
+    assert [toxicity.windows(t) for t in texts] == [plain(t) for t in texts]
+
+
+def test_texts_are_split_in_few_calls(monkeypatch):
+    """Each distinct word of a text is looked at once, and words that are kept are never compressed again."""
+    scorer = toxicity.Scorer(b" the weather was mild ", b" nitwit blockhead ", {0: 1.0})
+    asked = []
+    monkeypatch.setattr(scorer, "_known", lambda words: asked.append(words) or [1.0] * len(words))
+    assert scorer.sums(["b a b", "a c a"]) == [(2.0, 2), (2.0, 2)] and scorer.sums(["c a d"]) == [(3.0, 3)]
+    assert asked == [[b"a", b"b", b"c"], [b"d"]]

@@ -13,9 +13,9 @@ the calibration count every other labelled text, and every text is scored whole.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from heapq import nlargest
 from math import log
 from zlib import crc32
 
@@ -39,18 +39,23 @@ WINDOW_BYTES, HEAVIEST, SMOOTHING = 48, 3, 3.0
 MEMO = 400_000
 BROADCAST_BYTES = 64 << 20
 
-# Signs of ASCII part words as white space does.
-_SIGNS = str.maketrans({c: " " for c in map(chr, range(33, 127)) if not c.isalnum()})
+# Signs of ASCII part words as white space does, and so do the four separators, which bytes.split leaves.
+_SIGNS = bytes(32 if c < 127 and not chr(c).isalnum() and (c > 32 or chr(c).isspace()) else c for c in range(256))
+# White space beyond ASCII.
+_WIDE = re.compile("[" + "".join(c for c in map(chr, range(128, 0x10000)) if c.isspace()) + "]")
 
 Cells = dict[int, float]
 
 
 def windows(text: str) -> set[bytes]:
     """The distinct words of a text in lower case; longer ones are cut into pieces."""
-    found = set()
-    for word in text.lower().translate(_SIGNS).split():
-        raw = word.encode()
-        found.update(raw[at : at + WINDOW_BYTES] for at in range(0, len(raw), WINDOW_BYTES))
+    text = text.lower()
+    if not text.isascii():
+        text = _WIDE.sub(" ", text)
+    found = set(text.encode().translate(_SIGNS).split())
+    for word in [w for w in found if len(w) > WINDOW_BYTES]:
+        found.remove(word)
+        found.update(word[at : at + WINDOW_BYTES] for at in range(0, len(word), WINDOW_BYTES))
     return found
 
 
@@ -107,7 +112,7 @@ def weights(ordinary: Counter, toxic: Counter) -> Cells:
 
 def total(found: Iterable[float]) -> float:
     """Sum of the largest weights of a text's windows, none of them negative."""
-    return float(sum(nlargest(HEAVIEST, found)))
+    return float(sum(sorted(found, reverse=True)[:HEAVIEST]))
 
 
 def _counted(texts: list[list[bytes]], known: dict[bytes, int]) -> Counter:
@@ -223,13 +228,14 @@ class Scorer:
 
     def found(self, texts: list[str]) -> list[list[float]]:
         """Cells or weights of the windows of every text."""
-        split = [windows(t) for t in texts]
-        fresh = sorted(set().union(*split) - self.memo.keys())
-        if len(self.memo) + len(fresh) > MEMO:
-            self.memo.clear()
-            fresh = sorted(set().union(*split))
-        self.memo.update(zip(fresh, self._known(fresh)))
-        return [[self.memo[w] for w in words] for words in split]
+        split, memo = [windows(t) for t in texts], self.memo
+        fresh = {w for words in split for w in words if w not in memo}
+        if len(memo) + len(fresh) > MEMO:
+            memo.clear()
+            fresh = set().union(*split)
+        ordered = sorted(fresh)
+        memo.update(zip(ordered, self._known(ordered)))
+        return [[memo[w] for w in words] for words in split]
 
     def sums(self, texts: list[str]) -> list[tuple[float, int]]:
         """The sum of every text and the number of its windows."""
