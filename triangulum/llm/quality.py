@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, text_of
 
-SAMPLE_DOCS = 12_000
+SAMPLE_DOCS, SAMPLE_FILES = 12_000, 6
 FEATURES = 1 << 12
 ROUNDS, TOLERANCE = 200, 1e-9
 GOOD, BAD = 1, 2
@@ -163,7 +163,8 @@ def classify(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     both = F.explode(F.array(F.struct(F.lit(1.0).alias("y"), F.col("_weak").alias("w")),
                              F.struct(F.lit(0.0).alias("y"), (1 - F.col("_weak")).alias("w"))))
     sample = _vectors(picked).select("_vector", both.alias("_l")).select("_vector", "_l.*").filter("w > 0.001")
-    sample = materialize(sample, "weak-labels")
+    # Bounded whatever the input: few files, and not one from every task that scans the texts.
+    sample = materialize(sample.repartition(SAMPLE_FILES), "weak-labels")
     if sample.select("y").distinct().count() < 2:
         return measured.select("_doc", "_votes", "_weak", F.col("_weak").alias("_bad"))
     model = LogisticRegression(
