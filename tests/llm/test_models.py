@@ -121,3 +121,27 @@ def test_pipeline(spark):
     assert kept >= 0.98 * alone.count()
     assert got.agg(F.count("*"), F.countDistinct("doc_id")).first()[0] == got.count()
     assert [name for name, _ in corpus_pipeline.STAGES][1] == "n-gram Jaccard join"
+
+
+def test_steps_write_no_tables(spark, monkeypatch):
+    """A step reads the posteriors; no step writes a table of its own."""
+    draw = np.random.default_rng(2)
+    p, tokens = draw.dirichlet([0.3, 0.3, 0.3], 50), draw.integers(0, 9, 50)
+    rows = spark.createDataFrame([(int(n), [float(x) for x in q]) for n, q in zip(tokens, p)], "_tokens long, _p array<double>")
+    written = []
+    monkeypatch.setattr(mixing, "materialize", lambda df, label: written.append(label) or df)
+    steps = mixing.fit_steps(rows, [100.0, 40.0, 20.0], most=1.5)
+    assert len(steps) > 2 and not written
+    got = rows.withColumn("_rate", mixing.rate_of(steps, 1.5)).collect()
+    sums, _ = mixing._totals(rows, steps, 1.5, 3)
+    assert sums == pytest.approx(list(sum(np.array(r["_p"]) * r["_tokens"] * r["_rate"] for r in got)))
+
+
+def test_sample_has_few_files(spark, monkeypatch):
+    """The bounded sample is written in few files, however many tasks scan the texts."""
+    text = F.when(F.col("doc_id") % 3 == 0, "|*#$ !!! BUY || NOW !!").otherwise("the cat and the dog sat on a mat, as they do.")
+    docs = spark.range(600).select(F.col("id").alias("doc_id")).withColumn("text", F.concat(text, F.lit(" "), F.col("doc_id"))).repartition(40)
+    parts, write = [], quality.materialize
+    monkeypatch.setattr(quality, "materialize", lambda df, label: parts.append(df.rdd.getNumPartitions()) or write(df, label))
+    assert quality.score(docs).count() == 600
+    assert len(parts) == 1 and parts[0] <= quality.SAMPLE_FILES

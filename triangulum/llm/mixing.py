@@ -6,12 +6,16 @@ domain.  With tokens n_i and posteriors p_id, rates r_i >= 0 minimise the weight
     sum over d of (sum over i of p_id n_i r_i - target_d)^2 / target_d
 
 by projected gradient steps from rate 1.  The gradient needs one total per domain, so a
-step is one pass of column expressions and one small aggregate; steps are taken per token
+step is one pass that follows every rate through the steps so far and sums; steps are taken per token
 of a document, so documents of equal posterior get equal rates whatever their length.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
@@ -105,16 +109,35 @@ def _moved(rate: Column, p: Column, slope: Column, size: int, most: float | None
     return moved if most is None else F.least(F.lit(float(most)), moved)
 
 
-def _totals(rows: DataFrame, rate: Column, before: Column, count: int) -> tuple[list[float], float]:
-    """Per domain the expected tokens; the tokens times squared change of the rates."""
-    both = rows.select("_tokens", "_p", rate.alias("r"), before.alias("q"))
-    sums = [f"coalesce(sum(_tokens * _p[{d}] * r), 0D) AS s{d}" for d in range(count)]
-    row = both.selectExpr(*sums, "coalesce(sum(_tokens * (r - q) * (r - q)), 0D) AS c").first()
-    return list(row)[:count], row[count]
+def _totals(rows: DataFrame, steps: list[Step], most: float | None, size: int) -> tuple[list[float], float]:
+    """Per domain the expected tokens after the steps; the tokens times squared change of the rates in the last one.
+
+    One stage of one plan whatever the steps are: every task follows its rows' rates through
+    the steps and sends one row of sums.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(size + 1)
+        for batch in batches:
+            tokens = batch.column("_tokens").to_numpy(zero_copy_only=False).astype(float)
+            p = batch.column("_p").flatten().to_numpy(zero_copy_only=False).reshape(-1, size).T
+            rate = before = np.ones(len(tokens))
+            for length, gradient in steps:
+                slope = [length * g for g in gradient]
+                moved = np.maximum(0.0, rate - sum((p[d] * slope[d] for d in range(1, size)), p[0] * slope[0]))
+                moved = moved if most is None else np.minimum(float(most), moved)
+                rate, before = np.where(tokens > 0, moved, 1.0), rate
+            sums[:size] += p @ (tokens * rate)
+            sums[size] += tokens @ (rate - before) ** 2
+        yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+    found = rows.select("_tokens", "_p").mapInArrow(run, "sums array<double>").collect()
+    sums = np.array([r.sums for r in found]).reshape(-1, size + 1).sum(axis=0)
+    return sums[:size].tolist(), float(sums[size])
 
 
 def fit_steps(rows: DataFrame, targets: list[float], most: float | None = None) -> list[Step]:
-    """Steps to the rates over rows with _tokens and _p; each step writes and reads these and the rate.
+    """Steps to the rates over rows with _tokens and _p, a written table; each step reads it once.
 
     Projected gradient with the step length of two successive gradients; of all steps
     those up to the smallest weighted squares are returned.  A domain whose target is 0
@@ -124,8 +147,7 @@ def fit_steps(rows: DataFrame, targets: list[float], most: float | None = None)
     floor = max(sum(targets), 1.0) * EPSILON
     weights = [1 / max(t, floor) for t in targets]
     steps: list[Step] = []
-    current = rows.select("_tokens", "_p", F.lit(1.0).alias("_rate"))
-    totals, _ = _totals(current, F.col("_rate"), F.lit(1.0), size)
+    totals, _ = _totals(rows, steps, most, size)
     best: tuple[float, int] | None = None
     length = sum(max(t, floor) for t in targets) / max(sum(totals), 1.0) / size
     for step in range(STEPS + 1):
@@ -136,11 +158,7 @@ def fit_steps(rows: DataFrame, targets: list[float], most: float | None = None)
         if step == STEPS or all(abs(a - t) <= TOLERANCE * max(t, floor) for a, t in zip(totals, targets)):
             break
         steps.append((float(length), gradient))
-        slope = F.array(*[F.lit(length * g) for g in gradient])
-        moved = F.when(F.col("_tokens") > 0, _moved(F.col("_rate"), F.col("_p"), slope, size, most)).otherwise(F.lit(1.0))
-        current = current.select("_tokens", "_p", F.col("_rate").alias("_before"), moved.alias("_rate"))
-        current = materialize(current, "rates")
-        after, change = _totals(current, F.col("_rate"), F.col("_before"), size)
+        after, change = _totals(rows, steps, most, size)
         # <s, s> / <s, y> of the step s and the change y of the gradient, both summed over documents.
         curve = sum(w * (b - a) ** 2 for w, a, b in zip(weights, totals, after))
         if change == 0 or curve == 0:
