@@ -137,6 +137,23 @@ def test_steps_write_no_tables(spark, monkeypatch):
     assert sums == pytest.approx(list(sum(np.array(r["_p"]) * r["_tokens"] * r["_rate"] for r in got)))
 
 
+def test_steps_run_no_python(spark, monkeypatch):
+    """The totals after the steps are column expressions; they equal those of the steps followed one by one."""
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", None)
+    draw = np.random.default_rng(3)
+    p, tokens = draw.dirichlet([0.3, 0.3, 0.3], 50), draw.integers(0, 9, 50)
+    rows = spark.createDataFrame([(int(n), [float(x) for x in q]) for n, q in zip(tokens, p)], "_tokens long, _p array<double>")
+    steps = mixing.fit_steps(rows, [100.0, 40.0, 20.0], most=1.0)
+    rate = before = np.ones(50)
+    for length, gradient in steps:
+        rate, before = np.where(tokens > 0, np.clip(rate - p @ (length * np.array(gradient)), 0, 1), 1), rate
+    sums, change = mixing._totals(rows, steps, 1.0, 3)
+    assert len(steps) > 2 and sums == pytest.approx(list((tokens * rate) @ p))
+    assert change == pytest.approx(tokens @ (rate - before) ** 2)
+    assert mixing._totals(rows, [], 1.0, 3) == (pytest.approx(list(tokens @ p)), 0.0)
+    assert mixing._totals(rows.limit(0), steps, 1.0, 3) == ([0.0, 0.0, 0.0], 0.0)
+
+
 def test_sample_has_few_files(spark, monkeypatch):
     """The bounded sample is written in few files, however many tasks scan the texts."""
     text = F.when(F.col("doc_id") % 3 == 0, "|*#$ !!! BUY || NOW !!").otherwise("the cat and the dog sat on a mat, as they do.")

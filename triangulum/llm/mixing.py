@@ -12,10 +12,8 @@ of a document, so documents of equal posterior get equal rates whatever their le
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
@@ -92,16 +90,14 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: tuple[str, ...], h
 Step = tuple[float, list[float]]
 
 
-def rate_of(steps: list[Step], most: float | None = None, p: str = "_p", tokens: str = "_tokens") -> Column:
-    """The rate after the steps, from rate 1; a row without tokens keeps 1.
+def _slopes(steps: list[Step]) -> Column:
+    """Per step its length times the gradient.
 
-    Rates of one posterior are equal, so a step's length and gradient say all about it.
+    Read from one text, which Spark folds to a constant: a plan of any number of steps has the same few
+    expressions, and its compiled code is the same.
     """
-    rate = F.lit(1.0)
-    if steps:
-        slopes = F.array(*[F.array(*[F.lit(length * g) for g in gradient]) for length, gradient in steps])
-        rate = F.aggregate(slopes, rate, lambda r, g: _moved(r, F.col(p), g, len(steps[0][1]), most))
-    return F.when(F.col(tokens) > 0, rate).otherwise(F.lit(1.0))
+    slopes = [[length * g for g in gradient] for length, gradient in steps]
+    return F.from_json(F.lit(json.dumps(slopes)), "array<array<double>>")
 
 
 def _moved(rate: Column, p: Column, slope: Column, size: int, most: float | None) -> Column:
@@ -109,31 +105,36 @@ def _moved(rate: Column, p: Column, slope: Column, size: int, most: float | None
     return moved if most is None else F.least(F.lit(float(most)), moved)
 
 
+def _followed(steps: list[Step], most: float | None, p: str, tokens: str) -> Column:
+    """Struct of ``rate``, the rate after the steps, from rate 1, and ``before``, that before the last; a row without tokens keeps 1.
+
+    Rates of one posterior are equal, so a step's length and gradient say all about it.
+    """
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("before"))
+    if not steps:
+        return start
+    size = len(steps[0][1])
+
+    def step(at: Column, slope: Column) -> Column:
+        return F.struct(_moved(at["rate"], F.col(p), slope, size, most).alias("rate"), at["rate"].alias("before"))
+
+    return F.when(F.col(tokens) > 0, F.aggregate(_slopes(steps), start, step)).otherwise(start)
+
+
+def rate_of(steps: list[Step], most: float | None = None, p: str = "_p", tokens: str = "_tokens") -> Column:
+    """The rate after the steps, from rate 1; a row without tokens keeps 1."""
+    return _followed(steps, most, p, tokens)["rate"]
+
+
 def _totals(rows: DataFrame, steps: list[Step], most: float | None, size: int) -> tuple[list[float], float]:
     """Per domain the expected tokens after the steps; the tokens times squared change of the rates in the last one.
 
-    One stage of one plan whatever the steps are: every task follows its rows' rates through
-    the steps and sends one row of sums.
+    One plan whatever the steps are: every row's rate is followed through the steps, and tasks send one row of sums.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(size + 1)
-        for batch in batches:
-            tokens = batch.column("_tokens").to_numpy(zero_copy_only=False).astype(float)
-            p = batch.column("_p").flatten().to_numpy(zero_copy_only=False).reshape(-1, size).T
-            rate = before = np.ones(len(tokens))
-            for length, gradient in steps:
-                slope = [length * g for g in gradient]
-                moved = np.maximum(0.0, rate - sum((p[d] * slope[d] for d in range(1, size)), p[0] * slope[0]))
-                moved = moved if most is None else np.minimum(float(most), moved)
-                rate, before = np.where(tokens > 0, moved, 1.0), rate
-            sums[:size] += p @ (tokens * rate)
-            sums[size] += tokens @ (rate - before) ** 2
-        yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()], pa.list_(pa.float64()))], names=["sums"])
-
-    found = rows.select("_tokens", "_p").mapInArrow(run, "sums array<double>").collect()
-    sums = np.array([r.sums for r in found]).reshape(-1, size + 1).sum(axis=0)
-    return sums[:size].tolist(), float(sums[size])
+    both = rows.select("_tokens", "_p", _followed(steps, most, "_p", "_tokens").alias("_at")).select("_tokens", "_p", "_at.*")
+    sums = [f"coalesce(sum(_tokens * _p[{d}] * rate), 0D) AS s{d}" for d in range(size)]
+    [row] = both.selectExpr(*sums, "coalesce(sum(_tokens * (rate - before) * (rate - before)), 0D) AS c").collect()
+    return list(row)[:size], row[size]
 
 
 def fit_steps(rows: DataFrame, targets: list[float], most: float | None = None) -> list[Step]:
