@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import importlib
 import random
 
 import numpy as np
@@ -154,6 +155,32 @@ def test_steps_run_no_python(spark, monkeypatch):
     assert mixing._totals(rows.limit(0), steps, 1.0, 3) == ([0.0, 0.0, 0.0], 0.0)
 
 
+def test_steps_read_no_documents(spark, labels, monkeypatch):
+    """What each step reads holds no text."""
+    read, follow = [], mixing.fit_steps
+    monkeypatch.setattr(mixing, "fit_steps", lambda rows, *more: read.append(rows.columns) or follow(rows, *more))
+    mixing.resample(odd_documents(spark), mixing.domains_of(labels), corpus_pipeline.SHARES, "clean")
+    assert read == [["_tokens", "_p"]]
+
+
+def test_components_in_small_plans(spark, monkeypatch):
+    """Paths, a star, a ring and repeated edges; no written plan holds the joins of more than one star."""
+    at, written = importlib.import_module("triangulum.llm.components"), []
+    write = at.materialize
+
+    def counted(df, label):
+        written.append(df._jdf.queryExecution().sparkPlan().toString().count("Join"))
+        return write(df, label)
+
+    monkeypatch.setattr(at, "materialize", counted)
+    pairs = [(k, k + 1) for k in range(1, 40)] + [(100, 100 + k) for k in range(1, 30)] + [(200 + k, 200 + (k + 1) % 9) for k in range(9)]
+    edges = spark.createDataFrame([x for x in pairs for _ in range(2)] + [(7, 7), (300, 300)], "a long, b long")
+    got = {r.node: r.root for r in at.components(edges).collect()}
+    want = {n: min(g) for g in (range(1, 41), range(100, 130), range(200, 209)) for n in g}
+    assert got == want and at.components(edges).count() == len(want)
+    assert max(written) == 1
+
+
 def test_sample_has_few_files(spark, monkeypatch):
     """The bounded sample is written in few files, however many tasks scan the texts."""
     text = F.when(F.col("doc_id") % 3 == 0, "|*#$ !!! BUY || NOW !!").otherwise("the cat and the dog sat on a mat, as they do.")

@@ -215,10 +215,12 @@ def resample(
     """
     domains = tuple(shares)
     rows = materialize(posteriors(docs, labelled, domains, docs.columns), "posteriors")
+    # Every step reads these two columns: without the documents they are few tasks.
+    narrow = materialize(rows.select("_tokens", "_p"), "memberships")
     place = domains.index(keep)
-    present = rows.agg(F.coalesce(F.sum(F.col("_tokens") * F.col("_p")[place]), F.lit(0.0))).first()[0]
+    present = narrow.agg(F.coalesce(F.sum(F.col("_tokens") * F.col("_p")[place]), F.lit(0.0))).first()[0]
     targets = [present * (1 + headroom) * shares[d] / shares[keep] for d in domains]
-    fitted = fit_rates(rows, targets, most)
+    fitted = rows.withColumn("_rate", rate_of(fit_steps(narrow, targets, most), most))
     draw = F.pmod(F.xxhash64(F.col("_doc.doc_id"), F.col("_doc.text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     times = F.floor(F.col("_rate") + draw).cast("int")
     if most <= 1:
